@@ -42,34 +42,6 @@ def right_closed_band(value: Column, edges: Sequence[float], labels: Sequence[st
     return band
 
 
-def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """0-based bin of ``value`` among ``bins`` equal bins on ``[low, high]``, last bin closed.
-
-    A bin starts at ``low + i * step`` as a double. The division only guesses the bin; comparing
-    with the two neighbouring starts settles values that lie on an edge. A range of zero width
-    is widened by one half on both sides.
-    """
-    flat = low == high
-    first = F.when(flat, low - 0.5).otherwise(low)
-    last = F.when(flat, high + 0.5).otherwise(high)
-    step = (last - first) / F.lit(float(bins))
-    guess = F.floor((value - first) / step)
-    guess = F.greatest(F.lit(0), F.least(F.lit(bins - 1), guess)).cast("int")
-    settled = (
-        F.when(value < first + guess * step, guess - 1)
-        .when(value >= first + (guess + 1) * step, guess + 1)
-        .otherwise(guess)
-    )
-    return F.when(value.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(bins - 1), settled)))
-
-
-def bin_start(index: Column, low: Column, high: Column, bins: int) -> Column:
-    flat = low == high
-    first = F.when(flat, low - 0.5).otherwise(low)
-    last = F.when(flat, high + 0.5).otherwise(high)
-    return first + index * ((last - first) / F.lit(float(bins)))
-
-
 def unit_hash(key: Column) -> Column:
     """Repeatable value in [0, 1) taken from the first 32 bits of the key's MD5."""
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from loanmart.functions.numbers import equal_width_bin, known
+from loanmart.functions.numbers import known
+from loanmart.operators.bins import with_equal_width_bin
 from loanmart.operators.cleaning import numeric_columns
 from loanmart.operators.ordered import quantiles_of, value_weights, with_running_totals
 
@@ -72,11 +73,11 @@ def _share(count: Column, total: Column) -> Column:
     return F.try_divide(count, total)
 
 
-def psi_of_bins(binned: DataFrame, bins: int, epsilon: float, first_bin: int = 0) -> DataFrame:
-    """PSI per feature from ``(feature, bin, n_ref, n_cur)``; absent bins count as empty.
+def psi_of_bins(binned: DataFrame, epsilon: float) -> DataFrame:
+    """PSI per feature from ``(feature, bin, n_ref, n_cur)``.
 
-    The frame holds at most ``bins`` rows per feature, so its windows are tiny. A bin empty on
-    both sides adds nothing to the sum and needs no row.
+    There is one row per feature and bin, so the windows are tiny. A bin empty on both sides
+    adds nothing to the sum and needs no row.
     """
     per_feature = Window.partitionBy("feature")
     ref = _share(F.col("n_ref"), F.sum("n_ref").over(per_feature))
@@ -98,39 +99,38 @@ def psi_minmax(
 ) -> DataFrame:
     """PSI with each side scaled by its own range and cut into equal-width bins.
 
-    Two passes over the data, no shuffle but of bin counts.
+    Two passes over the data. The ranges are broadcast: two rows per feature. Nothing is
+    shuffled but ranges and bin counts.
     """
-    values = {f: known(F.col(f).cast("double")) for f in features}
-    extremes = sided.agg(
-        F.struct(
+    values = {f: known(F.col(f).cast("double")).alias(f) for f in features}
+    carried = [SIDE] if weight is None else [SIDE, weight]
+    wide = sided.select(*carried, *values.values())
+    ranges = wide.groupBy(SIDE).agg(
+        F.array(
             *[
-                fn(_on(s, values[f])).alias(f"{s}_{name}_{f}")
+                F.struct(
+                    F.lit(f).alias("feature"), F.min(f).alias("_lo"), F.max(f).alias("_hi")
+                )
                 for f in features
-                for s in ("ref", "cur")
-                for name, fn in (("lo", F.min), ("hi", F.max))
             ]
-        ).alias("extremes")
-    ).scalar()
-
-    def bin_of(f: str) -> Column:
-        lo, hi = (
-            F.when(F.col(SIDE) == "ref", extremes[f"ref_{end}_{f}"]).otherwise(
-                extremes[f"cur_{end}_{f}"]
-            )
-            for end in ("lo", "hi")
+        ).alias("ranges")
+    )
+    ranges = ranges.select(SIDE, F.inline("ranges"))
+    width = F.col("_hi") - F.col("_lo")
+    scaled = (
+        wide.unpivot(carried, list(features), "feature", "value")
+        .where("value IS NOT NULL")
+        .join(F.broadcast(ranges), [SIDE, "feature"])
+        .withColumns(
+            {
+                "_x": (F.col("value") - F.col("_lo")) / (width + EPSILON_MINMAX),
+                "_top": width / (width + EPSILON_MINMAX),
+            }
         )
-        width = hi - lo + EPSILON_MINMAX
-        return equal_width_bin((values[f] - lo) / width, F.lit(0.0), (hi - lo) / width, bins)
-
-    carried = [SIDE] if weight is None else [SIDE, weight]
-    binned = (
-        sided.select(*carried, *[bin_of(f).alias(f) for f in features])
-        .unpivot(carried, list(features), "feature", "bin")
-        .where(F.col("bin").isNotNull())
-        .groupBy("feature", "bin")
-        .agg(*_sum_sides(weight))
     )
-    return psi_of_bins(binned, bins, EPSILON_MINMAX)
+    binned = with_equal_width_bin(scaled, "_x", F.lit(0.0), F.col("_top"), bins)
+    counted = binned.groupBy("feature", "bin").agg(*_sum_sides(weight))
+    return psi_of_bins(counted, EPSILON_MINMAX)
 
 
 def ranked_values(
@@ -166,20 +166,20 @@ def _psi_by_edges(ranked: DataFrame, edges: dict[str, DataFrame], bins: int) ->
         below = sum(((e < F.col("value")).cast("int") for e in edge), F.lit(0))
         return F.greatest(F.lit(1), F.least(F.lit(bins), below))
 
+    nothing = F.lit(0).cast("bigint")
+
+    def counted(side: str, n_ref: Column, n_cur: Column) -> Column:
+        return F.struct(bin_of(side).alias("bin"), n_ref.alias("n_ref"), n_cur.alias("n_cur"))
+
     pairs = F.array(
-        F.struct(
-            bin_of("ref").alias("bin"),
-            F.col("n_ref").alias("n_ref"),
-            F.lit(0).cast("bigint").alias("n_cur"),
-        ),
-        F.struct(bin_of("cur"), F.lit(0).cast("bigint"), F.col("n_cur")),
+        counted("ref", F.col("n_ref"), nothing), counted("cur", nothing, F.col("n_cur"))
     )
     binned = (
         ranked.select("feature", F.inline(pairs))
         .groupBy("feature", "bin")
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )
-    return psi_of_bins(binned, bins, EPSILON_QUANTILE)
+    return psi_of_bins(binned, EPSILON_QUANTILE)
 
 
 def _deciles(bins: int) -> list[float]:

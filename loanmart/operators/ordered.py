@@ -44,12 +44,8 @@ def with_running_totals(
     once: the slice number a row gets must not change between the two branches that use it,
     nor when a lost executor makes Spark run a task again.
     """
-    slices = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut_lineage(
-        counts.repartitionByRange(slices, *group, order).withColumn(
-            SLICE, F.spark_partition_id()
-        )
-    )
+    ranged = counts.repartitionByRange(*group, order)
+    placed = cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*group, SLICE).orderBy(order)

@@ -7,7 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loanmart.functions.numbers import bin_start, equal_width_bin
+from loanmart.operators.bins import bin_start, with_equal_width_bin
 from loanmart.operators.ordered import (
     exact_quantiles,
     quantiles_of,
@@ -197,8 +197,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width histogram with empty bins; the last bin includes the maximum."""
     values = df.select(F.col(column).cast("double").alias("x")).where("x IS NOT NULL")
     ends = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("e")).scalar()
-    bin_of = equal_width_bin(F.col("x"), ends["lo"], ends["hi"], bins)
-    counts = values.groupBy(bin_of.alias("bin")).agg(_n().alias("n"))
+    binned = with_equal_width_bin(values, "x", ends["lo"], ends["hi"], bins)
+    counts = binned.groupBy("bin").agg(_n().alias("n"))
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return grid.join(counts, "bin", "left").select(
         "bin",

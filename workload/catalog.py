@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from workload import gold, ingest  # noqa: F401
+from workload import derived, drifting, gold, ingest, modelling, profiles  # noqa: F401
