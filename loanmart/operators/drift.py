@@ -13,7 +13,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from loanmart.functions.numbers import known
 from loanmart.operators.bins import with_equal_width_bin
 from loanmart.operators.cleaning import numeric_columns
-from loanmart.operators.ordered import quantiles_of, value_weights, with_running_totals
+from loanmart.operators.ordered import (
+    quantiles_of,
+    spread,
+    value_weights,
+    with_running_totals,
+)
 
 SIDE = "side"
 # Thresholds and constants of the drift reports.
@@ -133,36 +138,28 @@ def psi_minmax(
     return psi_of_bins(counted, EPSILON_MINMAX)
 
 
-def ranked_values(
+def sliced_values(
     sided: DataFrame, features: Sequence[str], weight: str | None = None
 ) -> DataFrame:
-    """Distinct values of every feature with counts and running counts of both sides.
+    """Distinct values of every feature with the counts of both sides, in slices by value.
 
     The one expensive step of the KS and quantile PSI measures; they can share its result.
     """
-    w = _weight(weight)
     carried = [SIDE] if weight is None else [SIDE, weight]
-    counts = value_weights(
-        sided.select(*carried, *features),
-        features,
-        measures={
-            f"n_{s}": F.coalesce(F.sum(_on(s, w)), F.lit(0)).cast("bigint")
-            for s in ("ref", "cur")
-        },
-    )
-    return with_running_totals(counts, ["feature"], "value", ["n_ref", "n_cur"])
+    sums = dict(zip(("n_ref", "n_cur"), _sum_sides(weight)))
+    counts = value_weights(sided.select(*carried, *features), features, measures=sums)
+    return spread(counts, ["feature"], "value")
 
 
-def _psi_by_edges(ranked: DataFrame, edges: dict[str, DataFrame], bins: int) -> DataFrame:
-    """Bin = number of edges strictly below the value, kept within 1..bins."""
-    for side, table in edges.items():
-        ranked = ranked.join(
-            table.withColumnRenamed("quantiles", f"edges_{side}"), "feature"
-        )
+def _psi_by_edges(slices: DataFrame, edges: DataFrame, bins: int) -> DataFrame:
+    """PSI with bins by each side's edges ``q_ref`` and ``q_cur``.
+
+    A bin is the number of edges strictly below the value, kept within 1..bins. The edges are
+    broadcast: one row per feature.
+    """
 
     def bin_of(side: str) -> Column:
-        # edges ascend, so their number below the value is one comparison per edge
-        edge = [F.element_at(f"edges_{side}", i + 1) for i in range(bins + 1)]
+        edge = [F.element_at(f"q_{side}", i + 1) for i in range(bins + 1)]
         below = sum(((e < F.col("value")).cast("int") for e in edge), F.lit(0))
         return F.greatest(F.lit(1), F.least(F.lit(bins), below))
 
@@ -175,34 +172,35 @@ def _psi_by_edges(ranked: DataFrame, edges: dict[str, DataFrame], bins: int) ->
         counted("ref", F.col("n_ref"), nothing), counted("cur", nothing, F.col("n_cur"))
     )
     binned = (
-        ranked.select("feature", F.inline(pairs))
+        slices.join(F.broadcast(edges), "feature")
+        .select("feature", F.inline(pairs))
         .groupBy("feature", "bin")
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )
     return psi_of_bins(binned, EPSILON_QUANTILE)
 
 
-def _deciles(bins: int) -> list[float]:
+def _steps(bins: int) -> list[float]:
     return [i / bins for i in range(bins + 1)]
 
 
-def psi_own_quantiles(ranked: DataFrame, bins: int = BINS) -> DataFrame:
+def psi_own_quantiles(slices: DataFrame, bins: int = BINS) -> DataFrame:
     """PSI with each side cut at its own quantiles (near 0 for continuous features)."""
-    edges = {
-        side: quantiles_of(ranked, ["feature"], _deciles(bins), f"n_{side}")
-        for side in ("ref", "cur")
-    }
-    return _psi_by_edges(ranked, edges, bins)
+    edges = quantiles_of(slices, ["feature"], _steps(bins), ["n_ref", "n_cur"])
+    renamed = edges.withColumnsRenamed({"q_n_ref": "q_ref", "q_n_cur": "q_cur"})
+    return _psi_by_edges(slices, renamed, bins)
 
 
-def psi_reference_quantiles(ranked: DataFrame, bins: int = BINS) -> DataFrame:
+def psi_reference_quantiles(slices: DataFrame, bins: int = BINS) -> DataFrame:
     """PSI with both sides cut at the reference's quantiles, the usual definition."""
-    edges = quantiles_of(ranked, ["feature"], _deciles(bins), "n_ref")
-    return _psi_by_edges(ranked, {"ref": edges, "cur": edges}, bins)
+    edges = quantiles_of(slices, ["feature"], _steps(bins), ["n_ref"])
+    both = edges.select("feature", F.col("q_n_ref").alias("q_ref"), F.col("q_n_ref").alias("q_cur"))
+    return _psi_by_edges(slices, both, bins)
 
 
-def ks_statistic(ranked: DataFrame) -> DataFrame:
+def ks_statistic(slices: DataFrame) -> DataFrame:
     """Largest distance between the two empirical distribution functions per feature."""
+    ranked = with_running_totals(slices, ["feature"], "value", ["n_ref", "n_cur"])
     gap = F.abs(
         _share(F.col("cum_n_ref"), F.col("total_n_ref"))
         - _share(F.col("cum_n_cur"), F.col("total_n_cur"))
@@ -229,8 +227,8 @@ def ks_p_value(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
     return F.when(lam < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * series)))
 
 
-def ks_test(ranked: DataFrame) -> DataFrame:
-    return ks_statistic(ranked).withColumn(
+def ks_test(slices: DataFrame) -> DataFrame:
+    return ks_statistic(slices).withColumn(
         "ks_pvalue", ks_p_value(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur"))
     )
 
@@ -242,16 +240,16 @@ def drift_metrics(
     weight: str | None = None,
 ) -> DataFrame:
     """``feature, psi, ks_stat, ks_pvalue`` for features with enough known values."""
-    ranked = ranked_values(sided, features, weight)
+    slices = sliced_values(sided, features, weight)
     if method == "minmax":
         psi = psi_minmax(sided, features, weight=weight)
     elif method == "own":
-        psi = psi_own_quantiles(ranked)
+        psi = psi_own_quantiles(slices)
     elif method == "reference":
-        psi = psi_reference_quantiles(ranked)
+        psi = psi_reference_quantiles(slices)
     else:
         raise ValueError(f"unknown PSI method {method!r}")
-    tested = ks_test(ranked).where(
+    tested = ks_test(slices).where(
         (F.col("n_ref") >= MIN_ROWS) & (F.col("n_cur") >= MIN_ROWS)
     )
     return tested.join(psi, "feature").select("feature", "psi", "ks_stat", "ks_pvalue")

@@ -69,7 +69,7 @@ def with_income_band(
     """Low, medium, high by explicit cuts or by exact terciles of the data."""
     if cuts is None:
         terciles = exact_quantiles(df.select(income), [income], [1 / 3, 2 / 3])
-        edges = terciles.select("quantiles").scalar()
+        edges = terciles.select("q_n").scalar()
         first, second = F.get(edges, F.lit(0)), F.get(edges, F.lit(1))
     else:
         first, second = (F.lit(float(c)) for c in cuts)

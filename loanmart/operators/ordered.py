@@ -35,21 +35,27 @@ def value_weights(
     )
 
 
+def spread(counts: DataFrame, group: Sequence[str], order: str) -> DataFrame:
+    """Put counts into contiguous slices by ``order`` within ``group``.
+
+    The range partitioning is written once: the slice a row gets must not change between the
+    branches that use it, nor when a lost executor makes Spark run a task again.
+    """
+    ranged = counts.repartitionByRange(*group, order)
+    return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
+
+
 def with_running_totals(
-    counts: DataFrame, group: Sequence[str], order: str, measures: Sequence[str]
+    slices: DataFrame, group: Sequence[str], order: str, measures: Sequence[str]
 ) -> DataFrame:
     """Add ``cum_<m>``, the group's sum up to and including the row, and ``total_<m>``.
 
-    ``counts`` holds one row per group and order value. The range partitioning is materialised
-    once: the slice number a row gets must not change between the two branches that use it,
-    nor when a lost executor makes Spark run a task again.
+    ``slices`` comes from :func:`spread` with one row per group and order value.
     """
-    ranged = counts.repartitionByRange(*group, order)
-    placed = cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*group, SLICE).orderBy(order)
-    per_slice = placed.groupBy(*group, SLICE).agg(*[F.sum(m).alias(f"_{m}") for m in measures])
+    per_slice = slices.groupBy(*group, SLICE).agg(*[F.sum(m).alias(f"_{m}") for m in measures])
     carried = per_slice.select(
         *group,
         SLICE,
@@ -57,57 +63,60 @@ def with_running_totals(
         *[F.sum(f"_{m}").over(whole).alias(f"total_{m}") for m in measures],
     )
     return (
-        placed.join(carried, [*group, SLICE])
+        slices.join(carried, [*group, SLICE])
         .withColumns({f"cum_{m}": F.col(f"_{m}") + F.sum(m).over(inside) for m in measures})
         .drop(SLICE, *[f"_{m}" for m in measures])
     )
 
 
 def quantiles_of(
-    ranked: DataFrame, group: Sequence[str], probabilities: Sequence[float], measure: str = "n"
+    slices: DataFrame,
+    group: Sequence[str],
+    probabilities: Sequence[float],
+    measures: Sequence[str] = ("n",),
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one array ``quantiles`` per group.
+    """Exact quantiles with linear interpolation, an array ``q_<m>`` per group and measure.
 
-    ``ranked`` comes from :func:`with_running_totals`. A value covers the 0-based ranks from
-    ``cum - n`` to ``cum - 1``; only the rows at the wanted ranks survive.
+    A value covers the 0-based ranks from ``cum - n`` to ``cum - 1``; only the rows at the
+    wanted ranks survive.
     """
+    ranked = with_running_totals(slices, group, "value", measures)
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    to = F.col(f"cum_{measure}")
-    probes = ranked.where(F.col(measure) > 0).select(
-        *group,
-        "value",
-        (to - F.col(measure)).alias("_from"),
-        to.alias("_to"),
-        (F.col(f"total_{measure}") - 1).alias("_last"),
-        F.posexplode(wanted).alias("_i", "_p"),
-    )
-    position = F.col("_p") * F.col("_last")
+    probes = ranked.select("*", F.posexplode(wanted).alias("_i", "_p"))
+
+    def position(m: str) -> Column:
+        return F.col("_p") * (F.col(f"total_{m}") - 1)
 
-    def at(rank: Column) -> Column:
-        return F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col("value"))
+    def at(m: str, rank: Column) -> Column:
+        to = F.col(f"cum_{m}")
+        return F.when((to - F.col(m) <= rank) & (rank < to), F.col("value"))
 
-    low, high = at(F.floor(position)), at(F.ceil(position))
+    hits = {}
+    for m in measures:
+        hits[f"_low_{m}"] = at(m, F.floor(position(m)))
+        hits[f"_high_{m}"] = at(m, F.ceil(position(m)))
+        hits[f"_part_{m}"] = position(m) - F.floor(position(m))
+    seen = F.coalesce(*[hits[f"_{end}_{m}"] for m in measures for end in ("low", "high")])
     points = (
-        probes.where(low.isNotNull() | high.isNotNull())
+        probes.where(seen.isNotNull())
+        .select(*group, "_i", *[hit.alias(name) for name, hit in hits.items()])
         .groupBy(*group, "_i")
-        .agg(
-            F.max(low).alias("_low"),
-            F.max(high).alias("_high"),
-            F.max(position - F.floor(position)).alias("_part"),
-        )
-    )
-    value = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")
-    return (
-        points.groupBy(*group)
-        .agg(F.sort_array(F.collect_list(F.struct("_i", value.alias("q")))).alias("_q"))
-        .select(*group, F.col("_q.q").alias("quantiles"))
+        .agg(*[F.max(name).alias(name) for name in hits])
     )
 
+    def value(m: str) -> Column:
+        low, high = F.col(f"_low_{m}"), F.col(f"_high_{m}")
+        return low + (high - low) * F.col(f"_part_{m}")
+
+    def in_order(m: str) -> Column:
+        return F.sort_array(F.collect_list(F.struct("_i", value(m).alias("q"))))["q"]
+
+    return points.groupBy(*group).agg(*[in_order(m).alias(f"q_{m}") for m in measures])
+
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> DataFrame:
-    """``(feature, quantiles)`` for each column; the probabilities set the array's order."""
-    counts = value_weights(df, columns)
-    ranked = with_running_totals(counts, ["feature"], "value", ["n"])
-    return quantiles_of(ranked, ["feature"], probabilities)
+    """``(feature, q_n)`` for each column; the probabilities set the array's order."""
+    slices = spread(value_weights(df, columns), ["feature"], "value")
+    return quantiles_of(slices, ["feature"], probabilities)

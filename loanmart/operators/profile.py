@@ -11,8 +11,8 @@ from loanmart.operators.bins import bin_start, with_equal_width_bin
 from loanmart.operators.ordered import (
     exact_quantiles,
     quantiles_of,
+    spread,
     value_weights,
-    with_running_totals,
 )
 
 HIGH_VALUE = 50000
@@ -210,23 +210,26 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 def boxplot_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (outermost values within 1.5 times the quartile distance) and the
-    number of values beyond them."""
-    counts = value_weights(df.select(*columns), columns)
-    ranked = with_running_totals(counts, ["feature"], "value", ["n"])
-    quartiles = quantiles_of(ranked, ["feature"], [0.25, 0.5, 0.75])
-    q1, q3 = F.element_at("quantiles", 1), F.element_at("quantiles", 3)
+    number of values beyond them. One row per column is broadcast."""
+    slices = spread(value_weights(df.select(*columns), columns), ["feature"], "value")
+    quartiles = quantiles_of(slices, ["feature"], [0.25, 0.5, 0.75])
+    q1, median, q3 = (F.element_at("q_n", i) for i in (1, 2, 3))
     reach = 1.5 * (q3 - q1)
     inside = F.col("value").between(q1 - reach, q3 + reach)
-    fenced = ranked.join(quartiles, "feature").groupBy("feature", "quantiles").agg(
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("n_outliers"),
+    fenced = (
+        slices.join(F.broadcast(quartiles), "feature")
+        .groupBy("feature", "q_n")
+        .agg(
+            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+            F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("n_outliers"),
+        )
     )
     return fenced.select(
         "feature",
         "whisker_low",
         q1.alias("q1"),
-        F.element_at("quantiles", 2).alias("median"),
+        median.alias("median"),
         q3.alias("q3"),
         "whisker_high",
         "n_outliers",
@@ -246,7 +249,7 @@ def application_profile(applications: DataFrame) -> DataFrame:
     )
     by_name = medians.agg(
         F.map_from_entries(
-            F.collect_list(F.struct("feature", F.element_at("quantiles", 1).alias("q")))
+            F.collect_list(F.struct("feature", F.element_at("q_n", 1).alias("q")))
         ).alias("m")
     ).scalar()
     amount = F.col("loan_amt")

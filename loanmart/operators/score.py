@@ -55,7 +55,15 @@ def score_batch(
     features: DataFrame,
     mapping: Mapping[str, str] | None = None,
     columns: Iterable[str] = PREDICTION_COLUMNS,
+    fill: bool = False,
 ) -> DataFrame:
-    """Predictions for a feature table; columns the model needs but lacks are filled."""
-    guarded = ensure_columns(map_equivalents(features, mapping or {}), expected_inputs(model))
+    """Predictions for a feature table; columns the model needs but lacks are 0.0.
+
+    A row with a null input gets no prediction, as the pipeline skips it; ``fill`` puts 0.0
+    in its place, the way the training rows are prepared.
+    """
+    inputs = expected_inputs(model)
+    guarded = ensure_columns(map_equivalents(features, mapping or {}), inputs)
+    if fill:
+        guarded = guarded.fillna(0.0, subset=inputs)
     return available(model.transform(guarded), columns)

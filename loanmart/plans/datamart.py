@@ -21,11 +21,7 @@ from loanmart.operators.snapshots import (
     with_normalized_snapshot,
 )
 from loanmart.sources.raw import lower_names, read_raw_optional
-from loanmart.sources.tables import (
-    read_snapshots,
-    read_snapshots_optional,
-    write_snapshots,
-)
+from loanmart.sources.tables import read_snapshots_optional, write_snapshots
 
 # Raw files per dataset.
 RAW_FILES = {
@@ -131,7 +127,9 @@ def run(
         rows = with_lineage(bronze(source, months), "bronze")
         write_snapshots(rows, layout.table("bronze", name))
     for name in raw:
-        rows = read_snapshots(spark, layout.table("bronze", name), months)
+        rows = read_snapshots_optional(spark, layout.table("bronze", name), months)
+        if rows is None:
+            continue
         rows = rows.drop("bronze_ingestion_timestamp", "bronze_processing_date")
         write_snapshots(silver(name, rows, generation, clean), layout.table("silver", name))
     tables = {
@@ -151,7 +149,9 @@ def layer_counts(spark: SparkSession, layout: Layout, datasets: Iterable[str]) -
     names += [("gold", "feature_store"), ("gold", "label_store")]
     result = None
     for layer, dataset in names:
-        table = read_snapshots(spark, layout.table(layer, dataset))
+        table = read_snapshots_optional(spark, layout.table(layer, dataset))
+        if table is None:
+            continue
         counted = rows_by_month(table, f"{layer}.{dataset}")
         result = counted if result is None else result.unionByName(counted)
     return result

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 SNAPSHOT = "snapshot_date"
 
@@ -26,10 +27,22 @@ def write_snapshots(df: DataFrame, path: str, month: str = SNAPSHOT) -> None:
 
 
 def read_snapshots(
-    spark: SparkSession, path: str, months: Iterable[str] | None = None, month: str = SNAPSHOT
+    spark: SparkSession,
+    path: str,
+    months: Iterable[str] | None = None,
+    month: str = SNAPSHOT,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """All months below the table root, or only the listed ones (partition pruning)."""
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    """All months below the table root, or only the listed ones (partition pruning).
+
+    Months written with other columns are merged by name, which opens every file's footer;
+    a ``schema`` saves that.
+    """
+    if schema is None:
+        reader = spark.read.option("mergeSchema", True)
+    else:
+        reader = spark.read.schema(schema)
+    df = reader.parquet(path)
     if months is None:
         return df
     return df.where(F.col(month).isin([F.lit(m).cast("date") for m in months]))
@@ -38,7 +51,7 @@ def read_snapshots(
 def read_snapshots_optional(
     spark: SparkSession, path: str, months: Iterable[str] | None = None
 ) -> DataFrame | None:
-    """None when the table has never been written."""
+    """None when the table does not exist or has never held a row."""
     try:
         return read_snapshots(spark, path, months)
     except AnalysisException as fault:

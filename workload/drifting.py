@@ -104,24 +104,24 @@ def psi_minmax(spark, sf_dir):
 @query(_psi_sql("1e-6"), rounded="psi", views=OWN)
 def psi_quantile(spark, sf_dir):
     """PSI with each side cut at its own deciles."""
-    return drift.psi_own_quantiles(drift.ranked_values(sided(spark, sf_dir), FEATURES))
+    return drift.psi_own_quantiles(drift.sliced_values(sided(spark, sf_dir), FEATURES))
 
 
 @query(_psi_sql("1e-6"), rounded="psi", views=REFERENCE)
 def psi_reference_edges(spark, sf_dir):
     """PSI with both sides cut at the reference's deciles."""
-    return drift.psi_reference_quantiles(drift.ranked_values(sided(spark, sf_dir), FEATURES))
+    return drift.psi_reference_quantiles(drift.sliced_values(sided(spark, sf_dir), FEATURES))
 
 
 @query("SELECT feature, ks_stat, n_ref, n_cur FROM ks", rounded="ks_stat", views={**SIDED, **KS})
 def ks_statistic(spark, sf_dir):
-    return drift.ks_statistic(drift.ranked_values(sided(spark, sf_dir), FEATURES))
+    return drift.ks_statistic(drift.sliced_values(sided(spark, sf_dir), FEATURES))
 
 
 @query("SELECT feature, ks_pvalue FROM tested", rounded="ks_pvalue", views={**SIDED, **KS})
 def ks_pvalue(spark, sf_dir):
-    ranked = drift.ranked_values(sided(spark, sf_dir), FEATURES)
-    return drift.ks_test(ranked).select("feature", "ks_pvalue")
+    slices = drift.sliced_values(sided(spark, sf_dir), FEATURES)
+    return drift.ks_test(slices).select("feature", "ks_pvalue")
 
 
 @query(
@@ -248,7 +248,7 @@ def monitor_matched(spark, sf_dir):
     reference = loans.select("customer_id", "loan_amt", "tenure")
     predictions = loans.where(F.col("snapshot_date") >= oot_cutoff(loans)).select("customer_id")
     sample, names, weight = monitoring.matched_sample(reference, predictions)
-    return drift.ks_test(drift.ranked_values(sample, names, weight))
+    return drift.ks_test(drift.sliced_values(sample, names, weight))
 
 
 @query()

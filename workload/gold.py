@@ -19,27 +19,28 @@ def flat_loans(spark, sf_dir):
     return cleaning.silver_loans_flat(views.loans(spark, sf_dir))
 
 
-def features_typed(spark, sf_dir):
+def features_typed(spark, sf_dir, loans=None):
     return gold.feature_store(
-        views.silver_loans(spark, sf_dir),
+        loans or views.silver_loans(spark, sf_dir),
         views.silver_clickstream(spark, sf_dir),
         views.silver_attributes(spark, sf_dir),
         views.silver_financials(spark, sf_dir),
     )
 
 
-def features_by_state(spark, sf_dir):
+def features_by_state(spark, sf_dir, loans=None):
     return gold.feature_store_by_state(
-        flat_loans(spark, sf_dir),
+        loans or flat_loans(spark, sf_dir),
         views.silver_financials(spark, sf_dir),
         views.silver_attributes(spark, sf_dir),
         views.silver_clickstream(spark, sf_dir),
     )
 
 
-def gold_by_state(spark, sf_dir):
-    labels = gold.label_store_by_customer(flat_loans(spark, sf_dir))
-    return gold.attach_labels(features_by_state(spark, sf_dir), labels)
+def gold_by_state(spark, sf_dir, loans=None):
+    loans = loans or flat_loans(spark, sf_dir)
+    labels = gold.label_store_by_customer(loans)
+    return gold.attach_labels(features_by_state(spark, sf_dir, loans), labels)
 
 
 @query(
@@ -117,8 +118,9 @@ def distinct_loan_states(spark, sf_dir):
 )
 def training_set_a1(spark, sf_dir):
     """Application-time features with the outcome six months later."""
-    labels = gold.label_store_at_mob(views.silver_loans(spark, sf_dir))
-    return gold.training_set_shifted(features_typed(spark, sf_dir), labels)
+    loans = views.silver_loans(spark, sf_dir)
+    features = features_typed(spark, sf_dir, loans)
+    return gold.training_set_shifted(features, gold.label_store_at_mob(loans))
 
 
 @query(
@@ -129,8 +131,9 @@ def training_set_a1(spark, sf_dir):
 )
 def training_set_a2(spark, sf_dir):
     """Feature rows with the customer's label of the same month."""
-    labels = gold.label_store_by_customer(flat_loans(spark, sf_dir))
-    return gold.training_set_same_month(gold_by_state(spark, sf_dir), labels)
+    loans = flat_loans(spark, sf_dir)
+    labels = gold.label_store_by_customer(loans)
+    return gold.training_set_same_month(gold_by_state(spark, sf_dir, loans), labels)
 
 
 @query(

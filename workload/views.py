@@ -16,9 +16,20 @@ from loanmart.operators import cleaning
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 ISO = "yyyy-MM-dd"
 
+# Columns used of the given tables; a known schema saves a job per read.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_returnflag string",
+    "events": "event_id bigint, user_id bigint, event_type string, value double",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tenure_of(order_key: str) -> Column:
