@@ -27,6 +27,10 @@ def _with_sides(base: DataFrame, sides: Iterable[DataFrame | None]) -> DataFrame
     return base
 
 
+def application_base(loans: DataFrame) -> DataFrame:
+    return at_mob(loans, 0).select(*LOAN_FEATURES)
+
+
 def feature_store(
     loans: DataFrame,
     clickstream: DataFrame | None,
@@ -35,8 +39,7 @@ def feature_store(
     version: str = "v1",
 ) -> DataFrame:
     """Application-time features: loans at month 0 with what was known that month."""
-    base = at_mob(loans, 0).select(*LOAN_FEATURES)
-    wide = _with_sides(base, [clickstream, attributes, financials])
+    wide = _with_sides(application_base(loans), [clickstream, attributes, financials])
     return wide.withColumn("feature_date", F.col("snapshot_date")).withColumn(
         "feature_version", F.lit(version)
     )
@@ -106,6 +109,27 @@ def training_set_shifted(
     )
 
 
+def training_set_from_loans(
+    loans: DataFrame,
+    labels: DataFrame,
+    clickstream: DataFrame | None,
+    attributes: DataFrame | None,
+    financials: DataFrame | None,
+    months: int = 6,
+    version: str = "v1",
+) -> DataFrame:
+    """The shifted training set straight from the silver tables.
+
+    Loans meet their outcome while rows are narrow, so that only loans that have one are
+    joined with the side tables; the rows equal those made from a stored feature store.
+    """
+    paired = _shifted(application_base(loans), labels, months, "inner")
+    wide = _with_sides(paired, [clickstream, attributes, financials])
+    return wide.withColumnRenamed("snapshot_date", "feature_date").withColumn(
+        "feature_version", F.lit(version)
+    )
+
+
 def training_set_same_month(features: DataFrame, labels: DataFrame) -> DataFrame:
     """Features with the customer's label of the same month; an older label is replaced."""
     return (

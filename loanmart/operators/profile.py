@@ -5,15 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loanmart.operators.bins import bin_start, with_equal_width_bin
-from loanmart.operators.ordered import (
-    exact_quantiles,
-    quantiles_of,
-    spread,
-    value_weights,
-)
+from loanmart.operators.ordered import quantiles_of, spread, value_weights
 
 HIGH_VALUE = 50000
 DTI_LIMIT, DTI_RANGE = 0.43, (0, 2)
@@ -44,9 +39,9 @@ def store_profile(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def label_distribution(df: DataFrame, label: str = "label") -> DataFrame:
-    """Rows and share of each label value."""
+    """Rows and share of each label value; the window sees one row per value."""
     counts = df.groupBy(label).agg(_n().alias("n"))
-    total = df.agg(_n()).scalar()
+    total = F.sum("n").over(Window.partitionBy())
     return counts.withColumn("share_pct", share_pct(F.col("n"), total)).orderBy(label)
 
 
@@ -243,28 +238,37 @@ def most_common(df: DataFrame, column: str) -> DataFrame:
 
 
 def application_profile(applications: DataFrame) -> DataFrame:
-    """Amount and tenure of the applications in one row."""
-    medians = exact_quantiles(
-        applications.select("loan_amt", "tenure"), ["loan_amt", "tenure"], [0.5]
+    """Amount and tenure of the applications in one row.
+
+    The data are read once: everything follows from the counts of the distinct values.
+    """
+    columns = ["loan_amt", "tenure"]
+    slices = spread(value_weights(applications.select(*columns), columns), ["feature"], "value")
+    value, n = F.col("value"), F.col("n")
+    # most rows first, then the lowest value
+    mode = F.max(F.struct("n", (-value).alias("v")))["v"] * -1
+    facts = slices.groupBy("feature").agg(
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.coalesce(F.sum(F.when(value >= HIGH_VALUE, n)), F.lit(0)).alias("n_high"),
+        F.sum("n").alias("n"),
+        mode.alias("mode"),
     )
-    by_name = medians.agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("feature", F.element_at("q_n", 1).alias("q")))
-        ).alias("m")
-    ).scalar()
-    amount = F.col("loan_amt")
-    high = F.count_if(amount >= HIGH_VALUE)
-    return applications.agg(
-        F.min(amount).alias("min_amount"),
-        F.max(amount).alias("max_amount"),
+    facts = facts.join(quantiles_of(slices, ["feature"], [0.5]), "feature")
+
+    def of(feature: str, fact: Column) -> Column:
+        return F.max(F.when(F.col("feature") == feature, fact))
+
+    median = F.element_at("q_n", 1)
+    high = F.coalesce(of("loan_amt", F.col("n_high")), F.lit(0))
+    return facts.agg(
+        of("loan_amt", F.col("min")).alias("min_amount"),
+        of("loan_amt", F.col("max")).alias("max_amount"),
         high.alias("n_high_value"),
-        share_pct(high, F.count(amount)).alias("high_value_pct"),
-    ).withColumns(
-        {
-            "median_amount": by_name["loan_amt"],
-            "median_tenure": by_name["tenure"],
-            "mode_tenure": most_common(applications, "tenure").select("tenure").scalar(),
-        }
+        share_pct(high, of("loan_amt", F.col("n"))).alias("high_value_pct"),
+        of("loan_amt", median).alias("median_amount"),
+        of("tenure", median).alias("median_tenure"),
+        of("tenure", F.col("mode")).cast("int").alias("mode_tenure"),
     )
 
 

@@ -9,6 +9,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from loanmart.functions.dates import month_start
 from loanmart.operators import cleaning, gold
@@ -20,8 +21,9 @@ from loanmart.operators.snapshots import (
     with_lineage,
     with_normalized_snapshot,
 )
+from loanmart.session import apply_settings
 from loanmart.sources.raw import lower_names, read_raw_optional
-from loanmart.sources.tables import read_snapshots_optional, write_snapshots
+from loanmart.sources.tables import read_snapshots, write_snapshots
 
 # Raw files per dataset.
 RAW_FILES = {
@@ -30,6 +32,8 @@ RAW_FILES = {
     "financials": "features_financials.csv",
     "clickstream": "feature_clickstream.csv",
 }
+# counting rows per month opens no column
+MONTH_ONLY = StructType([StructField(SNAPSHOT, DateType())])
 SIDES = ("clickstream", "attributes", "financials")
 
 
@@ -121,25 +125,26 @@ def run(
     mob: int = 6,
 ) -> Layout:
     """Write all layers of the given months (all months when none are listed)."""
+    apply_settings(spark)
     layout = Layout(root)
     months = None if months is None else list(months)
+
+    def stored(rows: DataFrame, layer: str, dataset: str, regroup: bool) -> DataFrame:
+        """Write a table and go on from it; an empty one keeps its columns and types."""
+        path = layout.table(layer, dataset)
+        write_snapshots(rows, path, regroup=regroup)
+        return read_snapshots(spark, path, months, schema=rows.schema)
+
+    tables = {}
     for name, source in raw.items():
-        rows = with_lineage(bronze(source, months), "bronze")
-        write_snapshots(rows, layout.table("bronze", name))
-    for name in raw:
-        rows = read_snapshots_optional(spark, layout.table("bronze", name), months)
-        if rows is None:
-            continue
+        rows = stored(with_lineage(bronze(source, months), "bronze"), "bronze", name, True)
         rows = rows.drop("bronze_ingestion_timestamp", "bronze_processing_date")
-        write_snapshots(silver(name, rows, generation, clean), layout.table("silver", name))
-    tables = {
-        name: read_snapshots_optional(spark, layout.table("silver", name), months)
-        for name in RAW_FILES
-    }
+        tables[name] = stored(silver(name, rows, generation, clean), "silver", name, False)
     features, labels = gold_stores(tables, generation, threshold, mob)
     stamped = features.withColumn("gold_processing_date", F.current_timestamp())
     write_snapshots(stamped, layout.table("gold", "feature_store"))
-    write_snapshots(labels, layout.table("gold", "label_store"))
+    # labels at one month on book are filtered silver rows; labels by customer are aggregated
+    write_snapshots(labels, layout.table("gold", "label_store"), regroup=generation != "typed")
     return layout
 
 
@@ -149,9 +154,7 @@ def layer_counts(spark: SparkSession, layout: Layout, datasets: Iterable[str]) -
     names += [("gold", "feature_store"), ("gold", "label_store")]
     result = None
     for layer, dataset in names:
-        table = read_snapshots_optional(spark, layout.table(layer, dataset))
-        if table is None:
-            continue
+        table = read_snapshots(spark, layout.table(layer, dataset), schema=MONTH_ONLY)
         counted = rows_by_month(table, f"{layer}.{dataset}")
         result = counted if result is None else result.unionByName(counted)
     return result

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loanmart.operators import drift
 from loanmart.operators.cleaning import numeric_columns
+from loanmart.session import apply_settings
 from loanmart.sources.tables import append_report
 
 
@@ -40,6 +41,7 @@ def report(
     weight: str | None = None,
 ) -> DataFrame:
     """Append metrics, alerts and summary below ``root``; returns the summary."""
+    apply_settings(sided.sparkSession)
     metrics = drift.with_flags(drift.drift_metrics(sided, features, method, weight)).cache()
     clock = F.current_timestamp().alias("reported_at")
     summary = drift.drift_summary(metrics, violations)

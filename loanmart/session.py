@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Runtime settings every job of this package relies on. Skewed joins are split by adaptive
 # execution even when that costs another shuffle: one customer may own a third of all rows.
@@ -63,7 +63,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def one_row(spark: SparkSession, **values) -> DataFrame:
+    """A single row of literals."""
+    return spark.range(1).select(*[F.lit(v).alias(name) for name, v in values.items()])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once, reliably, so that later branches agree on its partitions."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` once to the shared folder and go on from the written table.
+
+    Later branches see the same rows whatever executors are lost, read only the columns they
+    need, and are planned with the true size.
+    """
+    path = scratch_path(df.sparkSession, "written")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

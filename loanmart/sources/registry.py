@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from loanmart.session import one_row
+
 REGISTRY_SCHEMA = "name string, path string, created_at timestamp"
 
 
@@ -23,9 +25,7 @@ def save_model(model: PipelineModel, name: str, bank: str, stamp: str) -> DataFr
     spark = SparkSession.active()
     path = f"{bank}/{name}_{stamp}"
     model.write().overwrite().save(path)
-    entry = spark.createDataFrame([(name, path)], "name string, path string").withColumn(
-        "created_at", F.current_timestamp()
-    )
+    entry = one_row(spark, name=name, path=path).withColumn("created_at", F.current_timestamp())
     entry.write.mode("append").parquet(f"{bank}/registry")
     return entry
 

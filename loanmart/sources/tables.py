@@ -11,15 +11,18 @@ from pyspark.sql.types import StructType
 SNAPSHOT = "snapshot_date"
 
 
-def write_snapshots(df: DataFrame, path: str, month: str = SNAPSHOT) -> None:
+def write_snapshots(
+    df: DataFrame, path: str, month: str = SNAPSHOT, regroup: bool = True
+) -> None:
     """Replace exactly the months present in ``df``; running twice changes nothing.
 
-    Rows are brought together by month so that files stay few. ``rebalance`` lets adaptive
-    execution cut a large month into several files instead of one giant task.
+    ``regroup`` brings rows together by month so that files stay few; ``rebalance`` lets
+    adaptive execution cut a large month into several files instead of one giant task. Rows
+    that come straight from a snapshot table lie together already and need no shuffle.
     """
+    rows = df.hint("rebalance", month) if regroup else df
     (
-        df.hint("rebalance", month)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(month)
         .parquet(path)
@@ -60,6 +63,14 @@ def read_snapshots_optional(
         raise
 
 
+def read_first_available(
+    spark: SparkSession, paths: Iterable[str], months: Iterable[str] | None = None
+) -> DataFrame | None:
+    """The first of several places a dataset may be stored at; None when there is none."""
+    found = (read_snapshots_optional(spark, path, months) for path in paths)
+    return next((table for table in found if table is not None), None)
+
+
 def latest_snapshot(df: DataFrame, wanted: str | None = None, month: str = SNAPSHOT) -> Column:
     """The wanted month when the table has it, else its newest month; a scalar subquery."""
     newest = F.max(month)

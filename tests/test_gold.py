@@ -55,6 +55,9 @@ def test_shifted_pairing_keeps_one_feature_date(loans, attributes, rows):
     assert rows(paired, "loan_id", "feature_date", "label_date", "label") == [
         ("L1", JAN, JUL, 1), ("L2", JAN, JUL, 0),
     ]
+    direct = gold.training_set_from_loans(loans, gold.label_store_at_mob(loans), None, attributes, None)
+    order = sorted(paired.columns)
+    assert rows(direct, *order) == rows(paired, *order)
     rate = gold.match_rate(features, gold.label_store_at_mob(loans)).first()
     assert (rate.n_features, rate.n_matched, rate.n_defaults) == (3, 2, 1)
     assert rate.default_rate_pct == 50.0

@@ -24,9 +24,9 @@ def test_gives_rows(spark, name):
     assert queries()[name](spark, SF_DIR).count() > 0
 
 
-def test_only_models_and_reports_go_without_sql():
+def test_only_fitted_models_go_without_sql():
     assert ROWS_ONLY == [
-        "assemble", "champion", "model_roundtrip", "monitor_report", "score_batch", "train_lr", "train_rf",
+        "champion", "model_roundtrip", "score_batch", "train_lr", "train_rf",
     ]
 
 

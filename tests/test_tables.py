@@ -141,3 +141,15 @@ def test_source_without_dates_needs_one_month(spark, rows):
     assert rows(datamart.bronze(frame, ["2023-01-01"])) == [("a", dt.date(2023, 1, 1))]
     with pytest.raises(ValueError):
         datamart.bronze(frame)
+
+
+def test_a_month_without_rows_keeps_its_columns(spark, sources, tmp_path):
+    layout = datamart.run(spark, sources, str(tmp_path / "mart"), ["2023-03-01"])
+    assert datamart.layer_counts(spark, layout, sources).count() == 0
+
+
+def test_first_available_place(spark, loans, tmp_path):
+    path = str(tmp_path / "second")
+    tables.write_snapshots(loans, path)
+    assert tables.read_first_available(spark, [str(tmp_path / "first"), path]).count() == 15
+    assert tables.read_first_available(spark, [str(tmp_path / "first")]) is None

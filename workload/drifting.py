@@ -251,9 +251,14 @@ def monitor_matched(spark, sf_dir):
     return drift.ks_test(drift.sliced_values(sample, names, weight))
 
 
-@query()
+@query(
+    """SELECT feature, psi, ks_stat, ks_pvalue, CASE WHEN psi > 0.25 THEN 1 ELSE 0 END psi_flag,
+              CASE WHEN ks_pvalue < 0.05 THEN 1 ELSE 0 END ks_flag,
+              CASE WHEN psi > 0.2 OR ks_pvalue < 0.05 THEN 1 ELSE 0 END alert FROM metrics""",
+    rounded="psi ks_stat ks_pvalue", views=METRICS,
+)
 def monitor_report(spark, sf_dir):
-    """The report job: metric, alert and summary tables appended, the alert table read back."""
+    """The report job: metric, alert and summary tables appended, the metrics read back."""
     root = scratch_path(spark, "monitoring")
     violations = drift.monotonicity_violation_rate(
         scores(spark, sf_dir), "customer_id", "snapshot_date", "loan_id", "score"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanmart.operators import cleaning, gold
+from loanmart.session import scratch_path
+from loanmart.sources import tables
 from workload import views
 from workload.registry import query
 
@@ -109,18 +111,39 @@ def distinct_loan_states(spark, sf_dir):
     return gold.distinct_loan_states(flat_loans(spark, sf_dir))
 
 
-@query(
-    f"""SELECT f.loan_id, f.customer_id, l.snapshot_date label_date, tenure, loan_amt, {SIDE_COLUMNS},
+TRAINING_SQL = f"""
+        SELECT f.loan_id, f.customer_id, l.snapshot_date label_date, tenure, loan_amt, {SIDE_COLUMNS},
                f.snapshot_date feature_date, 'v1' feature_version, label, label_def, dpd
         FROM features f JOIN labels_a1 l ON f.loan_id = l.loan_id AND f.customer_id = l.customer_id
-         AND l.snapshot_date = cast(f.snapshot_date + INTERVAL 6 MONTH AS date)""",
-    rounded=FEATURES, dates="label_date feature_date",
-)
+         AND l.snapshot_date = cast(f.snapshot_date + INTERVAL 6 MONTH AS date)"""
+
+
+@query(TRAINING_SQL, rounded=FEATURES, dates="label_date feature_date")
 def training_set_a1(spark, sf_dir):
     """Application-time features with the outcome six months later."""
     loans = views.silver_loans(spark, sf_dir)
-    features = features_typed(spark, sf_dir, loans)
-    return gold.training_set_shifted(features, gold.label_store_at_mob(loans))
+    return gold.training_set_from_loans(
+        loans,
+        gold.label_store_at_mob(loans),
+        views.silver_clickstream(spark, sf_dir),
+        views.silver_attributes(spark, sf_dir),
+        views.silver_financials(spark, sf_dir),
+    )
+
+
+@query(f"SELECT * FROM ({TRAINING_SQL})", rounded=FEATURES, dates="label_date feature_date")
+def training_set_a1_stored(spark, sf_dir):
+    """The same from written feature and label stores."""
+    loans = views.silver_loans(spark, sf_dir)
+    stores = {
+        "features": features_typed(spark, sf_dir, loans),
+        "labels": gold.label_store_at_mob(loans),
+    }
+    paths = {name: scratch_path(spark, f"gold-{name}") for name in stores}
+    for name, store in stores.items():
+        tables.write_snapshots(store, paths[name])
+    features, labels = (tables.read_snapshots(spark, paths[name]) for name in stores)
+    return gold.training_set_shifted(features, labels)
 
 
 @query(

@@ -11,7 +11,7 @@ from loanmart.session import scratch_path
 from loanmart.sources import registry
 from workload import views
 from workload.drifting import SCORES, scores
-from workload.gold import flat_loans, gold_by_state
+from workload.gold import FEATURES, flat_loans, gold_by_state
 from workload.registry import query
 
 # The state's own amounts would give the outcome away; only what is known at the month is used.
@@ -117,12 +117,24 @@ def _training_rows(spark, sf_dir):
 KEY = ("customer_id", "snapshot_date", "loan_amt", "mob")
 
 
-@query()
+INPUTS = f"{FEATURES} tenure mob".split()
+
+
+@query(
+    "SELECT customer_id, snapshot_date, "
+    + ", ".join(f"cast(coalesce({c}, 0) AS double) v_{c}" for c in INPUTS)
+    + " FROM gold_a2",
+    rounded=[f"v_{c}" for c in INPUTS], dates="snapshot_date",
+)
 def assemble(spark, sf_dir):
-    """Feature vectors, shown as arrays."""
+    """Feature vectors, shown element by element."""
     rows, names = model.prepared(_training_rows(spark, sf_dir))
-    vectors = model.assembler(names).transform(rows)
-    return vectors.select("customer_id", "mob", vector_to_array("features_raw").alias("features"))
+    vectors = model.assembler(names).transform(rows).select(
+        "customer_id", "snapshot_date", vector_to_array("features_raw").alias("v")
+    )
+    return vectors.select(
+        "customer_id", "snapshot_date", *[F.col("v")[i].alias(f"v_{c}") for i, c in enumerate(names)]
+    )
 
 
 def _one_model(spark, sf_dir, candidate):
