@@ -269,22 +269,26 @@ def with_flags(metrics: DataFrame) -> DataFrame:
 def drift_alerts(metrics: DataFrame) -> DataFrame:
     """One row per drifting feature, or a single row saying why there is none.
 
-    The metric table has one row per feature, so a single task may see it whole.
+    The metrics hold one row per feature, so they fit into one list; they are computed once.
     """
-    flagged = with_flags(metrics)
-    hits = flagged.where("alert = 1").select(
-        F.lit("drift").alias("outcome"), "feature", "psi", "ks_pvalue"
-    )
-    state = flagged.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("alert"), F.lit(0)).alias("alerts")
-    )
-    quiet = state.where("alerts = 0").select(
-        F.when(F.col("n") == 0, "no drift").otherwise("stable").alias("outcome"),
-        F.lit(None).cast("string").alias("feature"),
-        F.lit(None).cast("double").alias("psi"),
-        F.lit(None).cast("double").alias("ks_pvalue"),
+
+    def alert(outcome: Column, feature: Column, psi: Column, p: Column) -> Column:
+        return F.struct(
+            outcome.alias("outcome"),
+            feature.cast("string").alias("feature"),
+            psi.cast("double").alias("psi"),
+            p.cast("double").alias("ks_pvalue"),
+        )
+
+    hit = alert(F.lit("drift"), F.col("feature"), F.col("psi"), F.col("ks_pvalue"))
+    state = with_flags(metrics).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.collect_list(F.when(F.col("alert") == 1, hit)).alias("hits"),
     )
-    return hits.unionByName(quiet)
+    nothing = F.lit(None)
+    why = F.when(F.col("n") == 0, "no drift").otherwise("stable")
+    quiet = F.array(alert(why, nothing, nothing, nothing))
+    return state.select(F.inline(F.when(F.size("hits") > 0, F.col("hits")).otherwise(quiet)))
 
 
 def drift_summary(metrics: DataFrame, violations: DataFrame | None = None) -> DataFrame:

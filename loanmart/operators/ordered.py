@@ -50,7 +50,10 @@ def with_running_totals(
 ) -> DataFrame:
     """Add ``cum_<m>``, the group's sum up to and including the row, and ``total_<m>``.
 
-    ``slices`` comes from :func:`spread` with one row per group and order value.
+    ``slices`` comes from :func:`spread` with one row per group and order value; groups are
+    few (the compared columns). As slices are contiguous, the slice totals are at most as many
+    as groups and range partitions together. They are broadcast, so that the rows are shuffled
+    by group and slice and never by group alone.
     """
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -63,7 +66,7 @@ def with_running_totals(
         *[F.sum(f"_{m}").over(whole).alias(f"total_{m}") for m in measures],
     )
     return (
-        slices.join(carried, [*group, SLICE])
+        slices.join(F.broadcast(carried), [*group, SLICE])
         .withColumns({f"cum_{m}": F.col(f"_{m}") + F.sum(m).over(inside) for m in measures})
         .drop(SLICE, *[f"_{m}" for m in measures])
     )

@@ -1,5 +1,7 @@
 """What the plans must look like to hold at scale."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +33,20 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [" in text and "GreaterThan(o_totalprice,0.0)" in text
 
 
+@pytest.mark.parametrize("name", ["ks_statistic", "psi_quantile", "auc_roc", "boxplot_stats"])
+def test_values_are_ordered_slice_by_slice(spark, name):
+    """The window over the values is fed by a shuffle that includes the slice."""
+    df = queries()[name](spark, SF_DIR)
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    lines = text.splitlines()
+    windows = [i for i, line in enumerate(lines) if re.search(r"Window \[.*(value|_rank)#\d+ ASC", line)]
+    assert windows
+    for i in windows:
+        exchange = next(line for line in lines[i:] if "Exchange hashpartitioning" in line)
+        assert re.search(r"hashpartitioning\((feature#\d+, )?_slice#\d+, ", exchange)
+
+
 def test_a_customer_with_a_third_of_the_loans_is_split(spark):
     """Adaptive execution cuts the hot partition of the feature join."""
     changes = {
