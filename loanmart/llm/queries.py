@@ -27,3 +27,16 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = simhash.groups(documents(spark, sf_dir), "doc_id", "text", shingle=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token ids in files with Elias-Fano boundaries, read back from the files."""
+    import public_tokenizers
+
+    from loanmart.llm import token_files
+
+    docs, folder = documents(spark, sf_dir), token_files.new_folder(spark)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    shards = token_files.write(docs, "doc_id", "text", folder, path, end_id=2)
+    return token_files.digests(spark, shards, folder).withColumnRenamed("id", "doc_id")
