@@ -40,3 +40,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     shards = token_files.write(docs, "doc_id", "text", folder, path, end_id=2)
     return token_files.digests(spark, shards, folder).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without bytes covered by 400-byte strings that start elsewhere too."""
+    from loanmart.llm import suffix_dedup
+
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(documents(spark, sf_dir), "doc_id", "text", 400))
