@@ -48,3 +48,11 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanmart.llm import suffix_dedup
 
     return suffix_dedup.digest(suffix_dedup.remove_repeats(documents(spark, sf_dir), "doc_id", "text", 400))
+
+
+@query()
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without words covered by 20-word sequences that start earlier too."""
+    from loanmart.llm import substring_dedup
+
+    return substring_dedup.digest(substring_dedup.remove_repeats(documents(spark, sf_dir), "doc_id", "text", 20))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 from pathlib import Path
@@ -40,3 +41,19 @@ def written(df: DataFrame) -> DataFrame:
 def partitions(spark: SparkSession, rows: int, per_task: int) -> int:
     """Partitions for ``rows`` rows with about ``per_task`` each, no fewer than the session's own."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables made by ``written`` that nothing will read again.
+
+    Collecting garbage on the driver makes Spark drop the shuffle files of the jobs that made them,
+    which otherwise stay on the executors' disks until memory happens to run short.
+    """
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()[:1]}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    gc.collect()
+    if tables:
+        jvm.System.gc()

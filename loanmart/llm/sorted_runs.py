@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from loanmart.llm.shared import partitions, written
+from loanmart.llm.shared import forget, partitions, written
 
 ROWS_PER_BUCKET = 400_000
 
@@ -38,13 +38,13 @@ def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
 
 
 def mark(table: DataFrame, columns: list[str], outer: int, inner: int) -> DataFrame:
-    """Rows of a written table of longs that share their first ``outer`` columns with another row.
+    """Rows of a table of longs that share their first ``outer`` columns with another row.
 
     Adds ``earlier`` and ``later``: whether another row with the same first ``inner`` columns sorts
     before or after; and ``mixed``: false only if all rows sharing the outer columns are known to share
     the inner ones too. Of rows equal in every column one is kept.
     """
-    spark = table.sparkSession
+    spark, table = table.sparkSession, written(table)
     n = partitions(spark, table.count(), ROWS_PER_BUCKET)
 
     def run(batches):
@@ -89,6 +89,7 @@ def mark(table: DataFrame, columns: list[str], outer: int, inner: int) -> DataFr
     marked = written(
         table.select(*columns).repartitionByRange(n, *columns).mapInArrow(run, f"{schema}, {flags}")
     )
+    forget(table)
     # at most two rows a bucket: a window over them is as long as the number of buckets
     ends = marked.where("edge > 0").withColumn("_at", F.struct("bucket", F.col("edge") == 2))
     along = Window.orderBy("_at")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loanmart.llm import blocks as B
-from loanmart.llm.shared import utf8, written
+from loanmart.llm.shared import forget, utf8, written
 from loanmart.llm.sorted_runs import mark
 
 LEAD = 32  # bytes of a suffix's leading token
@@ -182,6 +182,7 @@ def _stretches(regions: DataFrame, length: int) -> DataFrame:
     return regions.mapInArrow(run, ", ".join(f"{c} long" for c in STRETCHES))
 
 
+SINGLE = ["window", "doc", "tag", "first"]
 STRETCHES = ["common", "whole", "doc", "tag", "first", "windows", "region"]
 
 
@@ -274,11 +275,11 @@ def remove_repeats(docs: DataFrame, id_col: str, text_col: str, length: int) ->
     )
     texts = frame.drop("id")
     undecided = "mixed AND NOT earlier"  # one of each kind
-    suffixes = mark(written(_suffixes(texts, length)), SUFFIX, outer=1, inner=2)
+    suffixes = mark(_suffixes(texts, length), SUFFIX, outer=1, inner=2)
     regions = written(_regions(texts, suffixes.where(undecided), length))
-    stretches = mark(written(_stretches(regions, length)), STRETCHES, outer=1, inner=2)
-    windows = written(_single(regions, stretches.where(undecided), length))
-    single = mark(windows, ["window", "doc", "tag", "first"], outer=1, inner=1)
+    stretches = mark(_stretches(regions, length), STRETCHES, outer=1, inner=2)
+    single = mark(_single(regions, stretches.where(undecided), length), SINGLE, outer=1, inner=1)
+    forget(regions)
     found = (
         suffixes.where("earlier OR later").select("doc", "tag", "first", "windows")
         .union(stretches.where("earlier OR later").select("doc", "tag", "first", "windows"))
