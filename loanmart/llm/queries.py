@@ -56,3 +56,46 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanmart.llm import substring_dedup
 
     return substring_dedup.digest(substring_dedup.remove_repeats(documents(spark, sf_dir), "doc_id", "text", 20))
+
+
+@query(
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+      FROM documents),
+    grams AS (
+      SELECT doc_id, i, list_slice(w, i, i + 4) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+    twice AS (
+      SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) WHERE c > 1),
+    covered AS (
+      SELECT doc_id, count(DISTINCT p) AS n
+      FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id),
+    lines AS (
+      SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT l) AS dup
+      FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d)
+      WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+    m AS (
+      SELECT d.doc_id, t, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+             length(t) - length(translate(t, '0123456789', '')) AS n_digits,
+             coalesce(l.n, 0) AS n_lines, coalesce(l.dup, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+      FROM d LEFT JOIN lines l ON l.doc_id = d.doc_id LEFT JOIN covered c ON c.doc_id = d.doc_id),
+    b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+    SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+           CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+           CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+           NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words
+                OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_digits > 30 * word_chars
+                OR regexp_matches(t, '[^\x20\x09-\x0D]{201}')) AS kept
+    FROM b
+    """
+)
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of each document, and whether all quality rules keep it."""
+    from loanmart.llm import quality_rules
+
+    judged = quality_rules.judge(documents(spark, sf_dir).select("doc_id", "text"), "text")
+    measures = [m for m in quality_rules.MEASURES if m != "n_lines"]
+    return judged.select("doc_id", *measures, "base_failed", "kept")
