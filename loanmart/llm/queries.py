@@ -99,3 +99,56 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(documents(spark, sf_dir).select("doc_id", "text"), "text")
     measures = [m for m in quality_rules.MEASURES if m != "n_lines"]
     return judged.select("doc_id", *measures, "base_failed", "kept")
+
+
+@query(
+    r"""
+    WITH s AS (SELECT doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents),
+    l AS (
+      SELECT doc_id, source, i, l FROM (SELECT doc_id, source, unnest(all_lines) AS l, unnest(range(1, len(all_lines) + 1)) AS i FROM s)
+      WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+    c AS (
+      SELECT l, source, lag(l) OVER w AS before, lead(l) OVER w AS after FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    k AS (SELECT l, before, after, min(source) AS site FROM c WHERE source IS NOT NULL GROUP BY l, before, after),
+    gone AS (SELECT l FROM k GROUP BY l HAVING count(DISTINCT site) >= 12),
+    u AS (SELECT doc_id, unnest(all_lines) AS l, unnest(range(1, len(all_lines) + 1)) AS i FROM s),
+    r AS (
+      SELECT doc_id, CAST(count(*) FILTER (WHERE regexp_matches(u.l, '[^\x20\x09-\x0D]')) AS BIGINT) AS n_lines,
+             CAST(count(gone.l) AS BIGINT) AS n_removed,
+             coalesce(string_agg(u.l, chr(10) ORDER BY i) FILTER (WHERE gone.l IS NULL), '') AS t
+      FROM u LEFT JOIN gone ON gone.l = u.l GROUP BY doc_id)
+    SELECT doc_id, n_lines, n_removed, md5(t) AS text_md5 FROM r
+    """
+)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand on twelve or more sites."""
+    from loanmart.llm import line_dedup
+
+    cleaned = line_dedup.remove_boilerplate(documents(spark, sf_dir), "doc_id", "text", "source")
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", digest.alias("text_md5"))
+
+
+@query(
+    r"""
+    WITH w AS (
+      SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+      UNION ALL
+      SELECT 'b', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') FROM benchmark),
+    s AS (
+      SELECT DISTINCT kind, id, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+      FROM (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+    n AS (SELECT id, count(*) AS n FROM s WHERE kind = 'b' GROUP BY id),
+    f AS (
+      SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_found
+      FROM s d JOIN s b ON b.kind = 'b' AND d.kind = 'd' AND b.g = d.g GROUP BY d.id, b.id)
+    SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_shingles, CAST(n_found AS BIGINT) AS n_found
+    FROM f JOIN n ON n.id = f.item_id WHERE 10 * n_found >= 8 * n
+    """
+)
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark items they contain: at least 0.8 of the item's five-word shingles."""
+    from loanmart.llm import decontamination
+
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.find(documents(spark, sf_dir), "doc_id", "text", items, "item_id", "text")
