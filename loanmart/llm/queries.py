@@ -152,3 +152,11 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.find(documents(spark, sf_dir), "doc_id", "text", items, "item_id", "text")
+
+
+@query()
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in each document."""
+    from loanmart.llm import license_scan
+
+    return license_scan.scan(documents(spark, sf_dir), "doc_id", "text")
