@@ -160,3 +160,12 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loanmart.llm import license_scan
 
     return license_scan.scan(documents(spark, sf_dir), "doc_id", "text")
+
+
+@query()
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learned from those whose id's CRC-32 is not 2 modulo 4."""
+    from loanmart.llm import language_id
+
+    found = language_id.predict(documents(spark, sf_dir), "doc_id", "text", "lang")
+    return found.select("doc_id", "held_out", "lang_pred", "score")
