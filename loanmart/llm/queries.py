@@ -169,3 +169,15 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = language_id.predict(documents(spark, sf_dir), "doc_id", "text", "lang")
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document encoded to pieces and decoded again: both as digests."""
+    import public_tokenizers
+
+    from loanmart.llm import sentence_pieces
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = sentence_pieces.encode(documents(spark, sf_dir), "doc_id", "text", path).withColumnRenamed("doc_id", "id")
+    return sentence_pieces.digest(coded, path).withColumnRenamed("id", "doc_id")
