@@ -204,20 +204,20 @@ def fit(docs: DataFrame, text_col: str, lang_col: str) -> Model:
     return Model(languages, keys, seen)
 
 
-def entropies(docs: DataFrame, model: Model) -> DataFrame:
-    """``key, lang, bits, n`` for ``docs(key, lang, text)``: cross-entropies, and characters (0: no letter)."""
+def entropies(docs: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``docs`` with ``_bits, _n``: cross-entropies, and characters (0: no letter)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_GRAMS
 
     def run(batches):
-        for block in B.blocks(batches, "text"):
-            bits, n = shared.value.cross_entropies([t.decode("utf-8", "replace") for t in block.column("text").to_pylist()])
+        for block in B.blocks(batches, text_col):
+            bits, n = shared.value.cross_entropies([t or "" for t in block.column(text_col).to_pylist()])
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(n) + 1, dtype=np.int32) * bits.shape[1]), pa.array(bits.reshape(-1))
             )
-            yield pa.RecordBatch.from_arrays([block.column("key"), block.column("lang"), lists, pa.array(n)], ["key", "lang", "bits", "n"])
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in keep), lists, pa.array(n)], [*keep, "_bits", "_n"])
 
-    kind = dict(docs.dtypes)["key"]
-    return docs.select("key", "lang", "text").mapInArrow(run, f"key {kind}, lang string, bits array<double>, n long")
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in docs.select(*keep).dtypes)
+    return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(run, f"{schema}, _bits array<double>, _n long")
 
 
 class Calibration:
@@ -225,8 +225,8 @@ class Calibration:
 
     def __init__(self, languages: list[str], rows: list):
         self.scale = 1.0
-        bits = np.array([r["bits"] for r in rows], float).reshape(len(rows), len(languages))
-        n = np.array([r["n"] for r in rows], float)
+        bits = np.array([r["_bits"] for r in rows], float).reshape(len(rows), len(languages))
+        n = np.array([r["_n"] for r in rows], float)
         true = np.array([languages.index(r["lang"]) for r in rows], int)
         if len(rows):
             gaps = (bits - bits[np.arange(len(rows)), true][:, None]) * np.sqrt(n)[:, None]
@@ -245,30 +245,29 @@ class Calibration:
             self.noise.append(float(np.sqrt((off**2 * size).mean())) if len(own) else 0.0)
 
 
-def identify(docs: DataFrame, key_col: str, text_col: str, model: Model, fitted: Calibration) -> DataFrame:
-    """``key_col, lang_pred, score, rejected`` for every row.
+def verdicts(docs: DataFrame, text_col: str, model: Model, fitted: Calibration, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of every row, with ``lang_pred, score, rejected``.
 
     A null text or one without letters is ``und`` with score 0 and rejected. Ties go to the first language in
     alphabetical order. A row is rejected if its cross-entropy lies further above that of its language than
     ``REJECT`` standard deviations of texts of its length.
     """
-    frame = docs.select(F.col(key_col).alias("key"), F.lit(None).cast("string").alias("lang"), utf8(text_col).alias("text"))
-    found = entropies(frame, model)
+    found = entropies(docs, model, text_col, keep)
+    kept = [F.col(f"`{c}`") for c in keep]
     if not model.languages:
-        return found.select(F.col("key").alias(key_col), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
+        return found.select(*kept, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
 
     def pick(values: list) -> Column:
-        return F.get(F.array(*[F.lit(v) for v in values]), F.col("best"))
-
-    best = F.array_position("bits", F.array_min("bits")).cast("int") - 1
-    gaps = F.transform("bits", lambda b: F.exp(F.greatest(F.lit(-700.0), (F.array_min("bits") - b) * F.sqrt("n") * F.lit(float(fitted.scale)))))
-    limit = pick(fitted.mean) + REJECT * F.sqrt(F.pow(pick(fitted.spread), 2) + F.pow(pick(fitted.noise), 2) / F.col("n"))
-    some = F.col("n") > 0
-    return found.withColumn("best", best).select(
-        F.col("key").alias(key_col),
-        F.when(some, pick(model.languages)).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(some, 1 / F.aggregate(gaps, F.lit(0.0), lambda a, b: a + b)).otherwise(0.0).alias("score"),
-        (~some | F.coalesce(F.array_min("bits") > limit, F.lit(True))).alias("rejected"),
+        return F.get(F.array(*[F.lit(v) for v in values]), F.col("_best"))
+
+    least, n = F.array_min("_bits"), F.col("_n")
+    gaps = F.transform("_bits", lambda b: F.exp(F.greatest(F.lit(-700.0), (least - b) * F.sqrt(n) * F.lit(float(fitted.scale)))))
+    limit = pick(fitted.mean) + REJECT * F.sqrt(F.pow(pick(fitted.spread), 2) + F.pow(pick(fitted.noise), 2) / n)
+    return found.withColumn("_best", F.array_position("_bits", least).cast("int") - 1).select(
+        *kept,
+        F.when(n > 0, pick(model.languages)).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(n > 0, 1 / F.aggregate(gaps, F.lit(0.0), lambda a, b: a + b)).otherwise(0.0).alias("score"),
+        F.when(n > 0, least > limit).otherwise(True).alias("rejected"),
     )
 
 
@@ -284,10 +283,10 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[M
     held = labelled.where(calibrating & F.col(lang_col).isin(model.languages)) if model.languages else labelled.limit(0)
     rows = held.count()
     sample = held.sample(min(1.0, CALIBRATION_ROWS / max(rows, 1)), 1).select(
-        F.col(id_col).alias("key"), F.col(lang_col).cast("string").alias("lang"), utf8(text_col).alias("text")
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     )
     # about CALIBRATION_ROWS rows of one number a language
-    found = entropies(sample, model).where("n > 0").collect() if rows else []
+    found = entropies(sample, model, "text", ["lang"]).where("_n > 0").collect() if rows else []
     return model, Calibration(model.languages, found)
 
 
@@ -299,4 +298,10 @@ def predict(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataF
     """
     model, fitted = train(docs, id_col, text_col, lang_col)
     held = F.coalesce(bucket(id_col, 4) == 2, F.lit(False))
-    return identify(docs, id_col, text_col, model, fitted).withColumn("held_out", held)
+    return verdicts(docs, text_col, model, fitted, [id_col]).withColumn("held_out", held)
+
+
+def keep_known(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns, by models trained on ``docs``."""
+    model, fitted = train(docs, id_col, text_col, lang_col)
+    return verdicts(docs, text_col, model, fitted, docs.columns).where("NOT rejected").select(*[F.col(f"`{c}`") for c in docs.columns])

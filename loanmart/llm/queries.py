@@ -180,4 +180,4 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     coded = sentence_pieces.encode(documents(spark, sf_dir), "doc_id", "text", path).withColumnRenamed("doc_id", "id")
-    return sentence_pieces.digest(coded, path).withColumnRenamed("id", "doc_id")
+    return sentence_pieces.digest(coded, path).drop("ids").withColumnRenamed("id", "doc_id")

@@ -394,7 +394,7 @@ def decode(coded: DataFrame, id_col: str, ids_col: str, path: str) -> DataFrame:
 
 
 def digest(coded: DataFrame, path: str) -> DataFrame:
-    """``id, n_tokens, ids_crc32, n_chars, text_md5``: the ids, and the text they decode to, as digests."""
+    """``id, ids, n_tokens, ids_crc32, n_chars, text_md5``: beside the ids, digests of them and of the text they decode to."""
 
     def run(batches):
         model = pieces(path)
@@ -406,15 +406,15 @@ def digest(coded: DataFrame, path: str) -> DataFrame:
                 each = [values[a:b] for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("id"), pa.array(np.diff(ends)),
+                        part.column("id"), lists, pa.array(np.diff(ends)),
                         pa.array([zlib.crc32(v.astype("<u4").tobytes()) for v in each], pa.int64()),
                         pa.array([model.decode(v.tolist()) for v in each], pa.string()),
                     ],
-                    ["id", "n_tokens", "ids_crc32", "text"],
+                    ["id", "ids", "n_tokens", "ids_crc32", "text"],
                 )
 
     kind = dict(coded.dtypes)["id"]
-    found = coded.mapInArrow(run, f"id {kind}, n_tokens long, ids_crc32 long, text string")
+    found = coded.mapInArrow(run, f"id {kind}, ids array<int>, n_tokens long, ids_crc32 long, text string")
     return found.select(
-        "id", "n_tokens", "ids_crc32", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5")
+        "id", "ids", "n_tokens", "ids_crc32", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5")
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from loanmart.llm.blocks import blocks
 from loanmart.llm.components import components
@@ -216,3 +216,14 @@ def groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits:
     least = own.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = own.join(least, "root").select("fingerprint", "component_id")
     return prints.join(classes, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
+    """One row of each group: that with the smallest id, nulls first, then by a hash of the text; all columns."""
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag"))
+    found = groups(docs.withColumn("_key", key), "_key", text_col, shingle, max_bits)
+    firsts = written(found.where(F.col("_key") == F.col("component_id")).select("_key.id", "_key.tag").distinct())
+    keyed = docs.withColumns({"_id": key["id"], "_tag": key["tag"]})
+    same = Window.partitionBy("_id", "_tag").orderBy("_tag")
+    single = keyed.withColumn("_nth", F.row_number().over(same)).where("_nth = 1")
+    return single.join(firsts, F.col("_id").eqNullSafe(firsts["id"]) & (F.col("_tag") == firsts["tag"]), "left_semi").drop("_id", "_tag", "_nth")
