@@ -201,27 +201,25 @@ class Chunk:
         out[: len(values)] = values
         return out
 
-    def _middle_score(self) -> int:
-        text = self.text[self.head : self.tail]
-        return self.model.forward(text, [0], len(text))[0][-1] if text else 0
-
     def matrix(self) -> np.ndarray:
-        """Best score from each entering state (characters already covered) to each leaving state."""
+        """Best score from each entering state (characters already covered) to each leaving state.
+
+        What lies between two places that every segmentation has a boundary at is the same on all paths
+        and is left out.
+        """
         out = np.full((self.states, self.states), NOTHING)
         if self.head is None:
             for a in range(min(self.states, len(self.text) + 1)):
                 best, _ = self.model.forward(self.text, [NOTHING] * a + [0], self.size)
                 out[a] = self._leaving(best, 0)
             return out
-        # all paths meet at the cuts, so what lies between counts once
-        middle = self._middle_score()
         best, _ = self.model.forward(self.text[self.tail :], [0], self.size - self.tail)
         leaving = self._leaving(best, self.tail)
         head = self.text[: self.head]
         for a in range(min(self.states, len(head) + 1)):
             best, _ = self.model.forward(head, [NOTHING] * a + [0], len(head))
             if best[-1] != NOTHING:
-                out[a] = np.where(leaving == NOTHING, NOTHING, leaving + best[-1] + middle)
+                out[a] = np.where(leaving == NOTHING, NOTHING, leaving + best[-1])
         return out
 
     def _paths(self, entering: list[int]):
