@@ -347,8 +347,8 @@ def monitor_join(
 ) -> DataFrame:
     """Reference rows with the prediction of their key; shared names get ``_ref``/``_pred``.
 
-    ``predictions`` must hold one row per key, else use :func:`match_weights`: pairing many
-    rows with many rows of a key would grow with the square of the key's size. Without the
+    ``predictions`` must hold one row per key, else the job fails; use :func:`match_weights` then:
+    pairing many rows with many rows of a key would grow with the square of the key's size. Without the
     key on both sides the reference is returned alone.
     """
     if key not in reference.columns or key not in predictions.columns:
@@ -356,7 +356,13 @@ def monitor_join(
     shared = [c for c in reference.columns if c in predictions.columns and c != key]
     left = reference.withColumnsRenamed({c: f"{c}_ref" for c in shared})
     right = predictions.withColumnsRenamed({c: f"{c}_pred" for c in shared})
-    return left.join(right, key)
+    values = [c for c in right.columns if c != key]
+    several = F.raise_error(F.lit(f"several predictions for one {key}")).cast("bigint")
+    single = right.groupBy(key).agg(
+        *[F.first(c).alias(c) for c in values], F.count(F.lit(1)).alias("_n")
+    ).withColumn("_n", F.when(F.col("_n") > 1, several).otherwise(F.col("_n")))
+    # the count is a column of the join's input, so that it is looked at
+    return left.join(single.where("_n = 1").drop("_n"), key)
 
 
 def match_weights(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loanmart.functions.numbers import ratio, right_closed_band
@@ -110,22 +111,43 @@ def with_log(df: DataFrame, columns: Sequence[str], threshold: float = 1.0) -> D
     )
 
 
-def categories_of(df: DataFrame, column: str, limit: int = 200) -> list[str]:
-    """Distinct labels of a categorical column; refuses a column with more than ``limit``."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1)
-    labels = sorted(row[0] for row in found.collect())
-    if len(labels) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return labels
+def categories_of(df: DataFrame, column: str) -> list[str]:
+    """Distinct labels of a categorical column, sorted: as many names as ``with_one_hot`` adds columns.
+
+    A column whose labels are too many to be columns is for ``with_category_vector``.
+    """
+    found = df.select(column).where(F.col(column).isNotNull()).distinct()
+    return sorted(row[0] for row in found.collect())
+
+
+def one_hot_names(column: str, categories: Sequence[str]) -> dict[str, str]:
+    """``<column>_<category>`` in lower case for each category; where two would share a name, later ones are numbered."""
+    names: dict[str, str] = {}
+    for label in categories:
+        plain = f"{column}_{label.strip().lower().replace(' ', '_')}"
+        name, n = plain, 1
+        while name in names.values():
+            n += 1
+            name = f"{plain}_{n}"
+        names[label] = name
+    return names
 
 
 def with_one_hot(df: DataFrame, column: str, categories: Sequence[str]) -> DataFrame:
-    """A 0/1 column per category, named ``<column>_<category>`` in lower case."""
+    """A 0/1 column per category; no two categories share one."""
     return df.withColumns(
         {
-            f"{column}_{label.strip().lower().replace(' ', '_')}": F.coalesce(
-                (F.col(column) == label).cast("int"), F.lit(0)
-            )
-            for label in categories
+            name: F.coalesce((F.col(column) == label).cast("int"), F.lit(0))
+            for label, name in one_hot_names(column, categories).items()
         }
     )
+
+
+def with_category_vector(df: DataFrame, column: str, output: str) -> DataFrame:
+    """A sparse 0/1 vector over the column's labels in alphabetical order, however many there are; null gives all 0."""
+    indexer = StringIndexer(
+        inputCol=column, outputCol="_index", handleInvalid="keep", stringOrderType="alphabetAsc"
+    ).fit(df.where(F.col(column).isNotNull()))
+    encoder = OneHotEncoder(inputCol="_index", outputCol=output, dropLast=True)
+    indexed = indexer.transform(df)
+    return encoder.fit(indexed).transform(indexed).drop("_index")

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
-from loanmart.functions.numbers import to_double
+from loanmart.functions.numbers import known, to_double
 
 # Columns of the prediction tables.
 PREDICTION_COLUMNS = ("customer_id", "prediction", "probability", "rawPrediction")
@@ -55,15 +55,26 @@ def score_batch(
     features: DataFrame,
     mapping: Mapping[str, str] | None = None,
     columns: Iterable[str] = PREDICTION_COLUMNS,
-    fill: bool = False,
+    nulls: str = "fill",
 ) -> DataFrame:
     """Predictions for a feature table; columns the model needs but lacks are 0.0.
 
-    A row with a null input gets no prediction, as the pipeline skips it; ``fill`` puts 0.0
-    in its place, the way the training rows are prepared.
+    Every row leaves with a prediction: a null or NaN input counts as 0.0, the way the training rows
+    are prepared. With ``nulls="keep"`` such rows leave with null predictions instead, and
+    ``missing_inputs`` says how many inputs were missing; ``nulls="skip"`` leaves them out.
     """
+    if nulls not in ("fill", "keep", "skip"):
+        raise ValueError(f"nulls must be fill, keep or skip, not {nulls!r}")
     inputs = expected_inputs(model)
     guarded = ensure_columns(map_equivalents(features, mapping or {}), inputs)
-    if fill:
-        guarded = guarded.fillna(0.0, subset=inputs)
-    return available(model.transform(guarded), columns)
+    absent = {c: known(F.col(c)).isNull() for c in inputs}
+    missing = sum((gap.cast("int") for gap in absent.values()), F.lit(0))
+    guarded = guarded.withColumn("missing_inputs", missing)
+    if nulls == "skip":
+        guarded = guarded.where("missing_inputs = 0")
+    filled = guarded.withColumns({c: F.when(gap, 0.0).otherwise(F.col(c)) for c, gap in absent.items()})
+    scored = model.transform(filled)
+    if nulls == "keep":
+        outputs = [c for c in scored.columns if c not in filled.columns]
+        scored = scored.withColumns({c: F.when(F.col("missing_inputs") == 0, F.col(c)) for c in outputs})
+    return available(scored, [*columns, "missing_inputs"] if nulls == "keep" else columns)

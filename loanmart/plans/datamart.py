@@ -56,10 +56,11 @@ def raw_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def bronze(raw: DataFrame, months: Iterable[str] | None = None) -> DataFrame:
     """Raw rows of first-of-month snapshots, dates normalised, everything else untouched."""
     raw = lower_names(raw)
+    months = None if months is None else list(months)
     if SNAPSHOT not in raw.columns:
-        if months is None or len(list(months)) != 1:
+        if months is None or len(months) != 1:
             raise ValueError("a source without snapshot dates needs exactly one month")
-        raw = with_default_snapshot(raw, list(months)[0]).withColumn(
+        raw = with_default_snapshot(raw, months[0]).withColumn(
             SNAPSHOT, F.col(SNAPSHOT).cast("string")
         )
     dated = with_normalized_snapshot(raw)
@@ -124,7 +125,11 @@ def run(
     threshold: int = 30,
     mob: int = 6,
 ) -> Layout:
-    """Write all layers of the given months (all months when none are listed)."""
+    """Write all layers of the given months (all months when none are listed).
+
+    Listed months end with exactly the source's rows, none if it has none; a run over all
+    months also removes those that have vanished from the source.
+    """
     apply_settings(spark)
     layout = Layout(root)
     months = None if months is None else list(months)
@@ -132,7 +137,7 @@ def run(
     def stored(rows: DataFrame, layer: str, dataset: str, regroup: bool) -> DataFrame:
         """Write a table and go on from it; an empty one keeps its columns and types."""
         path = layout.table(layer, dataset)
-        write_snapshots(rows, path, regroup=regroup)
+        write_snapshots(rows, path, regroup=regroup, months=months, whole=months is None)
         return read_snapshots(spark, path, months, schema=rows.schema)
 
     tables = {}
@@ -142,9 +147,10 @@ def run(
         tables[name] = stored(silver(name, rows, generation, clean), "silver", name, False)
     features, labels = gold_stores(tables, generation, threshold, mob)
     stamped = features.withColumn("gold_processing_date", F.current_timestamp())
-    write_snapshots(stamped, layout.table("gold", "feature_store"))
+    scope = {"months": months, "whole": months is None}
+    write_snapshots(stamped, layout.table("gold", "feature_store"), **scope)
     # labels at one month on book are filtered silver rows; labels by customer are aggregated
-    write_snapshots(labels, layout.table("gold", "label_store"), regroup=generation != "typed")
+    write_snapshots(labels, layout.table("gold", "label_store"), regroup=generation != "typed", **scope)
     return layout
 
 

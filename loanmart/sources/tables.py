@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -11,22 +12,86 @@ from pyspark.sql.types import StructType
 SNAPSHOT = "snapshot_date"
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and the file system it is on, as Spark's writers see them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def clear_months(spark: SparkSession, path: str, months: Iterable[str], month: str = SNAPSHOT) -> None:
+    """Remove the partitions of these months; those that do not exist are no fault."""
+    for name in months:
+        where, files = _folder(spark, f"{path}/{month}={name}")
+        files.delete(where, True)
+
+
 def write_snapshots(
-    df: DataFrame, path: str, month: str = SNAPSHOT, regroup: bool = True
+    df: DataFrame,
+    path: str,
+    month: str = SNAPSHOT,
+    regroup: bool = True,
+    months: Iterable[str] | None = None,
+    whole: bool = False,
 ) -> None:
-    """Replace exactly the months present in ``df``; running twice changes nothing.
+    """Replace the months present in ``df``; running twice changes nothing.
 
-    ``regroup`` brings rows together by month so that files stay few; ``rebalance`` lets
+    ``months`` lists the months the rows stand for: those without rows end empty. ``whole`` says
+    that the rows are all there is, so that months no longer among them vanish. ``df`` must not be read from
+    ``path`` in these two cases. The table's columns and types are kept beside its months. ``regroup`` brings rows together by month so that files stay few; ``rebalance`` lets
     adaptive execution cut a large month into several files instead of one giant task. Rows
     that come straight from a snapshot table lie together already and need no shuffle.
     """
     rows = df.hint("rebalance", month) if regroup else df
+    spark = df.sparkSession
+    if months is not None and not whole:
+        clear_months(spark, path, months, month)
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(month)
         .parquet(path)
     )
+    schema = df.schema
+    if not whole and (stored := stored_schema(spark, path)) is not None:
+        known = {f.name: f for f in schema}
+        schema = StructType([known.pop(f.name, f) for f in stored] + list(known.values()))
+    _keep_schema(spark, path, schema)
+
+
+# Spark's readers pass over names that begin with an underscore
+SCHEMA_FILE = "_columns.json"
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    where, files = _folder(spark, f"{path}/{SCHEMA_FILE}")
+    out = files.create(where, True)
+    try:
+        out.write(bytearray(schema.json(), "utf-8"))
+    finally:
+        out.close()
+
+
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    """Columns and types of a table as its writer left them; None for a table written otherwise."""
+    where, files = _folder(spark, f"{path}/{SCHEMA_FILE}")
+    if not files.exists(where):
+        return None
+    stream = files.open(where)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return StructType.fromJson(json.loads(text))
+
+
+def stored_months(spark: SparkSession, path: str, month: str = SNAPSHOT) -> list[str]:
+    """Months a table has partitions of, oldest first, from their folders alone."""
+    where, files = _folder(spark, path)
+    if not files.exists(where):
+        return []
+    names = (status.getPath().getName() for status in files.listStatus(where))
+    found = (name.partition("=")[2] for name in names if name.startswith(f"{month}="))
+    return sorted(m for m in found if not m.startswith("__HIVE"))
 
 
 def read_snapshots(
@@ -38,9 +103,10 @@ def read_snapshots(
 ) -> DataFrame:
     """All months below the table root, or only the listed ones (partition pruning).
 
-    Months written with other columns are merged by name, which opens every file's footer;
-    a ``schema`` saves that.
+    Columns and types are those kept with the table, or a given ``schema``, so no file is opened for
+    them; in a table written otherwise, all files' columns are merged by name.
     """
+    schema = schema or stored_schema(spark, path)
     if schema is None:
         reader = spark.read.option("mergeSchema", True)
     else:

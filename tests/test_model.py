@@ -58,9 +58,15 @@ def test_saved_model_scores_the_same(spark, table, champion, rows, tmp_path):
     first = score.score_batch(champion.model, table)
     second = score.score_batch(loaded, table)
     assert first.columns == ["customer_id", "prediction", "probability", "rawPrediction"]
-    assert first.count() == table.where("y IS NOT NULL").count()
-    assert score.score_batch(loaded, table, fill=True).count() == table.count()
+    assert first.count() == table.count() and first.where("prediction IS NULL").count() == 0
     assert rows(first) == rows(second)
+    gaps = table.where("y IS NULL").count()
+    kept = score.score_batch(loaded, table, nulls="keep")
+    assert kept.count() == table.count()
+    assert kept.where("prediction IS NULL AND probability IS NULL AND missing_inputs = 1").count() == gaps
+    assert score.score_batch(loaded, table, nulls="skip").count() == table.count() - gaps
+    with pytest.raises(ValueError):
+        score.score_batch(loaded, table, nulls="drop")
     assert spark.read.parquet(f"{bank}/metrics").count() == 1
     with pytest.raises(FileNotFoundError):
         registry.load_latest_model(spark, bank, "Unknown")
@@ -131,8 +137,13 @@ def test_one_hot(spark, rows):
     hot = features.with_one_hot(df, "job", found)
     assert hot.columns == ["job", "job_data_eng", "job_lawyer"]
     assert [tuple(r)[1:] for r in hot.collect()] == [(1, 0), (0, 1), (0, 0)]
-    with pytest.raises(ValueError):
-        features.categories_of(df, "job", limit=1)
+    clash = spark.createDataFrame([("Data Eng",), ("data_eng",), ("DATA ENG ",), (None,)], "job string")
+    hot = features.with_one_hot(clash, "job", features.categories_of(clash, "job"))
+    assert len(hot.columns) == 4 and [sum(r[1:]) for r in hot.collect()] == [1, 1, 1, 0]
+    many = spark.range(1000).select(F.concat(F.lit("j"), F.col("id")).alias("job"))
+    assert len(features.categories_of(many, "job")) == 1000
+    vectors = features.with_category_vector(many.union(clash.where("job IS NULL")), "job", "v").collect()
+    assert sorted(len(r.v.indices) for r in vectors) == [0] + [1] * 1000 and len({tuple(r.v.indices) for r in vectors}) == 1001
 
 
 def test_logs_of_skewed_columns_only(spark):

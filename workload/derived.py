@@ -58,12 +58,12 @@ def age_groups(spark, sf_dir):
          SELECT CASE WHEN dti <= 0 THEN NULL WHEN dti <= 0.3 THEN 'Excellent (5)' WHEN dti <= 0.5 THEN 'Good (4)'
                      WHEN dti <= 0.7 THEN 'Fair (3)' WHEN dti <= 1.0 THEN 'Poor (2)'
                      WHEN dti > 1.0 THEN 'Critical (1)' END band
-         FROM (SELECT CASE WHEN annual_income <> 0 THEN outstanding_debt / annual_income / 20 END dti
+         FROM (SELECT CASE WHEN annual_income <> 0 THEN outstanding_debt / annual_income END dti
                FROM financials)) WHERE band IS NOT NULL GROUP BY 1""",
 )
 def dti_bands(spark, sf_dir):
-    """Financial health bands of a scaled debt ratio."""
-    dti = F.try_divide("outstanding_debt", "annual_income") / 20
+    """Financial health bands of debt against income."""
+    dti = F.try_divide("outstanding_debt", "annual_income")
     return features.dti_bands(views.silver_financials(spark, sf_dir).withColumn("dti", dti), "dti")
 
 

@@ -11,7 +11,10 @@ from loanmart.session import scratch_path
 from workload import views
 from workload.registry import query
 
-FEATURES = ["loan_amt", "due_amt", "overdue_amt", "balance", "tenure", "mob"]
+# what is numeric in silver loans, in its columns' order
+FEATURES = (
+    "tenure installment_num loan_amt due_amt paid_amt overdue_amt balance mob installments_missed dpd"
+).split()
 
 SIDED = {
     "sided": f"""
@@ -85,8 +88,10 @@ METRICS = {
 
 
 def sided(spark, sf_dir):
+    """Historical months against the newest three, over all numeric columns they share."""
     loans = views.silver_loans(spark, sf_dir)
-    return drift.sided_by(loans, F.col("snapshot_date") >= oot_cutoff(loans))
+    newest = F.col("snapshot_date") >= oot_cutoff(loans)
+    return drift.two_sided(loans.where(~newest), loans.where(newest))
 
 
 def _psi_sql(epsilon: str) -> str:
@@ -128,7 +133,7 @@ def ks_pvalue(spark, sf_dir):
     """SELECT feature, n_ref, n_cur, CASE WHEN n_ref >= 10 AND n_cur >= 10 THEN 1 ELSE 0 END compared FROM
          (SELECT f.feature, count(*) FILTER (side = 'ref' AND value IS NOT NULL) n_ref,
                  count(*) FILTER (side = 'cur' AND value IS NOT NULL) n_cur
-          FROM (SELECT unnest(['loan_amt', 'due_amt', 'overdue_amt', 'balance', 'tenure', 'mob']) feature) f
+          FROM (SELECT unnest([""" + ", ".join(f"'{f}'" for f in FEATURES) + """]) feature) f
           LEFT JOIN lng ON lng.feature = f.feature GROUP BY 1)""",
     views=SIDED,
 )
@@ -224,20 +229,21 @@ def monitor_join(spark, sf_dir):
 
 WEIGHTED = {
     "matched": """
-        SELECT s.loan_amt, s.tenure FROM silver_loans s
+        SELECT s.* FROM silver_loans s
         JOIN (SELECT * FROM silver_loans WHERE snapshot_date >= (SELECT d FROM cutoff)) p
           ON s.customer_id = p.customer_id""",
-    "sided": """
-        SELECT loan_amt, cast(tenure AS double) tenure, 'ref' side FROM silver_loans
-        UNION ALL SELECT loan_amt, cast(tenure AS double), 'cur' FROM matched""",
-    "lng": "SELECT side, feature, value FROM sided UNPIVOT (value FOR feature IN (loan_amt, tenure))",
-    **KS,
+    "sided": " UNION ALL ".join(
+        f"SELECT {', '.join(f'cast({f} AS double) {f}' for f in FEATURES)}, '{side}' side FROM {table}"
+        for side, table in (("ref", "silver_loans"), ("cur", "matched"))
+    ),
+    "lng": SIDED["lng"],
+    **{name: text for name, text in METRICS.items() if name not in SIDED},
 }
 
 
 @query(
-    "SELECT feature, ks_stat, n_ref, n_cur, ks_pvalue FROM tested",
-    rounded="ks_stat ks_pvalue", ints="n_ref n_cur", views=WEIGHTED,
+    """SELECT feature, psi, m.ks_stat, n_ref, n_cur, m.ks_pvalue FROM metrics m JOIN tested USING (feature)""",
+    rounded="psi ks_stat ks_pvalue", ints="n_ref n_cur", views=WEIGHTED,
 )
 def monitor_matched(spark, sf_dir):
     """Reference against its rows as paired with many predictions per customer, by weights.
@@ -245,10 +251,12 @@ def monitor_matched(spark, sf_dir):
     The SQL forms the pairs; Spark carries their number instead.
     """
     loans = views.silver_loans(spark, sf_dir)
-    reference = loans.select("customer_id", "loan_amt", "tenure")
+    reference = loans.drop("snapshot_date")
     predictions = loans.where(F.col("snapshot_date") >= oot_cutoff(loans)).select("customer_id")
     sample, names, weight = monitoring.matched_sample(reference, predictions)
-    return drift.ks_test(drift.sliced_values(sample, names, weight))
+    metrics = drift.drift_metrics(sample, names, weight=weight)
+    counts = drift.feature_counts(sample, names, weight).select("feature", "n_ref", "n_cur")
+    return metrics.join(counts, "feature").select("feature", "psi", "ks_stat", "n_ref", "n_cur", "ks_pvalue")
 
 
 @query(

@@ -15,7 +15,6 @@ FINANCES = (
     "outstanding_debt", "credit_utilization_ratio", "total_emi_per_month",
 )
 CLICKS = tuple(f"fe_{i}" for i in range(1, 6))
-MONTHS = {"1997-01-01": "Jan 1997", "1997-02-01": "Feb 1997", "1997-03-01": "Mar 1997"}
 
 
 def labels(spark, sf_dir):
@@ -107,6 +106,11 @@ def ssn_validity_by_month(spark, sf_dir):
 
 MISSING = {
     "Attributes": ("repaired", ["customer_id", "name", "age", "ssn", "occupation", "snapshot_date"]),
+    "Financials": (
+        "financials",
+        "customer_id monthly_inhand_salary annual_income interest_rate num_of_loan outstanding_debt "
+        "total_emi_per_month credit_utilization_ratio snapshot_date".split(),
+    ),
     "LMS MOB=0": (
         "applications",
         "loan_id customer_id loan_start_date tenure installment_num loan_amt due_amt paid_amt "
@@ -116,16 +120,14 @@ MISSING = {
 MISSING_SQL = " UNION ALL ".join(
     f"SELECT '{name}' dataset, strftime(snapshot_date, '%b %Y') m, 100.0 * ("
     + " + ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)" for c in columns)
-    + f") / {len(columns) + 1} p FROM {view} GROUP BY ALL"
+    + f" + avg(CASE WHEN snapshot_date IS NULL THEN 1.0 ELSE 0.0 END)) / {len(columns) + 1} p FROM {view} GROUP BY ALL"
     for name, (view, columns) in MISSING.items()
 )
 
 
 @query(
-    "SELECT dataset, "
-    + ", ".join(f"max(CASE WHEN m = '{m}' THEN p END) AS \"{m}\"" for m in MONTHS.values())
-    + f" FROM ({MISSING_SQL}) GROUP BY 1",
-    rounded=list(MONTHS.values()),
+    f"SELECT dataset, m data_month, p missing_pct FROM ({MISSING_SQL})",
+    rounded="missing_pct",
     views={
         "repaired": """
             SELECT customer_id, name, CASE WHEN try_cast(rtrim(age, '_') AS double) BETWEEN 0 AND 120
@@ -136,13 +138,21 @@ MISSING_SQL = " UNION ALL ".join(
     },
 )
 def missing_pct(spark, sf_dir):
-    """Mean share of missing values per dataset, months side by side."""
-    attributes = cleaning.silver_attributes(views.raw_attributes(spark, sf_dir), "repair")
-    datasets = {
-        "Attributes": snapshots.listed_months(attributes, MONTHS),
-        "LMS MOB=0": snapshots.listed_months(views.applications(spark, sf_dir), MONTHS),
+    """Mean share of missing values per dataset and month, all months."""
+    return profile.missing_pct(
+        {
+            name: df.withColumn("data_month", F.date_format("snapshot_date", "MMM yyyy"))
+            for name, df in _described(spark, sf_dir).items()
+        }
+    )
+
+
+def _described(spark, sf_dir):
+    return {
+        "Attributes": cleaning.silver_attributes(views.raw_attributes(spark, sf_dir), "repair"),
+        "Financials": views.silver_financials(spark, sf_dir),
+        "LMS MOB=0": views.applications(spark, sf_dir),
     }
-    return profile.missing_pct_pivot(profile.missing_pct(datasets), list(MONTHS.values()))
 
 
 @query(
@@ -323,29 +333,30 @@ def stable_sample(spark, sf_dir):
 
 
 @query(
-    """SELECT loan_id, snapshot_date, dpd, NULL::double balance FROM silver_loans WHERE mob = 0
-       UNION ALL SELECT loan_id, snapshot_date, NULL, balance FROM loans WHERE installment_num = 1""",
+    """SELECT loan_id, snapshot_date, CASE WHEN year(snapshot_date) % 2 = 0 THEN dpd END dpd,
+              CASE WHEN year(snapshot_date) % 2 = 1 THEN balance END balance FROM silver_loans""",
     rounded="balance", dates="snapshot_date",
 )
 def union_by_name(spark, sf_dir):
-    """Tables with different columns in one."""
-    first = views.applications(spark, sf_dir).select("loan_id", "snapshot_date", "dpd")
-    second = views.loans(spark, sf_dir).where("installment_num = 1")
-    return profile.union_by_name([first, second.select("snapshot_date", "loan_id", "balance")])
+    """All months in one, as if those of odd years had been written with other columns."""
+    loans = views.silver_loans(spark, sf_dir)
+    odd = F.year("snapshot_date") % 2 == 1
+    first = loans.where(~odd).select("loan_id", "snapshot_date", "dpd")
+    second = loans.where(odd).select("snapshot_date", "loan_id", "balance")
+    return profile.union_by_name([first, second])
 
 
 @query(
     """SELECT m.snapshot_date FROM
          (SELECT cast(unnest(generate_series(min(snapshot_date), max(snapshot_date), INTERVAL 1 MONTH)) AS date)
                    snapshot_date FROM silver_loans) m
-       WHERE m.snapshot_date NOT IN (SELECT snapshot_date FROM applications WHERE loan_amt > 495000)""",
+       WHERE m.snapshot_date NOT IN (SELECT snapshot_date FROM attributes WHERE snapshot_date IS NOT NULL)""",
     dates="snapshot_date",
 )
 def missing_months(spark, sf_dir):
-    """Months without a very large application."""
+    """Months of the loans for which no customer's attributes came in."""
     loans = views.silver_loans(spark, sf_dir)
-    large = cleaning.at_mob(loans, 0).where("loan_amt > 495000")
-    return snapshots.missing_months(snapshots.calendar(loans), large)
+    return snapshots.missing_months(snapshots.calendar(loans), views.silver_attributes(spark, sf_dir))
 
 
 @query("SELECT count(*) n_rows, count(*) FILTER (dpd IS NULL) n_null_dpd FROM silver_loans")
@@ -407,9 +418,9 @@ def bad_rate_stabilisation(spark, sf_dir):
               CASE WHEN initial_rate <> 0 THEN 100 * (final_rate - initial_rate) / initial_rate END
                 relative_growth_pct
        FROM (SELECT arg_min(bad_rate, mob) initial_rate, max(mob) final_mob, arg_max(bad_rate, mob) final_rate
-             FROM rates WHERE mob > 0)""",
+             FROM rates)""",
     rounded="initial_rate final_rate absolute_growth relative_growth_pct", views=RATES,
 )
 def bad_rate_growth(spark, sf_dir):
-    """From month 1 on, as nothing can be late in month 0 of these loans."""
-    return vintage.growth(rates(spark, sf_dir).where("mob > 0"))
+    """From the first month on book; nothing can be late there, so relative growth is null."""
+    return vintage.growth(rates(spark, sf_dir))
