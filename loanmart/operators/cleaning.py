@@ -93,6 +93,22 @@ def drop_system_columns(df: DataFrame, columns: Iterable[str] = SYSTEM_COLUMNS)
     return df.drop(*columns)
 
 
+def typed_by_content(df: DataFrame, keep: Iterable[str] = ("customer_id", "snapshot_date")) -> DataFrame:
+    """Text columns whose every known value is a number become doubles; others, and ``keep``, stay.
+
+    One pass over the table, whose result is one flag per column. A column without any value stays text.
+    """
+    candidates = [c for c, kind in df.dtypes if kind == "string" and c not in set(keep)]
+    if not candidates:
+        return df
+    number = {c: to_double(F.trim(F.col(c))) for c in candidates}
+    clean = [
+        ((F.count(c) > 0) & (F.count(c) == F.count(number[c]))).alias(c) for c in candidates
+    ]
+    numeric = df.agg(*clean).first()
+    return df.withColumns({c: number[c] for c in candidates if numeric[c]})
+
+
 def valid_loans(df: DataFrame) -> DataFrame:
     return df.where(F.col("loan_amt") > 0)
 

@@ -19,6 +19,7 @@ from loanmart.operators.ordered import (
     value_weights,
     with_running_totals,
 )
+from loanmart.session import cut_lineage
 
 SIDE = "side"
 # Thresholds and constants of the drift reports.
@@ -32,14 +33,18 @@ MIN_ROWS = 10
 KOLMOGOROV_TERMS = 100
 
 
-def two_sided(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """Both samples in one frame, reduced to the numeric columns they share."""
+def two_sided(reference: DataFrame, current: DataFrame, zero_fill: bool = False) -> DataFrame:
+    """Both samples in one frame, reduced to the numeric columns they share.
+
+    ``zero_fill`` counts a missing value as 0 instead of leaving it out.
+    """
     shared = set(numeric_columns(current))
     columns = [c for c in numeric_columns(reference) if c in shared]
-    return (
+    both = (
         reference.select(*columns, F.lit("ref").alias(SIDE))
         .unionByName(current.select(*columns, F.lit("cur").alias(SIDE)))
     )
+    return both.fillna(0, subset=columns) if zero_fill else both
 
 
 def sided_by(df: DataFrame, is_current: Column) -> DataFrame:
@@ -240,7 +245,10 @@ def drift_metrics(
     weight: str | None = None,
 ) -> DataFrame:
     """``feature, psi, ks_stat, ks_pvalue`` for features with enough known values."""
-    slices = sliced_values(sided, features, weight)
+    # one pass of running totals feeds both the edges and the distances
+    slices = cut_lineage(
+        with_running_totals(sliced_values(sided, features, weight), ["feature"], "value", ["n_ref", "n_cur"])
+    )
     if method == "minmax":
         psi = psi_minmax(sided, features, weight=weight)
     elif method == "own":

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from loanmart.session import cut_lineage
 
 SLICE = "_slice"
+ROWS_PER_SLICE = 1_000_000  # distinct values that one task orders
 
 
 def value_weights(
@@ -38,10 +39,15 @@ def value_weights(
 def spread(counts: DataFrame, group: Sequence[str], order: str) -> DataFrame:
     """Put counts into contiguous slices by ``order`` within ``group``.
 
-    The range partitioning is written once: the slice a row gets must not change between the
+    The counts are written first, so that the number of slices follows from how many there are. The
+    range partitioning is written as well: the slice a row gets must not change between the
     branches that use it, nor when a lost executor makes Spark run a task again.
     """
-    ranged = counts.repartitionByRange(*group, order)
+    spark = counts.sparkSession
+    known = cut_lineage(counts)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(least, -(-known.count() // ROWS_PER_SLICE))
+    ranged = known.repartitionByRange(slices, *group, order)
     return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
@@ -53,8 +59,10 @@ def with_running_totals(
     ``slices`` comes from :func:`spread` with one row per group and order value; groups are
     few (the compared columns). As slices are contiguous, the slice totals are at most as many
     as groups and range partitions together. They are broadcast, so that the rows are shuffled
-    by group and slice and never by group alone.
+    by group and slice and never by group alone. Rows that have the totals already are returned as they are.
     """
+    if all(f"cum_{m}" in slices.columns for m in measures):
+        return slices
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*group, SLICE).orderBy(order)

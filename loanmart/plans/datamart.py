@@ -23,7 +23,7 @@ from loanmart.operators.snapshots import (
 )
 from loanmart.session import apply_settings
 from loanmart.sources.raw import lower_names, read_raw_optional
-from loanmart.sources.tables import read_snapshots, write_snapshots
+from loanmart.sources.tables import read_snapshots, stored_schema, write_snapshots
 
 # Raw files per dataset.
 RAW_FILES = {
@@ -87,7 +87,7 @@ def silver(
         return cleaning.silver_loans_flat(table)
     if dataset == "clickstream":
         return cleaning.cast_prefix(table, "fe_")
-    return table
+    return cleaning.typed_by_content(table)
 
 
 def gold_stores(
@@ -144,7 +144,10 @@ def run(
     for name, source in raw.items():
         rows = stored(with_lineage(bronze(source, months), "bronze"), "bronze", name, True)
         rows = rows.drop("bronze_ingestion_timestamp", "bronze_processing_date")
-        tables[name] = stored(silver(name, rows, generation, clean), "silver", name, False)
+        cleaned = silver(name, rows, generation, clean)
+        if months is not None:
+            cleaned = as_stored(cleaned, stored_schema(spark, layout.table("silver", name)))
+        tables[name] = stored(cleaned, "silver", name, False)
     features, labels = gold_stores(tables, generation, threshold, mob)
     stamped = features.withColumn("gold_processing_date", F.current_timestamp())
     scope = {"months": months, "whole": months is None}
@@ -154,6 +157,19 @@ def run(
     return layout
 
 
+def as_stored(rows: DataFrame, schema: StructType | None) -> DataFrame:
+    """Some months of a table in the types its other months have.
+
+    Fails, rather than losing the value, where a number is stored and a new row has text.
+    """
+    if schema is None:
+        return rows
+    kinds = {field.name: field.dataType for field in schema}
+    return rows.withColumns(
+        {c: F.col(c).cast(kinds[c]) for c, kind in rows.dtypes if c in kinds and kinds[c].simpleString() != kind}
+    )
+
+
 def layer_counts(spark: SparkSession, layout: Layout, datasets: Iterable[str]) -> DataFrame:
     """Rows per table and month as written."""
     names = [(layer, d) for layer in ("bronze", "silver") for d in datasets]

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loanmart.operators import drift
 from loanmart.operators.cleaning import numeric_columns
-from loanmart.session import apply_settings
-from loanmart.sources.tables import append_report
+from loanmart.plans.scoring import newest_predictions
+from loanmart.session import apply_settings, cut_lineage, release, written_so_far
+from loanmart.sources.tables import append_report, read_snapshots
 
 
 def matched_sample(
@@ -41,11 +43,33 @@ def report(
     weight: str | None = None,
 ) -> DataFrame:
     """Append metrics, alerts and summary below ``root``; returns the summary."""
-    apply_settings(sided.sparkSession)
+    spark = apply_settings(sided.sparkSession)
+    mark = written_so_far(spark)
     metrics = drift.with_flags(drift.drift_metrics(sided, features, method, weight)).cache()
     clock = F.current_timestamp().alias("reported_at")
     summary = drift.drift_summary(metrics, violations)
     append_report(metrics.select("*", clock), f"{root}/metrics")
     append_report(drift.drift_alerts(metrics).select("*", clock), f"{root}/alerts")
+    summary = cut_lineage(summary)
     append_report(summary.select("*", clock), f"{root}/summary")
-    return summary
+    metrics.unpersist()
+    reported = summary.collect()  # one row
+    schema = summary.schema
+    release(spark, mark)
+    return spark.createDataFrame(reported, schema)
+
+
+def run(
+    spark: SparkSession, samples: str, features: str, predictions: str, root: str, key: str = "customer_id"
+) -> DataFrame:
+    """Report of the stored out-of-time sample, or of the feature table without one, against itself as
+    matched by the newest stored predictions."""
+    apply_settings(spark)
+    try:
+        reference = spark.read.parquet(f"{samples}/oot")
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        reference = read_snapshots(spark, features)
+    sided, names, weight = matched_sample(reference, newest_predictions(spark, predictions), key)
+    return report(sided, names, root, weight=weight)

@@ -19,6 +19,11 @@ SETTINGS = {
 }
 
 
+# Temporary folders of local sessions, and tables written by ``cut_lineage``, by application.
+_LOCAL: dict[str, str | None] = {}
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
@@ -45,17 +50,17 @@ def local_session(app: str, cores: str | int = "*", **conf: str) -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may run without that setting; it gets a temporary folder.
+    Only a local session may run without that setting; it gets a temporary folder. Tables go to
+    a folder of the application below it; the session's own settings stay as they are.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            named = tempfile.mkdtemp(prefix="loanmart-")
-        context.setCheckpointDir(named)
-    return context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if context.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        named = _LOCAL.setdefault(context.applicationId, None) or tempfile.mkdtemp(prefix="loanmart-")
+        _LOCAL[context.applicationId] = named
+    return f"{named}/{context.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -74,6 +79,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Later branches see the same rows whatever executors are lost, read only the columns they
     need, and are planned with the true size.
     """
-    path = scratch_path(df.sparkSession, "written")
+    spark = df.sparkSession
+    path = scratch_path(spark, "written")
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def written_so_far(spark: SparkSession) -> int:
+    """A mark for ``release``: what is written after it can be deleted without what was there before."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables ``cut_lineage`` has written since a mark; returns their number.
+
+    For jobs whose result no longer reads them, and for the end of a session.
+    """
+    paths = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    gone, paths[since:] = paths[since:], []
+    for path in gone:
+        _delete(spark, path)
+    return len(gone)

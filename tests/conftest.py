@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from loanmart.session import local_session  # noqa: E402
+from loanmart.session import local_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", 4, **{"spark.sql.shuffle.partitions": "4"})
     yield session
+    release(session)
     session.stop()
 
 

@@ -177,3 +177,11 @@ def test_report_tables_grow(spark, tmp_path):
     assert summary.first().num_drifted_features == 1
     for table in ("metrics", "alerts", "summary"):
         assert spark.read.parquet(str(tmp_path / "reports" / table)).count() == 2
+
+
+def test_several_predictions_for_a_key_are_refused(spark):
+    reference = spark.createDataFrame([("a", 1), ("a", 2)], "customer_id string, x int")
+    single = spark.createDataFrame([("a", 0.5)], "customer_id string, prediction double")
+    assert drift.monitor_join(reference, single).count() == 2
+    with pytest.raises(Exception, match="several predictions"):
+        drift.monitor_join(reference, single.union(single)).collect()

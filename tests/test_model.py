@@ -72,6 +72,17 @@ def test_saved_model_scores_the_same(spark, table, champion, rows, tmp_path):
         registry.load_latest_model(spark, bank, "Unknown")
 
 
+def test_stored_samples(spark, table, champion, tmp_path):
+    again = training.train(
+        table, ["customer_id", "snapshot_date"], [champion.candidate], trees=5, samples=str(tmp_path)
+    )
+    parts = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in ("train", "oot")}
+    record = again.metrics.first()
+    assert (parts["train"].count(), parts["oot"].count()) == (record.train_rows, record.oot_rows)
+    assert set(parts["oot"].columns) == set(table.columns)
+    assert again.areas == [(champion.candidate, record.val_auc)]
+
+
 def test_scoring_fills_what_the_model_lacks(table, champion):
     scored = score.score_batch(champion.model, table.drop("y").withColumnRenamed("mob", "m"), {"mob": "m"})
     assert scored.count() == table.count()

@@ -2,7 +2,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loanmart.operators import evaluate, ordered, profile
+import workload.catalog  # noqa: F401
+from loanmart import session
+from loanmart.operators import drift, evaluate, ordered, profile
+from tools.check_queries import compare, duck
+from workload.registry import ORACLES, QUERIES
 
 
 def frame(spark, **columns):
@@ -38,11 +42,53 @@ def test_quantiles_leave_out_missing_values(spark):
     assert ordered.exact_quantiles(df.where("false"), ["x"], [0.5]).count() == 0
 
 
+@pytest.fixture(autouse=True)
+def small_slices(monkeypatch):
+    """At most 50 values a slice, so that totals are carried across many."""
+    monkeypatch.setattr(ordered, "ROWS_PER_SLICE", 50)
+
+
+SLICED = (
+    "auc_roc auc_pr psi_quantile psi_reference_edges ks_statistic ks_pvalue drift_summary boxplot_stats "
+    "application_profile income_bands monitor_matched"
+).split()
+
+
+@pytest.mark.parametrize("name", SLICED)
+def test_sliced_queries_match_sql_over_many_slices(spark, monkeypatch, name):
+    if name in ("auc_roc", "auc_pr", "income_bands"):  # fewer distinct values
+        monkeypatch.setattr(ordered, "ROWS_PER_SLICE", 8)
+    used = []
+    plain = ordered.spread
+
+    def counted(*arguments):
+        used.append(plain(*arguments))
+        return used[-1]
+
+    for module in (ordered, drift, evaluate, profile):
+        if hasattr(module, "spread"):
+            monkeypatch.setattr(module, "spread", counted)
+    folder = "/root/testdata/sf0.001"
+    assert compare(QUERIES[name](spark, folder), duck(folder), ORACLES[name]) == ""
+    assert used and all(u.select(ordered.SLICE).distinct().count() >= 5 for u in used)
+
+
+def test_written_tables_are_released(spark):
+    mark = session.written_so_far(spark)
+    before = session.cut_lineage(spark.range(3))
+    later = session.written_so_far(spark)
+    ordered.exact_quantiles(frame(spark, x=range(200)), ["x"], [0.5]).collect()
+    assert session.release(spark, later) > 0 and before.count() == 3
+    assert session.release(spark, mark) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|not exist"):
+        spark.read.parquet(before.inputFiles()[0]).count()
+
+
 def test_running_totals_over_many_slices(spark):
     values = np.random.default_rng(0).permutation(5000)
     df = spark.createDataFrame([(int(v) % 3, int(v), 1 + int(v) % 5) for v in values], "g int, v int, n int")
     sliced = ordered.spread(df, ["g"], "v")
-    assert sliced.select(ordered.SLICE).distinct().count() >= 1
+    assert sliced.select(ordered.SLICE).distinct().count() >= 5
     totals = ordered.with_running_totals(sliced, ["g"], "v", ["n"]).toPandas()
     for _, part in totals.sort_values("v").groupby("g"):
         assert (part["n"].cumsum() == part["cum_n"]).all()

@@ -6,6 +6,32 @@ from pyspark.sql import functions as F
 from loanmart.plans import datamart
 from loanmart.sources import registry, tables
 
+def test_emptied_and_vanished_months_go(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    full = spark.createDataFrame([(1, MONTHS[0], 5), (2, MONTHS[1], 6)], "id int, snapshot_date date, x int")
+    tables.write_snapshots(full, path, whole=True)
+    january = full.where("id = 1")
+    tables.write_snapshots(january.where("false"), path, months=[str(MONTHS[1])])
+    assert rows(tables.read_snapshots(spark, path), "id") == [(1,)]
+    assert tables.stored_months(spark, path) == [str(MONTHS[0])]
+    tables.write_snapshots(full.where("id = 2"), path, whole=True)
+    assert rows(tables.read_snapshots(spark, path), "id") == [(2,)]
+
+
+def test_columns_kept_with_a_table_save_the_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, MONTHS[0])], "id int, snapshot_date date")
+    tables.write_snapshots(first, path)
+    tables.write_snapshots(spark.createDataFrame([(2, MONTHS[1], "a")], "id int, snapshot_date date, y string"), path)
+    schema = tables.stored_schema(spark, path)
+    assert [f.name for f in schema] == ["id", "snapshot_date", "y"]
+    # a file that could not be read does no harm as long as its month is not wanted
+    (tmp_path / "t" / f"snapshot_date={MONTHS[2]}").mkdir()
+    (tmp_path / "t" / f"snapshot_date={MONTHS[2]}" / "part-0.parquet").write_text("no parquet")
+    one = tables.read_snapshots(spark, path, [str(MONTHS[1])])
+    assert [(r.id, r.y) for r in one.collect()] == [(2, "a")]
+
+
 MONTHS = [dt.date(2023, m, 1) for m in (1, 2, 4)]
 
 

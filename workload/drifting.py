@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loanmart.operators import drift
+from loanmart.operators import drift, model
 from loanmart.operators.split import oot_cutoff
-from loanmart.plans import monitoring
+from loanmart.plans import monitoring, scoring, training
 from loanmart.session import scratch_path
+from loanmart.sources import tables
 from workload import views
+from workload.gold import FEATURES as GOLD_INPUTS, gold_by_state
 from workload.registry import query
 
 # what is numeric in silver loans, in its columns' order
@@ -273,3 +275,66 @@ def monitor_report(spark, sf_dir):
     )
     monitoring.report(sided(spark, sf_dir), FEATURES, root, violations)
     return spark.read.parquet(f"{root}/metrics").drop("reported_at")
+
+
+GOLD_FEATURES = f"{GOLD_INPUTS} tenure mob label".split()
+STORED = {
+    "reference": "SELECT * FROM gold_a2 WHERE snapshot_date >= (SELECT d FROM cutoff)",
+    "newest": "SELECT customer_id FROM gold_a2 WHERE snapshot_date = (SELECT max(snapshot_date) FROM gold_a2)",
+    "sided": " UNION ALL ".join(
+        f"SELECT {', '.join(f'cast(coalesce({f}, 0) AS double) {f}' for f in GOLD_FEATURES)}, '{side}' side FROM {table}"
+        for side, table in (("ref", "reference"), ("cur", "(SELECT r.* FROM reference r JOIN newest n ON r.customer_id = n.customer_id)"))
+    ),
+    "lng": f"SELECT side, feature, value FROM sided UNPIVOT (value FOR feature IN ({', '.join(GOLD_FEATURES)}))",
+    **{name: text for name, text in METRICS.items() if name not in (*SIDED, "metrics")},
+    "metrics": """SELECT feature, psi, ks_stat, ks_pvalue FROM psi_ref JOIN tested USING (feature)
+                  WHERE n_ref >= 10 AND n_cur >= 10""",
+}
+
+
+@query(
+    """SELECT 'metric' kind, feature, psi, ks_stat, ks_pvalue FROM metrics
+       UNION ALL SELECT 'drift', feature, psi, NULL, ks_pvalue FROM metrics WHERE psi > 0.2 OR ks_pvalue < 0.05
+       UNION ALL SELECT CASE WHEN count(*) = 0 THEN 'no drift' ELSE 'stable' END, NULL, NULL, NULL, NULL FROM metrics
+       HAVING count(*) FILTER (psi > 0.2 OR ks_pvalue < 0.05) = 0
+       UNION ALL SELECT 'summary', cast(count(*) AS varchar), avg(psi), avg(ks_stat), NULL FROM metrics""",
+    rounded="psi ks_stat ks_pvalue", views=STORED,
+)
+def monitor_stored(spark, sf_dir):
+    """From a stored gold table to alerts: train, publish, score the newest month, report; all tables read back."""
+    root = scratch_path(spark, "monitoring")
+    tables.write_snapshots(gold_by_state(spark, sf_dir), f"{root}/gold")
+    rows = tables.read_snapshots(spark, f"{root}/gold")
+    grid = [model.Candidate("LogisticRegression", 0.01)]
+    best = training.train(rows, ["customer_id", "snapshot_date"], grid, samples=f"{root}/samples")
+    training.publish(spark, best, f"{root}/bank", "20250101_000000")
+    scoring.run(spark, f"{root}/gold", f"{root}/bank", f"{root}/predictions")
+    monitoring.run(spark, f"{root}/samples", f"{root}/gold", f"{root}/predictions", f"{root}/report")
+    metrics, alerts, summary = (spark.read.parquet(f"{root}/report/{t}") for t in ("metrics", "alerts", "summary"))
+    none = F.lit(None).cast("double")
+    return (
+        metrics.select(F.lit("metric").alias("kind"), "feature", "psi", "ks_stat", "ks_pvalue")
+        .union(alerts.select("outcome", "feature", "psi", none, "ks_pvalue"))
+        .union(summary.select(F.lit("summary"), F.col("num_features").cast("string"), "avg_psi", "avg_ks", none))
+    )
+
+
+ZEROS = {
+    **SIDED,
+    "zeros": f"""SELECT side, {', '.join(f'coalesce({f}, 0) {f}' for f in FEATURES)} FROM sided""",
+}
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{f}' feature, count(*) FILTER (side = 'ref') n_ref, count(*) FILTER (side = 'cur') n_cur, "
+        "CASE WHEN count(*) FILTER (side = 'ref') >= 10 AND count(*) FILTER (side = 'cur') >= 10 THEN 1 ELSE 0 END compared FROM zeros"
+        for f in FEATURES
+    ),
+    ints="n_ref n_cur compared", views=ZEROS,
+)
+def drift_features_zero_filled(spark, sf_dir):
+    """Missing values counted as 0: every row is known."""
+    loans = views.silver_loans(spark, sf_dir)
+    newest = F.col("snapshot_date") >= oot_cutoff(loans)
+    return drift.feature_counts(drift.two_sided(loans.where(~newest), loans.where(newest), zero_fill=True), FEATURES)

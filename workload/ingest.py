@@ -379,3 +379,110 @@ def silver_from_text(spark, sf_dir):
         F.max("dpd").alias("max_dpd"),
         F.sum("installments_missed").alias("n_missed"),
     )
+
+
+@query(
+    """SELECT layer, snapshot_date, n_rows FROM (
+         SELECT 'bronze.loans' AS layer, snapshot_date, count(*) n_rows FROM loans GROUP BY ALL
+         UNION ALL SELECT 'silver.loans', snapshot_date, count(*) FROM silver_loans GROUP BY ALL
+         UNION ALL SELECT 'gold.feature_store', snapshot_date, count(*) FROM silver_loans WHERE mob = 0 GROUP BY ALL
+         UNION ALL SELECT 'gold.label_store', snapshot_date, count(*) FROM labels_a1 GROUP BY ALL)
+       WHERE snapshot_date IN (DATE '1997-01-01', DATE '1997-03-01')""",
+    dates="snapshot_date", ints="n_rows",
+)
+def rerun_emptied_month(spark, sf_dir):
+    """Three months written, one rerun after its rows have gone: no layer keeps them."""
+    loans, root = views.loans(spark, sf_dir), scratch_path(spark, "datamart")
+    months = ["1997-01-01", "1997-02-01", "1997-03-01"]
+    layout = datamart.run(spark, {"loans": views.as_text(loans)}, root, months)
+    emptied = loans.where("snapshot_date <> DATE '1997-02-01'")
+    datamart.run(spark, {"loans": views.as_text(emptied)}, root, months[1:2])
+    return datamart.layer_counts(spark, layout, ["loans"])
+
+
+FLAT_SQL = " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, snapshot_date, count(*) n_rows FROM {view} "
+    "WHERE snapshot_date IS NOT NULL GROUP BY ALL"
+    for layer, view in {
+        "bronze.loans": "loans",
+        "bronze.attributes": "raw_attributes",
+        "bronze.financials": "raw_financials",
+        "silver.loans": "flat_loans",
+        "silver.attributes": "raw_attributes",
+        "silver.financials": "raw_financials",
+        "gold.feature_store": "states",
+        "gold.label_store": "labels_a2",
+    }.items()
+)
+
+
+def _flat_datamart(spark, sf_dir):
+    sources = {k: v for k, v in raw_sources(spark, sf_dir).items() if k != "clickstream"}
+    return sources, datamart.run(spark, sources, scratch_path(spark, "datamart"), generation="flat")
+
+
+@query(FLAT_SQL, dates="snapshot_date", ints="n_rows")
+def backfill_counts_flat(spark, sf_dir):
+    """The datamart of the flat generation."""
+    sources, layout = _flat_datamart(spark, sf_dir)
+    return datamart.layer_counts(spark, layout, sources)
+
+
+@query(
+    """SELECT unnest(['loan_amt', 'tenure', 'mob', 'monthly_inhand_salary', 'annual_income', 'interest_rate', 'num_of_loan',
+                      'outstanding_debt', 'total_emi_per_month', 'credit_utilization_ratio']) feature"""
+)
+def gold_types_flat(spark, sf_dir):
+    """What training finds numeric in the flat gold table."""
+    _, layout = _flat_datamart(spark, sf_dir)
+    rows = tables.read_snapshots(spark, layout.table("gold", "feature_store"))
+    names = cleaning.numeric_columns(rows, ["label"])
+    return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("feature"))
+
+
+@query("SELECT count(*) n_rows, count(DISTINCT snapshot_date) n_months FROM silver_loans")
+def first_available(spark, sf_dir):
+    """The first place that holds the table; the one before it does not exist."""
+    places = [scratch_path(spark, "nowhere"), _written_loans(spark, sf_dir)]
+    found = tables.read_first_available(spark, places)
+    return found.agg(F.count("*").alias("n_rows"), F.count_distinct("snapshot_date").alias("n_months"))
+
+
+@query("SELECT count(*) n_rows, false other_found FROM raw_attributes", ints="n_rows")
+def optional_sources(spark, sf_dir):
+    """Raw files that exist; the others are left out."""
+    folder = scratch_path(spark, "raw")
+    raw.write_csv(views.raw_attributes(spark, sf_dir), f"{folder}/{datamart.RAW_FILES['attributes']}")
+    found = datamart.raw_sources(spark, folder)
+    counted = found["attributes"].agg(F.count("*").alias("n_rows"))
+    return counted.withColumn("other_found", F.lit(len(found) > 1))
+
+
+@query(
+    "SELECT loan_id, mob, strftime(snapshot_date, '%Y-%m-%d') silver_processing_date, true stamped FROM silver_loans"
+)
+def lineage_columns(spark, sf_dir):
+    """Processing month as text, and a clock that is only known to be there."""
+    rows = snapshots.with_lineage(views.silver_loans(spark, sf_dir), "silver")
+    stamped = F.col("silver_ingestion_timestamp").isNotNull()
+    return rows.select("loan_id", "mob", "silver_processing_date", stamped.alias("stamped"))
+
+
+@query("SELECT loan_id, mob, overdue_amt amount FROM silver_loans", rounded="amount")
+def first_present_column(spark, sf_dir):
+    """The first of several spellings that the table has."""
+    rows = views.silver_loans(spark, sf_dir)
+    return rows.select("loan_id", "mob", F.col(cleaning.first_present(rows, ["amt_overdue", "overdue_amt", "balance"])).alias("amount"))
+
+
+@query(
+    """SELECT max(snapshot_date) latest FROM (
+         SELECT snapshot_date FROM loans UNION ALL SELECT snapshot_date FROM attributes)
+       WHERE snapshot_date IN (DATE '1996-05-01', DATE '1997-03-01', DATE '2030-01-01')""",
+    dates="latest",
+)
+def newest_listed_snapshot(spark, sf_dir):
+    """Newest of the wanted months that some table holds."""
+    held = [views.loans(spark, sf_dir), views.silver_attributes(spark, sf_dir)]
+    newest = tables.newest_listed_snapshot(held, ["1996-05-01", "1997-03-01", "2030-01-01"])
+    return spark.range(1).select(newest.alias("latest"))

@@ -424,3 +424,16 @@ def bad_rate_stabilisation(spark, sf_dir):
 def bad_rate_growth(spark, sf_dir):
     """From the first month on book; nothing can be late there, so relative growth is null."""
     return vintage.growth(rates(spark, sf_dir))
+
+
+@query("SELECT true no_bad_loans")
+def no_bad_loans(spark, sf_dir):
+    """A threshold that no delay reaches is noticed."""
+    return vintage.no_bad_loans(vintage.bad_rate_by_mob(views.silver_loans(spark, sf_dir), 1_000_000))
+
+
+@query("SELECT count(*) n_rows FROM silver_loans WHERE snapshot_date = DATE '1900-01-01'", ints="n_rows")
+def empty_snapshot(spark, sf_dir):
+    """A month without rows gives empty stores, not a failure."""
+    month = snapshots.only_month(views.silver_loans(spark, sf_dir), "1900-01-01")
+    return gold.label_store_at_mob(month).agg(F.count("*").alias("n_rows"))
