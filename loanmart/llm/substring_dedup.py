@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loanmart.llm import blocks as B
-from loanmart.llm.shared import utf8, written
+from loanmart.llm.shared import utf8
 from loanmart.llm.sorted_runs import mark
 
 ROUNDS = 2

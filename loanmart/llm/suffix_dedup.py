@@ -18,8 +18,6 @@ over many buckets; no pairs are formed. Memory follows the block of text, not th
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F

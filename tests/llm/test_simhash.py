@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
 
 from loanmart.llm import simhash
 from loanmart.llm.queries import QUERIES
