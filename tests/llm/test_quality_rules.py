@@ -50,7 +50,7 @@ def test_order_changes_the_reason_but_not_the_verdict(spark, table):
 
 def test_rules_that_reject_more_for_less_go_first(spark, monkeypatch):
     ready(spark)
-    docs = spark.range(2000).withColumn("text", F.repeat(F.lit("ab cd "), 200))
+    docs = spark.range(2000).withColumn("text", F.repeat(F.lit("ab cd "), 3000))
     dear = F.size(F.regexp_extract_all("text", F.lit("a(b) (c)d"), F.lit(1)))
     rules = [
         Q.Rule("dear_never", dear < 0), Q.Rule("dear_half", (dear > 0) & (F.col("id") % 2 == 0)), Q.Rule("cheap_most", F.col("id") % 10 > 0),
