@@ -38,7 +38,8 @@ class WordIds(dict):
     """Ids of a word (bytes between ASCII white space) as packed numbers, found once and kept.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its
-    words. What has only ASCII letters skips normalising and splitting, which would leave it as it is.
+    words; and it splits a word between a letter and a full stop or comma. What has only letters of Latin-1 is not changed
+    by normalising but for its case, nor split, and goes straight to the vocabulary's merges.
     """
 
     def __init__(self, path: str):
@@ -48,30 +49,39 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.letters: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        small = (chr(c) for c in range(256) if chr(c).isalpha() and chr(c) == chr(c).lower())
+        self.spelled = {ord(c): "".join(part for part, _ in spell(c)) for c in small}
 
     def pack(self, ids) -> bytes:
         return np.array(ids, f"<u{self.width}").tobytes()
 
-    def whole(self, word: bytes) -> bytes:
-        return self.pack(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
-
-    def __missing__(self, word: bytes) -> bytes:
-        body = word.rstrip(b".,")
-        if body.isalpha() and body.isascii():
-            body = body.lower()
-            found = self.letters.get(body)
-            if found is None:
-                found = self.pack([t.id for t in self.tokenizer.model.tokenize(body.decode())])
-                self.letters[body] = found
-            tail = word[len(body) :]
-            found = found + self.whole(tail) if tail else found
+    def whole(self, word: str) -> bytes:
+        return self.pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def letters(self, word: str) -> bytes:
+        return self.pack([t.id for t in self.tokenizer.model.tokenize(word.translate(self.spelled))])
+
+    def part(self, word: str, find) -> bytes:
+        found = self.parts.get(word)
+        if found is None:
+            found = self.parts[word] = find(word)
+        return found
+
+    def __missing__(self, data: bytes) -> bytes:
+        word = data.decode()
+        body = word.rstrip(".,")
+        if body.isalpha() and max(body) <= "\xff":
+            found = self.part(body.lower(), self.letters)
+            if len(body) < len(word):
+                found += self.part(word[len(body) :], self.whole)
         else:
             found = self.whole(word)
         if len(self) >= KNOWN_WORDS:
             self.clear()
-            self.letters.clear()
-        self[word] = found
+            self.parts.clear()
+        self[data] = found
         return found
 
     def text(self, data: bytes) -> bytes:
