@@ -13,7 +13,9 @@ these maps are composed from the end, and then all chunks are traced back indepe
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from loanmart.llm import blocks as B
 from loanmart.llm.shared import utf8, written
 
 CHUNK = 1 << 15  # characters
-KNOWN = 400_000  # words whose segmentation is kept
+KNOWN = 150_000  # words and parts of words whose segmentation is kept in a task, about 40 MB each
 SPACE = "▁"
 NOTHING = -(1 << 60)  # no path
 
@@ -55,38 +57,44 @@ class Pieces:
         self.longest = max(map(len, self.scores))
         self.unknown = min(s for s, _ in self.scores.values()) - 10
         self.width = 2 if len(self.spelled) <= 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
         self.splits = all(SPACE not in p.lstrip(SPACE) for p in self.scores)
         self.newline_alone = not any("\n" in p for p in self.scores)
         self.first, self.later = _Words(self, ""), _Words(self, SPACE)
         self.single = {p for p in self.scores if len(p) == 1}
+        # every beginning of a piece; its score and id if it is one itself
+        self.beginnings = {p[:n]: None for p in self.scores for n in range(1, len(p))} | self.scores
+        # neighbours that stand together in some piece; between any others is a boundary
+        self.joined = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
+        self.parts: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
-
-    def edges(self, text: str, at: int):
-        """``end, score, id`` of the pieces that start at ``at``; a character that is no piece is one edge, id -1."""
-        scores = self.scores
-        if text[at] not in self.single:
-            yield at + 1, self.unknown, -1
-        for end in range(at + 1, min(at + self.longest, len(text)) + 1):
-            found = scores.get(text[at:end])
-            if found is not None:
-                yield end, *found
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def forward(self, text: str, best: list[int], upto: int) -> tuple[list[int], list[tuple[int, int] | None]]:
         """Best sums at all places from those given for the first ones, over pieces that start before ``upto``.
 
-        Also the piece each best sum ends with, None where the given sum is the best.
+        Also the piece each best sum ends with, None where the given sum is the best. A character that
+        is no piece is an edge with id -1.
         """
+        beginnings, single, size = self.beginnings, self.single, len(text)
         best = best + [NOTHING] * (len(text) + 1 - len(best))
         last: list[tuple[int, int] | None] = [None] * len(best)
         for at in range(upto):
             here = best[at]
             if here == NOTHING:
                 continue
-            for end, score, piece in self.edges(text, at):
-                if here + score > best[end]:  # earlier starts come first, so ties keep the longer piece
-                    best[end], last[end] = here + score, (at, piece)
+            end = at + 1
+            if text[at] not in single and here + self.unknown > best[end]:
+                best[end], last[end] = here + self.unknown, (at, -1)
+            while end <= size and (found := beginnings.get(text[at:end], -1)) != -1:
+                # earlier starts come first, so ties keep the longer piece
+                if found is not None and here + found[0] > best[end]:
+                    best[end], last[end] = here + found[0], (at, found[1])
+                end += 1
         return best, last
 
     def trace(self, text: str, last: list, at: int) -> tuple[list[int], int]:
@@ -102,8 +110,50 @@ class Pieces:
         return out[::-1], at
 
     def segment(self, text: str) -> list[int]:
-        _, last = self.forward(text, [0], len(text))
-        return self.trace(text, last, len(text))[0]
+        """Ids of the whole text: ``forward`` and ``trace`` from start to end, where every place is reached."""
+        size = len(text)
+        best, start, ids = [0] + [NOTHING] * size, [0] * (size + 1), [-1] * (size + 1)
+        get, unknown = self.beginnings.get, self.unknown
+        for at in range(size):
+            here, end = best[at], at + 1
+            found = get(text[at], -1)
+            if (found is None or found == -1) and here + unknown > best[end]:
+                best[end], start[end], ids[end] = here + unknown, at, -1
+            while found != -1:
+                if found is not None and here + found[0] > best[end]:
+                    best[end], start[end], ids[end] = here + found[0], at, found[1]
+                if end == size:
+                    break
+                end += 1
+                found = get(text[at:end], -1)
+        out: list[int] = []
+        while size:
+            at = start[size]
+            if ids[size] >= 0:
+                out.append(ids[size])
+            else:
+                out += [self.bytes[b] for b in text[at:size].encode()][::-1]
+            size = at
+        out.reverse()
+        return out
+
+    def word(self, text: str) -> bytes:
+        """As ``segment``, packed, part by part between boundaries; parts are kept."""
+        joined, parts, out, at = self.joined, self.parts, [], 0
+        for end in range(1, len(text) + 1):
+            if end < len(text) and text[end - 1 : end + 1] in joined:
+                continue
+            part = text[at:end]
+            found = parts.get(part)
+            if found is None:
+                found = self.pack(self.segment(part))
+                if len(parts) >= KNOWN:
+                    parts.clear()
+                if len(part) < 64:
+                    parts[part] = found
+            out.append(found)
+            at = end
+        return b"".join(out)
 
     def cuts(self, text: str) -> list[int]:
         """Places in the text that every segmentation has a boundary at."""
@@ -149,7 +199,7 @@ class _Words(dict):
         self.pieces, self.prefix = pieces, prefix
 
     def __missing__(self, word: str) -> bytes:
-        found = self.pieces.pack(self.pieces.segment(self.prefix + word))
+        found = self.pieces.word(self.prefix + word)
         if len(self) >= KNOWN:
             self.clear()
         if len(word) < 64:
