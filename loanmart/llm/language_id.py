@@ -2,9 +2,11 @@
 
 Texts are lower-cased, everything but letters becomes one space. Character n-grams of all labelled rows
 are counted on Spark; the highest order keeps its counts, lower orders count the distinct characters seen
-before a gram. The models of all languages share one sorted array of gram hashes per order, with a
-directory by leading bits and one column of log probabilities per language, so a gram is looked up once
-for all of them. A text gets the language with the lowest cross-entropy per character. Rejection and score are
+before a gram. No gram is left out. Where all counts fit in a task's memory, the models of all languages share one
+sorted array of gram hashes per order, with a directory by leading bits and one column of log probabilities per
+language, so a gram is looked up once for all of them. Larger counts stay tables (``Tables``): the distinct grams
+of the texts get their log probabilities by joins, tasks hold those of the most frequent ones, and the others,
+summed up per text, are joined. A text gets the language with the lowest cross-entropy per character. Rejection and score are
 calibrated on labelled rows that were not counted.
 """
 
@@ -20,12 +22,13 @@ from loanmart.llm import blocks as B
 from loanmart.llm.shared import utf8, written
 
 ORDER = 4
-MAX_GRAMS = 1_000_000  # of the highest order in all languages together; beyond it the rarest are left out
+MAX_GRAMS = 1_000_000  # counts of the highest order in all languages together that tasks hold; more stay tables
 CALIBRATION_ROWS = 2000  # expected labelled rows that fix the score's scale and the rejection limits
 REJECT = 6.0  # standard deviations above a language's own cross-entropy
 UNKNOWN = "und"
 _SPACE = 32
 _UNSEEN = 1 << 16  # alphabet of the uniform distribution below single characters
+_FIXED = float(1 << 24)  # log probabilities from tables are whole multiples of its inverse, so sums are exact
 
 
 @functools.cache
@@ -187,25 +190,84 @@ def _counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, text_col: str, lang_col: str) -> Model:
-    """Counts all rows with a language. At most ``MAX_GRAMS`` grams reach the driver, the most frequent of each language."""
+def _low(gram: str, order: int) -> Column:
+    """The last ``order`` characters of a packed gram."""
+    return F.col(gram).bitwiseAND((1 << 16 * order) - 1) if order < 4 else F.col(gram)
+
+
+class Tables:
+    """The model of ``Model`` as tables of any size: counts of each order, and totals of each context."""
+
+    def __init__(self, languages: list[str], counts: DataFrame):
+        """``counts``: ``lang, gram, n`` of the highest order."""
+        self.languages = languages
+        self.seen, self.contexts, self.discounts = {}, {}, {}
+        level = counts
+        for order in range(ORDER, 0, -1):
+            if order < ORDER:
+                level = written(level.groupBy("lang", _low("gram", order).alias("gram")).agg(F.count("*").alias("n")))
+            few = level.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"))
+            few = {r["lang"]: r for r in few.collect()}  # a row for each language
+            self.discounts[order] = [
+                float(np.clip(few[l]["once"] / max(few[l]["once"] + 2 * few[l]["twice"], 1), 0.1, 0.95)) for l in languages
+            ]
+            self.seen[order] = written(level.groupBy("gram").agg(self._columns(F.col("n")).alias("seen")))
+            context = level.groupBy("lang", F.shiftrightunsigned("gram", 16).alias("context"))
+            context = context.agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+            self.contexts[order] = written(
+                context.groupBy("context").agg(
+                    self._columns(F.col("total")).alias("total"), self._columns(F.col("kinds")).alias("kinds")
+                )
+            )
+
+    def _columns(self, value: Column) -> Column:
+        return F.array(*[F.coalesce(F.sum(F.when(F.col("lang") == l, value)), F.lit(0)) for l in self.languages])
+
+    def resolve(self, found: DataFrame) -> DataFrame:
+        """``gram, n, logs`` for each row ``gram, n``: log probabilities, a fixed-point number for each language.
+
+        A key of these joins has at most one row for each character on either side.
+        """
+        needed = {ORDER: found.select("gram")}
+        for order in range(ORDER - 1, 0, -1):
+            needed[order] = written(needed[order + 1].select(_low("gram", order).alias("gram")).distinct())
+        below = None
+        for order in range(1, ORDER + 1):
+            frame = needed[order].withColumn("context", F.shiftrightunsigned("gram", 16))
+            frame = frame.join(self.seen[order], "gram", "left").join(self.contexts[order], "context", "left")
+            if below is None:
+                frame = frame.withColumn("lower", F.array(*[F.lit(1 / _UNSEEN)] * len(self.languages)))
+            else:
+                lower = below.select(F.col("gram").alias("end"), F.col("p").alias("lower"))
+                frame = frame.withColumn("end", _low("gram", order - 1)).join(lower, "end")
+            values = []
+            for i, discount in enumerate(self.discounts[order]):
+                seen, total, kinds, lower = (F.get(F.col(c), F.lit(i)) for c in ("seen", "total", "kinds", "lower"))
+                direct = F.greatest(F.coalesce(seen, F.lit(0)) - F.lit(discount), F.lit(0.0))
+                values.append(F.when(total > 0, (direct + F.lit(discount) * kinds * lower) / total).otherwise(lower))
+            below = written(frame.select("gram", F.array(*values).alias("p")))
+        logs = F.transform("p", lambda p: F.round(F.log2(p) * _FIXED).cast("long"))
+        return found.join(below, "gram").select("gram", "n", logs.alias("logs"))
+
+
+def fit(docs: DataFrame, text_col: str, lang_col: str) -> Model | Tables:
+    """Counts all rows with a language. Up to ``MAX_GRAMS`` counts reach the driver, more stay tables."""
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), utf8(text_col).alias("text"))
     counts = written(_counts(rows))
     languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
-    share = MAX_GRAMS // max(1, len(languages))
-    tables = [
-        counts.where(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(share).toPandas() for lang in languages
-    ]
-    every = [t["gram"].to_numpy(np.int64).view(np.uint64) for t in tables]
-    keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *every]))
+    if counts.count() > MAX_GRAMS:
+        return Tables(languages, counts)
+    table = counts.toPandas()
+    keys, place = np.unique(table["gram"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
     seen = np.zeros((len(keys), len(languages)))
-    for i, (own, table) in enumerate(zip(every, tables)):
-        seen[np.searchsorted(keys, own), i] = table["n"]
+    seen[place, np.searchsorted(languages, table["lang"].to_numpy(str))] = table["n"]
     return Model(languages, keys, seen)
 
 
-def entropies(docs: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
+def entropies(docs: DataFrame, model: Model | Tables, text_col: str, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` with ``_bits, _n``: cross-entropies, and characters (0: no letter)."""
+    if isinstance(model, Tables):
+        return _entropies_by_tables(docs, model, text_col, keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_GRAMS
 
     def run(batches):
@@ -220,6 +282,72 @@ def entropies(docs: DataFrame, model: Model, text_col: str, keep: list[str]) ->
     return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(run, f"{schema}, _bits array<double>, _n long")
 
 
+class _Cache:
+    """Fixed-point log probabilities of some grams."""
+
+    def __init__(self, keys: np.ndarray, logs: np.ndarray):
+        self.array = HashArray(keys)
+        self.logs = logs[self.array.order]
+
+    def sums(self, texts: list[str]):
+        """Of each text the sums over known grams, characters with letters, and its other grams as row, gram, count."""
+        chars, first = characters(texts)
+        lead = np.zeros(len(chars), bool)
+        lead[first[:-1]] = True
+        packed = grams(chars, first, ORDER)[~lead]
+        row = np.repeat(np.arange(len(texts)), np.diff(first))[~lead]
+        totals, missed = np.zeros((len(texts), self.logs.shape[1]), np.int64), np.zeros(len(packed), bool)
+        for at in range(0, len(packed), 1 << 18):
+            part = slice(at, at + (1 << 18))
+            place = self.array.find(packed[part])
+            missed[part] = place < 0
+            own, known = row[part][place >= 0], self.logs[place[place >= 0]]
+            cut = np.flatnonzero(np.diff(own, prepend=-1))
+            if len(cut):
+                np.add.at(totals, own[cut], np.add.reduceat(known, cut, axis=0))
+        left, n = np.unique(np.stack([row[missed].astype(np.uint64), packed[missed]]), axis=1, return_counts=True)
+        n_letters = np.add.reduceat(np.append(chars != _SPACE, False), first[:-1], dtype=np.int64)
+        return totals, np.where(n_letters > 0, np.diff(first) - 1, 0), left[0].astype(np.int64), left[1].view(np.int64), n
+
+
+def _entropies_by_tables(docs: DataFrame, model: Tables, text_col: str, keep: list[str]) -> DataFrame:
+    """Equal texts have equal sums, so what is not in the cache is summed per digest of a text."""
+    texts = docs.select(F.lit("").alias("lang"), utf8(text_col).alias("text"))
+    found = written(_counts(texts).select("gram", "n"))
+    resolved = written(model.resolve(found))
+    width = len(model.languages)
+    often = resolved.orderBy(F.desc("n"), "gram").limit(max(1, MAX_GRAMS // width)).toPandas()
+    logs = np.array(often["logs"].tolist(), np.int64).reshape(len(often), width)
+    shared = docs.sparkSession.sparkContext.broadcast(_Cache(often["gram"].to_numpy(np.int64).view(np.uint64), logs))
+
+    def known(batches):
+        for block in B.blocks(batches, "_text"):
+            totals, n, _, _, _ = shared.value.sums([t or "" for t in block.column("_text").to_pylist()])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * width), pa.array(totals.reshape(-1)))
+            yield pa.RecordBatch.from_arrays(
+                [*(block.column(c) for c in keep), block.column("_key"), lists, pa.array(n)], [*keep, "_key", "_sums", "_n"]
+            )
+
+    def others(batches):
+        for block in B.blocks(batches, "_text"):
+            _, _, row, gram, n = shared.value.sums([t or "" for t in block.column("_text").to_pylist()])
+            yield pa.RecordBatch.from_arrays([block.column("_key").take(pa.array(row)), pa.array(gram), pa.array(n)], ["key", "gram", "n"])
+
+    keyed = docs.select(*keep, F.col(text_col).alias("_text"), F.md5(utf8(text_col)).alias("_key"))
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in docs.select(*keep).dtypes)
+    summed = keyed.mapInArrow(known, f"{schema}, _key string, _sums array<long>, _n long")
+    rare = keyed.select("_text", "_key").mapInArrow(others, "key string, gram long, n long")
+    # copies of a text have the same counts; grams of many texts are in the cache
+    rare = rare.groupBy("key", "gram").agg(F.max("n").alias("times")).join(resolved.drop("n"), "gram")
+    added = rare.groupBy("key").agg(F.array(*[F.sum(F.col("times") * F.col("logs")[i]) for i in range(width)]).alias("_added"))
+    both = summed.join(added, F.col("_key") == F.col("key"), "left")
+    bits = F.zip_with(
+        "_sums", F.coalesce("_added", F.array(*[F.lit(0).cast("long")] * width)),
+        lambda a, b: -(a + b) / F.lit(_FIXED) / F.greatest(F.col("_n"), F.lit(1)),
+    )
+    return both.select(*[F.col(f"`{c}`") for c in keep], bits.alias("_bits"), "_n")
+
+
 class Calibration:
     """Scale of the score and, for each language, where its own texts lie."""
 
@@ -245,7 +373,7 @@ class Calibration:
             self.noise.append(float(np.sqrt((off**2 * size).mean())) if len(own) else 0.0)
 
 
-def verdicts(docs: DataFrame, text_col: str, model: Model, fitted: Calibration, keep: list[str]) -> DataFrame:
+def verdicts(docs: DataFrame, text_col: str, model: Model | Tables, fitted: Calibration, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of every row, with ``lang_pred, score, rejected``.
 
     A null text or one without letters is ``und`` with score 0 and rejected. Ties go to the first language in
@@ -275,7 +403,7 @@ def bucket(id_col: str, of: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(of))
 
 
-def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[Model, Calibration]:
+def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[Model | Tables, Calibration]:
     """Model and calibration from rows whose id's CRC-32 is not 2 modulo 4; one in sixteen rows only calibrates."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.coalesce(bucket(id_col, 4) != 2, F.lit(True)))
     calibrating = F.coalesce(bucket(id_col, 16) == 3, F.lit(False))

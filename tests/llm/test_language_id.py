@@ -67,6 +67,31 @@ def test_probabilities_equal_a_plain_model(spark):
             assert bits[0, i] == pytest.approx(want / (len(codes) - L.ORDER), rel=1e-4) and bits[0, i] == bits[2, i]
 
 
+def test_counts_beyond_memory_change_nothing(spark, monkeypatch):
+    """No gram is left out when the counts stay tables and tasks hold only a few of them."""
+    ready(spark)
+    texts = {"a": ["the cat sat on the mat", "that hat", "é the"], "b": ["el gato en la mesa", "la casa", "el mes"]}
+    rows = [(t, lang) for lang, own in texts.items() for t in own]
+    asked = ["the cat", "la masa", "zzz qqq", "é", "x the hat?!", "thé  été", "la masa", "", None, "日本"]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    docs = spark.createDataFrame(list(enumerate(asked)), "id int, text string")
+    got = {}
+    for most in (1_000_000, 12):
+        monkeypatch.setattr(L, "MAX_GRAMS", most)
+        model = L.fit(labelled, "text", "lang")
+        assert isinstance(model, L.Model if most > 12 else L.Tables) and model.languages == ["a", "b"]
+        found = {r.id: r for r in L.entropies(docs, model, "text", ["id"]).collect()}
+        assert len(found) == len(asked)
+        got[most] = [(list(found[i]["_bits"]), found[i]["_n"]) for i in range(len(asked))]
+    for (bits, n), (other, n_other), text in zip(*got.values(), asked):
+        assert n == n_other and bits == pytest.approx(other, rel=1e-5)
+        codes = [0] * (L.ORDER - 1) + L.characters([text or ""])[0].tolist()
+        for i, lang in enumerate("ab"):
+            p = kneser_ney(texts[lang])
+            want = -sum(math.log2(p(tuple(codes[j - L.ORDER + 1 : j + 1]))) for j in range(L.ORDER, len(codes)))
+            assert other[i] == pytest.approx(want / max(len(codes) - L.ORDER, 1), rel=1e-4, abs=1e-9)
+
+
 def test_odd_rows(spark):
     ready(spark)
     schema = "doc_id long, text string, lang string, n long, key string, bits int"
