@@ -23,7 +23,8 @@ from loanmart.llm.shared import utf8, written
 
 ORDER = 4
 MAX_GRAMS = 1_000_000  # counts of the highest order in all languages together that tasks hold; more stay tables
-CALIBRATION_ROWS = 2000  # expected labelled rows that fix the score's scale and the rejection limits
+FEW = 30  # a language with fewer calibration texts has at least the spread of all languages together
+PRIOR = {"spread": 0.25, "noise": 3.0}  # bits; where all languages together have too few texts
 REJECT = 6.0  # standard deviations above a language's own cross-entropy
 UNKNOWN = "und"
 _SPACE = 32
@@ -351,26 +352,74 @@ def _entropies_by_tables(docs: DataFrame, model: Tables, text_col: str, keep: li
 class Calibration:
     """Scale of the score and, for each language, where its own texts lie."""
 
-    def __init__(self, languages: list[str], rows: list):
-        self.scale = 1.0
-        bits = np.array([r["_bits"] for r in rows], float).reshape(len(rows), len(languages))
-        n = np.array([r["_n"] for r in rows], float)
-        true = np.array([languages.index(r["lang"]) for r in rows], int)
-        if len(rows):
-            gaps = (bits - bits[np.arange(len(rows)), true][:, None]) * np.sqrt(n)[:, None]
-            losses = {s: np.log1p(np.exp(np.clip(-s * gaps, None, 50)).sum(axis=1) - 1).mean() for s in 2.0 ** np.arange(-6, 7)}
-            self.scale = min(losses, key=losses.get)
+    def __init__(self, languages: list[str], found: DataFrame | None):
+        """``found``: ``lang, _bits, _n`` of calibration rows. Only sums and medians of each language reach the driver.
+
+        Texts of a language with the same length and cross-entropy count once, so copies do not narrow
+        its spread. Medians are of rounded values: they need a bounded number of them, however many rows there are.
+        """
+        self.scale, rows = 1.0, {}
+        which = F.array_position(F.array(*[F.lit(l) for l in languages] or [F.lit("")]), F.col("lang")).cast("int") - 1
+        if found is not None:
+            own = F.get("_bits", which)
+            texts = written(
+                found.where("_n > 0").select("lang", own.alias("own"), F.round(own, 6).alias("about"), "_bits", "_n")
+                .dropDuplicates(["lang", "about", "_n"]).withColumn("size", F.round(F.log2("_n") * 64))
+            )
+            middle = texts.groupBy("lang").agg(
+                F.percentile(F.round(F.col("own") * 1024) / 1024, 0.5).alias("centre"), F.percentile("size", 0.5).alias("size")
+            )
+            rows = {r["lang"]: r.asDict() for r in middle.collect()}  # a row for each language
+        if rows:
+            at = {c: F.get(F.array(*[F.lit(rows[l][c] if l in rows else 0.0) for l in languages]), which) for c in ("centre", "size")}
+            off, long = F.pow(F.col("own") - at["centre"], 2), F.col("size") >= at["size"]
+            sums = texts.groupBy("lang").agg(
+                F.count("*").alias("n"), F.count_if(long).alias("n_long"),
+                # what does not shrink with the length, and what does
+                F.sum(F.when(long, off)).alias("spread"), F.sum(off * F.col("_n")).alias("noise"),
+            )
+            for r in sums.collect():
+                rows[r["lang"]] |= r.asDict()
+            self.scale = self._scale(texts)
+        self._limits(languages, rows)
+
+    def _scale(self, texts: DataFrame) -> float:
+        """The one of 13 scales with the least mean logistic loss."""
+        scales = [2.0**i for i in range(-6, 7)]
+
+        def loss(s: float) -> Column:
+            odds = F.transform("_bits", lambda b: F.exp(F.least(F.lit(50.0), (F.col("own") - b) * F.sqrt("_n") * F.lit(s))))
+            return F.avg(F.log1p(F.aggregate(odds, F.lit(0.0), lambda a, b: a + b) - 1))
+
+        losses = texts.agg(*[loss(s) for s in scales]).first()
+        return min(zip(losses, scales))[1]
+
+    def _limits(self, languages: list[str], rows: dict) -> None:
+        """``mean, spread, noise`` of each language, finite and above 0 also where it has few texts or none."""
         self.mean, self.spread, self.noise = [], [], []
-        for i in range(len(languages)):
-            own = bits[true == i, i] if len(rows) else np.zeros(0)
-            size = n[true == i] if len(rows) else np.zeros(0)
-            centre = float(np.median(own)) if len(own) else float("inf")
-            off = own - centre
-            # what does not shrink with the length, and what does
-            long = size >= np.median(size) if len(own) else size > 0
-            self.mean.append(centre)
-            self.spread.append(float(np.sqrt((off[long] ** 2).mean())) if len(own) else 0.0)
-            self.noise.append(float(np.sqrt((off**2 * size).mean())) if len(own) else 0.0)
+        if not rows:  # nothing to go by: a text is rejected if it is predicted no better than by the uniform distribution
+            for values, value in ((self.mean, np.log2(_UNSEEN)), (self.spread, 1e-6), (self.noise, 1e-6)):
+                values += [float(value)] * len(languages)
+            return
+        weights, centres, pooled = {"spread": "n_long", "noise": "n"}, [r["centre"] for r in rows.values()], {}
+        for c, n in weights.items():
+            free = sum(r[n] for r in rows.values()) - len(rows)  # a centre takes a text of each language
+            pooled[c] = float(np.sqrt(sum(r[c] for r in rows.values()) / max(free, 1)))
+            if free < FEW:
+                pooled[c] = max(pooled[c], PRIOR[c])
+        for l in languages:
+            if l not in rows:  # as the hardest other language, as far off as languages differ
+                self.mean.append(max(centres))
+                self.spread.append(float(np.hypot(pooled["spread"], np.std(centres))))
+                self.noise.append(pooled["noise"])
+                continue
+            own = {c: float(np.sqrt(rows[l][c] / rows[l][n])) for c, n in weights.items()}
+            if rows[l]["n"] < FEW:  # and the centre is uncertain
+                wider = float(np.sqrt(1 + 1 / rows[l]["n"]))
+                own = {c: max(own[c], pooled[c]) * wider for c in own}
+            self.mean.append(rows[l]["centre"])
+            self.spread.append(own["spread"] or pooled["spread"])
+            self.noise.append(own["noise"] or pooled["noise"])
 
 
 def verdicts(docs: DataFrame, text_col: str, model: Model | Tables, fitted: Calibration, keep: list[str]) -> DataFrame:
@@ -378,7 +427,7 @@ def verdicts(docs: DataFrame, text_col: str, model: Model | Tables, fitted: Cali
 
     A null text or one without letters is ``und`` with score 0 and rejected. Ties go to the first language in
     alphabetical order. A row is rejected if its cross-entropy lies further above that of its language than
-    ``REJECT`` standard deviations of texts of its length.
+    ``REJECT`` standard deviations of texts of its length; languages with few calibration texts borrow from the others.
     """
     found = entropies(docs, model, text_col, keep)
     kept = [F.col(f"`{c}`") for c in keep]
@@ -409,13 +458,8 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[M
     calibrating = F.coalesce(bucket(id_col, 16) == 3, F.lit(False))
     model = fit(labelled.where(~calibrating), text_col, lang_col)
     held = labelled.where(calibrating & F.col(lang_col).isin(model.languages)) if model.languages else labelled.limit(0)
-    rows = held.count()
-    sample = held.sample(min(1.0, CALIBRATION_ROWS / max(rows, 1)), 1).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
-    )
-    # about CALIBRATION_ROWS rows of one number a language
-    found = entropies(sample, model, "text", ["lang"]).where("_n > 0").collect() if rows else []
-    return model, Calibration(model.languages, found)
+    texts = held.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    return model, Calibration(model.languages, entropies(texts, model, "text", ["lang"]) if model.languages else None)
 
 
 def predict(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:

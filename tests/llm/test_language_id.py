@@ -92,6 +92,35 @@ def test_counts_beyond_memory_change_nothing(spark, monkeypatch):
             assert other[i] == pytest.approx(want / max(len(codes) - L.ORDER, 1), rel=1e-4, abs=1e-9)
 
 
+def calibration_row(i):
+    return zlib.crc32(str(i).encode()) % 16 == 3
+
+
+def test_limits_of_languages_with_few_calibration_texts(spark):
+    """One calibration text, copies of one text, or none give no limit that drops clean texts, and none that drops nothing."""
+    ready(spark)
+    words = {"en": "the cat and dog sat on a mat in that house", "fi": "kaksi kolme neljä viisi kuusi talo metsä", "es": "el gato negro come pan con queso", "pl": "dzień dobry jabłko drzewo ulica"}
+    rng = np.random.default_rng(5)
+    text = lambda lang: " ".join(rng.choice(words[lang].split(), rng.integers(20, 60)))
+    rows = [(i, text("en"), "en") for i in range(800)]
+    own = {"fi": range(1000, 1200), "es": range(2000, 2200), "pl": range(3000, 3200)}
+    copies = text("es")
+    for i in own["fi"]:  # a single calibration text
+        rows += [(i, text("fi"), "fi")] if not calibration_row(i) or i == next(filter(calibration_row, own["fi"])) else []
+    rows += [(i, copies if calibration_row(i) else text("es"), "es") for i in own["es"]]
+    rows += [(i, text("pl"), "pl") for i in own["pl"] if not calibration_row(i)]  # no calibration text
+    noise = ["".join(rng.choice(list("ąćęłńóśźżwqxjk "), 200)) for _ in range(5)]
+    rows += [(9000 + i, t, None) for i, t in enumerate(noise)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model, fitted = L.train(frame, "doc_id", "text", "lang")
+    assert model.languages == ["en", "es", "fi", "pl"]
+    assert all(np.isfinite(fitted.mean)) and min(fitted.spread) > 0 and min(fitted.noise) > 0
+    got = L.verdicts(frame, "text", model, fitted, ["doc_id", "lang"]).collect()
+    assert [r for r in got if r.lang and (r.rejected or r.lang_pred != r.lang)] == []
+    assert all(r.rejected for r in got if r.lang is None)
+    assert {r.doc_id for r in L.keep_known(frame, "doc_id", "text", "lang").collect()} == {r[0] for r in rows if r[2]}
+
+
 def test_odd_rows(spark):
     ready(spark)
     schema = "doc_id long, text string, lang string, n long, key string, bits int"
