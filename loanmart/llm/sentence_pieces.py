@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding, with a max-plus scan over the chunks of giant documents.
 
 A text's segmentation is the one with the largest sum of piece scores (the Viterbi path of a unigram
-model; the vocabulary and its scores are given). Ties go to the longer last piece. Scores are whole numbers,
-so sums are exact and how a text is cut into chunks cannot change the result.
+model; the vocabulary and its scores are given). Ties go to the longer last piece. Scores are fixed-point numbers,
+whole multiples of 2**-20 or of what ``scale`` allows, so sums are exact and how a text is cut into chunks cannot change the result.
 
 A document of up to ``CHUNK`` characters is segmented at once. A longer one is cut into chunks. At a chunk's
 boundary the state is how far the last piece reaches beyond it. Each chunk gives a matrix of the best score
@@ -30,8 +30,17 @@ SPACE = "▁"
 NOTHING = -(1 << 60)  # no path
 
 
+def scale(scores: list[float]) -> int:
+    """What scores are multiplied by before rounding: 1 if all are whole, else 2**20 or as much as leaves the
+    lowest within 31 bits, so that sums over 2**29 characters stay above ``NOTHING``."""
+    if all(float(x).is_integer() for x in scores):
+        return 1
+    lowest = max(map(abs, scores)) + 10
+    return max([1, *(1 << k for k in range(21) if lowest * (1 << k) < 1 << 31)])
+
+
 class Pieces:
-    """Vocabulary with whole-number scores; the best segmentation of any string.
+    """Vocabulary with fixed-point scores; the best segmentation of any string.
 
     Words are segmented one by one where no piece contains a space after something else, as then
     every segmentation has a boundary there, and likewise around a character of no piece.
@@ -44,6 +53,7 @@ class Pieces:
         self.scores: dict[str, tuple[int, int]] = {}
         self.spelled: list[bytes] = []
         self.bytes = [0] * 256
+        scored: dict[str, tuple[float, int]] = {}
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -52,10 +62,12 @@ class Pieces:
             elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
                 self.spelled.append(b"")
             else:
-                self.scores[piece] = (round(model.get_score(i)), i)
+                scored[piece] = (model.get_score(i), i)
                 self.spelled.append(piece.encode())
+        times = scale([s for s, _ in scored.values()])
+        self.scores = {p: (round(s * times), i) for p, (s, i) in scored.items()}
         self.longest = max(map(len, self.scores))
-        self.unknown = min(s for s, _ in self.scores.values()) - 10
+        self.unknown = min(s for s, _ in self.scores.values()) - 10 * times
         self.width = 2 if len(self.spelled) <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         self.splits = all(SPACE not in p.lstrip(SPACE) for p in self.scores)

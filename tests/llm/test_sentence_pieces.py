@@ -51,6 +51,25 @@ def test_the_library_finds_the_same_segmentation(model):
         assert unpacked(model.encode(text)) == library.encode(text)
 
 
+def test_scores_that_are_not_whole(tmp_path):
+    """Log probabilities that differ by less than 1 decide as they do in the library."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(open(PATH, "rb").read())
+    proto.trainer_spec.model_type = 1
+    rng = np.random.default_rng(3)
+    for piece in proto.pieces:
+        piece.score = float(rng.uniform(-4.5, -3.5)) * len(piece.piece) ** 0.9
+    path = tmp_path / "unigram.model"
+    path.write_bytes(proto.SerializeToString())
+    library, own = sentencepiece.SentencePieceProcessor(model_file=str(path)), S.Pieces(str(path))
+    for text in ["Hello world", "internationalization of the", "a b c", "don't stop", "segmentation of longer words differs"]:
+        assert unpacked(own.encode(text)) == library.encode(text)
+    assert S.scale([-1e9, -3.0, 0.0]) == 1 and S.scale([-3.27, -3.41]) == 1 << 20
+    assert 1e9 * S.scale([-1e9, -3.27]) < 1 << 31
+
+
 def test_query_equals_one_pass(spark, small, model, monkeypatch):
     monkeypatch.setattr(S.encode, "__defaults__", (2000,))  # most documents are then cut into chunks
     got = {r.doc_id: tuple(r) for r in QUERIES["op9_sentence_pieces"](spark, "/root/testdata/sf0.001").collect()}
