@@ -105,12 +105,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
     WITH s AS (SELECT doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents),
     l AS (
-      SELECT doc_id, source, i, l FROM (SELECT doc_id, source, unnest(all_lines) AS l, unnest(range(1, len(all_lines) + 1)) AS i FROM s)
-      WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
-    c AS (
-      SELECT l, source, lag(l) OVER w AS before, lead(l) OVER w AS after FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-    k AS (SELECT l, before, after, min(source) AS site FROM c WHERE source IS NOT NULL GROUP BY l, before, after),
-    gone AS (SELECT l FROM k GROUP BY l HAVING count(DISTINCT site) >= 12),
+      SELECT source, l FROM (SELECT source, unnest(all_lines) AS l FROM s) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+    gone AS (SELECT l FROM l GROUP BY l HAVING count(DISTINCT source) >= 12),
     u AS (SELECT doc_id, unnest(all_lines) AS l, unnest(range(1, len(all_lines) + 1)) AS i FROM s),
     r AS (
       SELECT doc_id, CAST(count(*) FILTER (WHERE regexp_matches(u.l, '[^\x20\x09-\x0D]')) AS BIGINT) AS n_lines,

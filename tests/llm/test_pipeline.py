@@ -42,7 +42,7 @@ def test_language_keeps_clean_documents(stages, small):
 
 
 def test_lines(stages):
-    want = cleaned([(r["doc_id"], r["text"], r["source"]) for r in stages[0]], 12)
+    want = cleaned([(r["doc_id"], r["text"], r["source"]) for r in stages[0]], 12, copies_once=True)
     assert sorted(((r["doc_id"], r["text"]) for r in stages[1]), key=str) == sorted(((i, t) for i, t, _ in want), key=str)
     assert all(r["n_chars"] == len(r["text"]) for r in stages[1])
 
