@@ -16,9 +16,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that stand on many sites; ``n_chars`` follows the text."""
+    """All documents, without lines that stand on many sites; ``n_chars`` follows the text.
+
+    Equal texts count for one site: copies are what the next stage removes.
+    """
     ready(spark)
-    cleaned = line_dedup.remove_boilerplate(docs, "doc_id", "text", "source")
+    cleaned = line_dedup.remove_boilerplate(docs, "doc_id", "text", "source", copies_once=True)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -36,7 +39,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, ids, n_tokens, ids_crc32, n_chars, text_md5``: the ids, and digests of them and of what they decode to."""
+    """``doc_id, ids, n_tokens, ids_crc32, n_chars, text_md5``: the ids, and digests of them and of what they decode to.
+
+    The file is a BPE model whose piece scores are searched for the best sum, so the ids are not those of merging.
+    """
     ready(spark)
     path = public_tokenizers.path("piece_bpe_32k.model")
     coded = sentence_pieces.encode(docs, "doc_id", "text", path).withColumnRenamed("doc_id", "id")
