@@ -35,13 +35,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``BLOCK_BYTES`` of text each, at least one row; rows are whole."""
+    return sized_blocks(batches, column, BLOCK_BYTES)
+
+
+def sized_blocks(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
         _, offsets = text_bytes(batch.column(column))
         at = 0
         while at < batch.num_rows:
-            upto = int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, "right")) - 1
+            upto = int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1
             upto = min(max(upto, at + 1), batch.num_rows)
             yield batch.slice(at, upto - at)
             at = upto
@@ -111,3 +115,25 @@ def window_hashes(hashes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
         out *= _STEP
         out += hashes[i : i + n]
     return mix(out)
+
+
+def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each maximal run of bytes marked ``inside``; runs end where rows do."""
+    size = len(inside)
+    before, after = np.zeros(size, bool), np.zeros(size, bool)
+    before[1:], after[:-1] = inside[:-1], inside[1:]
+    before[offsets[:-1][offsets[:-1] < size]] = False
+    after[offsets[1:][offsets[1:] > 0] - 1] = False
+    start = np.flatnonzero(inside & ~before)
+    return start, np.flatnonzero(inside & ~after) + 1, np.searchsorted(offsets, start, "right") - 1
+
+
+def cut_out(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.StringArray:
+    """The texts of some spans, which do not overlap and are in order."""
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[start] += 1
+    edge[end] -= 1
+    places = np.zeros(len(start) + 1, np.int32)
+    np.cumsum(end - start, out=places[1:])
+    taken = data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+    return pa.StringArray.from_buffers(len(start), pa.py_buffer(places), pa.py_buffer(taken))

@@ -177,3 +177,13 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     coded = sentence_pieces.encode(documents(spark, sf_dir), "doc_id", "text", path).withColumnRenamed("doc_id", "id")
     return sentence_pieces.digest(coded, path).drop("ids").withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words found five times or more, each with the far more frequent word one edit away."""
+    from loanmart.llm import spelling
+    from loanmart.llm.shared import written
+
+    vocab = written(spelling.vocabulary(documents(spark, sf_dir), "doc_id", "text", slip=199, min_length=6, least=5))
+    return spelling.group(vocab).select("word", "form", "root", "n", "n_near", "form_n")
