@@ -187,3 +187,51 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vocab = written(spelling.vocabulary(documents(spark, sf_dir), "doc_id", "text", slip=199, min_length=6, least=5))
     return spelling.group(vocab).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query(
+    r"""
+    WITH w AS (
+      SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+      FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents)),
+    places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+    g1 AS (SELECT lang, ws[i] AS x, CAST(count(*) AS HUGEINT) AS f FROM places GROUP BY ALL),
+    g2 AS (SELECT lang, ws[i] AS x, ws[i + 1] AS y, CAST(count(*) AS HUGEINT) AS f FROM places WHERE i < len(ws) GROUP BY ALL HAVING count(*) >= 10),
+    g3 AS (SELECT lang, ws[i] AS x, ws[i + 1] AS y, ws[i + 2] AS z, CAST(count(*) AS HUGEINT) AS f FROM places WHERE i + 1 < len(ws) GROUP BY ALL HAVING count(*) >= 10),
+    t AS (SELECT lang, sum(f) AS n FROM g1 GROUP BY lang),
+    e AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM g3 UNION ALL SELECT lang, y, z, f FROM g3) GROUP BY lang, x, y),
+    c AS (
+      SELECT g2.lang, g2.x || ' ' || g2.y AS phrase, g2.f AS a, p.f AS l1, q.f AS r1, NULL AS l2, NULL AS r2
+      FROM g2 JOIN g1 p ON p.lang = g2.lang AND p.x = g2.x JOIN g1 q ON q.lang = g2.lang AND q.x = g2.y
+      LEFT JOIN e ON e.lang = g2.lang AND e.x = g2.x AND e.y = g2.y
+      WHERE e.f IS NULL OR 100 * e.f < 50 * g2.f
+      UNION ALL
+      SELECT g3.lang, g3.x || ' ' || g3.y || ' ' || g3.z, g3.f, p.f, v.f, u.f, q.f
+      FROM g3 JOIN g1 p ON p.lang = g3.lang AND p.x = g3.x JOIN g1 q ON q.lang = g3.lang AND q.x = g3.z
+      JOIN g2 u ON u.lang = g3.lang AND u.x = g3.x AND u.y = g3.y JOIN g2 v ON v.lang = g3.lang AND v.x = g3.y AND v.y = g3.z),
+    s AS (SELECT *, (1000000 * a * a) // (l1 * r1) AS s1, (1000000 * a * a) // (l2 * r2) AS s2 FROM c),
+    o AS (
+      SELECT lang, phrase, a, CASE WHEN s2 < s1 THEN l2 ELSE l1 END AS l, CASE WHEN s2 < s1 THEN r2 ELSE r1 END AS r,
+             CASE WHEN s2 < s1 THEN s2 ELSE s1 END AS score FROM s),
+    k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM o)
+    SELECT k.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+           CAST(t.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM k JOIN t ON t.lang = k.lang WHERE rank <= 2000
+    """
+)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of two and three words of each language."""
+    from loanmart.llm import collocations
+
+    return collocations.mine(documents(spark, sf_dir), "text", "lang", least=10, inside=50, top=2000)
+
+
+@query()
+def op13_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of each document, learned from those whose id's CRC-32 is not 1 modulo 5."""
+    from loanmart.llm import backoff_lm
+
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return backoff_lm.score(documents(spark, sf_dir), "doc_id", "text", held_out).withColumnRenamed("id", "doc_id")
