@@ -1,11 +1,13 @@
 """Backfill of the datamart: raw sources to bronze, silver and gold snapshot tables.
 
-One job per table covers all months; a run over some months replaces only those months.
+One job per table covers all months; a run over some months replaces only those months; a refresh finds out which
+months must be replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import json
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,6 +24,8 @@ from loanmart.operators.snapshots import (
     with_normalized_snapshot,
 )
 from loanmart.session import apply_settings
+from loanmart.sources import manifest
+from loanmart.sources.digest import month_digests
 from loanmart.sources.raw import lower_names, read_raw_optional
 from loanmart.sources.tables import read_snapshots, stored_schema, write_snapshots
 
@@ -157,6 +161,97 @@ def run(
     return layout
 
 
+# columns that tell when a row was processed; they are no part of its content
+LINEAGE = ("bronze_ingestion_timestamp", "bronze_processing_date", "gold_processing_date")
+
+
+def _entries(spark: SparkSession, path: str) -> dict[str, dict]:
+    found = manifest.read(spark, path)
+    return dict(found.months) if found else {}
+
+
+def _rebuild(
+    spark: SparkSession, path: str, inputs: Mapping[str, dict[str, str]], build: Callable[[list[str]], DataFrame], regroup: bool
+) -> list[str]:
+    """Replace the months of a table whose ``inputs`` differ from those noted when they were last built.
+
+    ``inputs`` names what each month is made of, by digest; a month that has none any more is emptied. The digest
+    of the new rows is noted with them, so that tables made of this one see whether it has changed.
+    """
+    known = manifest.read(spark, path)
+    before = {m: e.get("inputs") for m, e in (known.months if known else {}).items()}
+    wanted = {m: json.dumps(of, sort_keys=True) for m, of in inputs.items()}
+    stale = sorted(m for m in {*before, *wanted} if before.get(m) != wanted.get(m))
+    if stale or known is None:
+        notes = {m: {"inputs": wanted[m]} for m in stale if m in wanted}
+        write_snapshots(build(stale), path, regroup=regroup, months=stale, notes=notes, digest_without=LINEAGE)
+    return stale
+
+
+def refresh(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    root: str,
+    generation: str = "typed",
+    clean: str = "plain",
+    threshold: int = 30,
+    mob: int = 6,
+) -> tuple[Layout, list[tuple[str, str, str]]]:
+    """Bring all layers up to date with the sources; returns ``(layer, dataset, month)`` of every month built anew.
+
+    Each source is read once to digest its months; of every table only those months are written whose inputs, or whose rule,
+    differ from those noted in its manifest. A month of a gold table depends on the same month of the silver
+    tables, so a month that comes out of silver as it was feeds nothing. A run that fails leaves tables whose
+    notes are those of what they hold, and the next one goes on from there.
+    """
+    apply_settings(spark)
+    layout, built = Layout(root), []
+
+    def done(layer: str, dataset: str, months: list[str]) -> None:
+        built.extend((layer, dataset, m) for m in months)
+
+    for name, source in raw.items():
+        rows = bronze(source)
+        digests = month_digests(rows, SNAPSHOT)
+        path = layout.table("bronze", name)
+        done("bronze", name, _rebuild(
+            spark, path, {m: {"source": d} for m, d in digests.items()},
+            lambda months: with_lineage(rows.where(_in(months)), "bronze"), True,
+        ))
+        silver_path, rule = layout.table("silver", name), f"{generation} {clean}"
+
+        def cleaned(months: list[str]) -> DataFrame:
+            held = read_snapshots(spark, path, months).drop(*LINEAGE)
+            return as_stored(silver(name, held, generation, clean), stored_schema(spark, silver_path))
+
+        feeds = {m: {"bronze": e["digest"], "rule": rule} for m, e in _entries(spark, path).items() if "digest" in e}
+        done("silver", name, _rebuild(spark, silver_path, feeds, cleaned, False))
+    entries = {name: _entries(spark, layout.table("silver", name)) for name in raw}
+
+    def feeds_of(names: Iterable[str], rule: str) -> dict[str, dict[str, str]]:
+        """Months of loans, with the digest of that month in each table."""
+        live = [m for m, e in entries.get("loans", {}).items() if "digest" in e]
+        return {m: {"rule": rule} | {n: entries[n][m]["digest"] for n in names if "digest" in entries[n].get(m, {})} for m in live}
+
+    def stores(months: list[str]) -> tuple[DataFrame, DataFrame]:
+        tables = {name: read_snapshots(spark, layout.table("silver", name), months) for name in raw}
+        return gold_stores(tables, generation, threshold, mob)
+
+    rule = f"{generation} {threshold} {mob}"
+    done("gold", "feature_store", _rebuild(
+        spark, layout.table("gold", "feature_store"), feeds_of(raw, rule),
+        lambda months: stores(months)[0].withColumn("gold_processing_date", F.current_timestamp()), True,
+    ))
+    done("gold", "label_store", _rebuild(
+        spark, layout.table("gold", "label_store"), feeds_of(["loans"], rule), lambda months: stores(months)[1], generation != "typed",
+    ))
+    return layout, built
+
+
+def _in(months: Iterable[str]):
+    return F.col(SNAPSHOT).isin([F.lit(m).cast("date") for m in months])
+
+
 def as_stored(rows: DataFrame, schema: StructType | None) -> DataFrame:
     """Some months of a table in the types its other months have.
 

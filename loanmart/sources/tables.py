@@ -1,28 +1,23 @@
-"""Monthly snapshot tables: one Parquet table per dataset, partitioned by snapshot month."""
+"""Monthly snapshot tables: one Parquet table per dataset, partitioned by snapshot month, published by manifest.
+
+What a write replaces stays readable until the new rows are complete; see :mod:`loanmart.sources.manifest`.
+"""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
-
-SNAPSHOT = "snapshot_date"
-
+from pyspark.sql.types import StringType, StructField, StructType
 
-def _folder(spark: SparkSession, path: str):
-    """A path and the file system it is on, as Spark's writers see them."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+from loanmart.sources import manifest
+from loanmart.sources.digest import month_digests
+from loanmart.sources.manifest import ConcurrentWrite, Manifest
 
-
-def clear_months(spark: SparkSession, path: str, months: Iterable[str], month: str = SNAPSHOT) -> None:
-    """Remove the partitions of these months; those that do not exist are no fault."""
-    for name in months:
-        where, files = _folder(spark, f"{path}/{month}={name}")
-        files.delete(where, True)
+SNAPSHOT = "snapshot_date"
 
 
 def write_snapshots(
@@ -32,66 +27,89 @@ def write_snapshots(
     regroup: bool = True,
     months: Iterable[str] | None = None,
     whole: bool = False,
-) -> None:
+    notes: Mapping[str, dict] | None = None,
+    digest_without: Iterable[str] | None = None,
+) -> Manifest:
     """Replace the months present in ``df``; running twice changes nothing.
 
-    ``months`` lists the months the rows stand for: those without rows end empty. ``whole`` says
-    that the rows are all there is, so that months no longer among them vanish. ``df`` must not be read from
-    ``path`` in these two cases. The table's columns and types are kept beside its months. ``regroup`` brings rows together by month so that files stay few; ``rebalance`` lets
-    adaptive execution cut a large month into several files instead of one giant task. Rows
-    that come straight from a snapshot table lie together already and need no shuffle.
+    ``months`` lists the months the rows stand for: those without rows end empty. ``whole`` says that the rows are all there
+    is, so that months no longer among them vanish. ``df`` may be read from ``path``. ``regroup`` brings rows together by month
+    so that files stay few; ``rebalance`` lets adaptive execution cut a large month into several files instead of one giant task.
+    Rows that come straight from a snapshot table lie together already and need no shuffle.
+
+    Readers see the old months until all new files are written, then the new ones. If another writer has published some of
+    the same months meanwhile, ``ConcurrentWrite`` is raised and its rows stay. The table's columns and types are
+    kept in its manifest, as are ``notes`` on each month and, where ``digest_without`` lists columns to leave out, the digest of its rows.
     """
-    rows = df.hint("rebalance", month) if regroup else df
     spark = df.sparkSession
-    if months is not None and not whole:
-        clear_months(spark, path, months, month)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if whole else "dynamic")
-        .partitionBy(month)
-        .parquet(path)
-    )
-    schema = df.schema
-    if not whole and (stored := stored_schema(spark, path)) is not None:
-        known = {f.name: f for f in schema}
-        schema = StructType([known.pop(f.name, f) for f in stored] + list(known.values()))
-    _keep_schema(spark, path, schema)
-
-
-# Spark's readers pass over names that begin with an underscore
+    months = None if months is None else [str(m) for m in months]
+    seen = _manifest_or_folders(spark, path, month)
+    generation = f"{(seen.version if seen else 0) + 1:06d}-{uuid.uuid4().hex[:12]}"
+    place = manifest.place(path, generation)
+    try:
+        rows = df.hint("rebalance", month) if regroup else df
+        rows.write.partitionBy(month).parquet(place)
+        written = [n.partition("=")[2] for n in manifest.names(spark, place) if n.startswith(f"{month}=")]
+        if not written:
+            manifest.remove(spark, place)
+        digests = {}
+        if digest_without is not None and written:
+            digests = month_digests(spark.read.schema(df.schema).parquet(place), month, digest_without)
+        entries = {m: {"generation": generation, "share": len(written)} for m in written}
+        entries |= {m: {"generation": None} for m in months or () if m not in entries and m in (notes or {})}
+        for m, entry in entries.items():
+            entry |= (notes or {}).get(m, {}) | ({"digest": digests[m]} if m in digests else {})
+        touched = {*written, *(months or ())}
+
+        def change(now: Manifest | None) -> Manifest:
+            if now is None or now.version == 0:
+                now = _manifest_or_folders(spark, path, month)
+            before, there = (seen.months if seen else {}), (now.months if now else {})
+            replaced = {*touched, *there, *before} if whole else touched
+            if clash := sorted(m for m in replaced if before.get(m) != there.get(m)):
+                raise ConcurrentWrite(f"{path}: another writer has published {', '.join(clash)}")
+            kept = {} if whole else {m: e for m, e in there.items() if m not in touched}
+            schema = df.schema
+            if not whole and now is not None and now.schema is not None:
+                known = {f.name: f for f in schema}
+                schema = StructType([known.pop(f.name, f) for f in now.schema] + list(known.values()))
+            return Manifest((now.version if now else 0) + 1, schema, kept | entries)
+
+        published = manifest.publish(spark, path, change)
+    except BaseException:
+        manifest.remove(spark, place)
+        raise
+    manifest.drop_old(spark, path)
+    return published
+
+
+# columns of a table without manifests, kept beside its months
 SCHEMA_FILE = "_columns.json"
 
 
-def _keep_schema(spark: SparkSession, path: str, schema: StructType) -> None:
-    where, files = _folder(spark, f"{path}/{SCHEMA_FILE}")
-    out = files.create(where, True)
-    try:
-        out.write(bytearray(schema.json(), "utf-8"))
-    finally:
-        out.close()
+def _manifest_or_folders(spark: SparkSession, path: str, month: str) -> Manifest | None:
+    """The newest manifest; for a table written otherwise, version 0 with the month folders found."""
+    found = manifest.read(spark, path)
+    if found is not None:
+        return found
+    held = [n.partition("=")[2] for n in manifest.names(spark, path) if n.startswith(f"{month}=")]
+    entries = {m: {"generation": "", "share": 0} for m in held}
+    return Manifest(0, stored_schema(spark, path), entries) if held else None
 
 
 def stored_schema(spark: SparkSession, path: str) -> StructType | None:
     """Columns and types of a table as its writer left them; None for a table written otherwise."""
-    where, files = _folder(spark, f"{path}/{SCHEMA_FILE}")
-    if not files.exists(where):
-        return None
-    stream = files.open(where)
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return StructType.fromJson(json.loads(text))
+    found = manifest.read(spark, path)
+    if found is not None:
+        return found.schema
+    text = manifest.read_text(spark, f"{path}/{SCHEMA_FILE}")
+    return None if text is None else StructType.fromJson(json.loads(text))
 
 
 def stored_months(spark: SparkSession, path: str, month: str = SNAPSHOT) -> list[str]:
-    """Months a table has partitions of, oldest first, from their folders alone."""
-    where, files = _folder(spark, path)
-    if not files.exists(where):
-        return []
-    names = (status.getPath().getName() for status in files.listStatus(where))
-    found = (name.partition("=")[2] for name in names if name.startswith(f"{month}="))
-    return sorted(m for m in found if not m.startswith("__HIVE"))
+    """Months a table has rows of, oldest first, without looking into them."""
+    found = _manifest_or_folders(spark, path, month)
+    return sorted(m for m in (found.live() if found else {}) if not m.startswith("__HIVE"))
 
 
 def read_snapshots(
@@ -100,23 +118,55 @@ def read_snapshots(
     months: Iterable[str] | None = None,
     month: str = SNAPSHOT,
     schema: StructType | None = None,
+    version: int | None = None,
 ) -> DataFrame:
-    """All months below the table root, or only the listed ones (partition pruning).
+    """All months of a table, or only the listed ones (partition pruning), as of its newest or a given version.
 
     Columns and types are those kept with the table, or a given ``schema``, so no file is opened for
     them; in a table written otherwise, all files' columns are merged by name.
     """
-    schema = schema or stored_schema(spark, path)
-    if schema is None:
-        reader = spark.read.option("mergeSchema", True)
+    months = None if months is None else [str(m) for m in months]
+    found = manifest.read(spark, path, version)
+    if found is None:
+        schema = schema or stored_schema(spark, path)
+        reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+        df = reader.parquet(path)
     else:
-        reader = spark.read.schema(schema)
-    df = reader.parquet(path)
+        df = _published(spark, path, found, months, month, schema or found.schema)
     if months is None:
         return df
     return df.where(F.col(month).isin([F.lit(m).cast("date") for m in months]))
 
 
+def _published(
+    spark: SparkSession, path: str, found: Manifest, months: list[str] | None, month: str, schema: StructType | None
+) -> DataFrame:
+    """The rows a manifest names. A generation whose months are all live is read by its folder alone."""
+    live, by = found.live(), {}
+    for m, entry in live.items():
+        by.setdefault(entry["generation"], []).append(m)
+    places, beside = [], []
+    for generation, held in by.items():
+        wanted = [m for m in held if months is None or m in months]
+        root = manifest.place(path, generation)
+        if generation and wanted and len(held) == live[held[0]]["share"]:
+            places.append(root)
+        else:
+            (places if generation else beside).extend(f"{root}/{month}={m}" for m in wanted)
+    parts = []
+    if places:
+        reader = spark.read.schema(StructType([*schema, StructField(manifest.GENERATION, StringType())]))
+        parts.append(reader.option("basePath", path).parquet(*places).drop(manifest.GENERATION))
+    if beside:
+        reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+        parts.append(reader.option("basePath", path).parquet(*beside))
+    if not parts:
+        ordered = [f for f in schema if f.name != month] + [f for f in schema if f.name == month]
+        return spark.createDataFrame([], StructType(ordered))
+    df = parts[0]
+    return df.unionByName(parts[1], allowMissingColumns=True) if len(parts) > 1 else df
+
+
 def read_snapshots_optional(
     spark: SparkSession, path: str, months: Iterable[str] | None = None
 ) -> DataFrame | None:

@@ -400,6 +400,63 @@ def rerun_emptied_month(spark, sf_dir):
     return datamart.layer_counts(spark, layout, ["loans"])
 
 
+@query(
+    "SELECT snapshot_date, count(*) n_rows, sum(loan_amt) amount FROM silver_loans GROUP BY 1",
+    rounded="amount", digits=2, dates="snapshot_date", ints="n_rows",
+)
+def failed_write(spark, sf_dir):
+    """All months rewritten by a job that breaks while it writes: readers find the months as they were."""
+    path = _written_loans(spark, sf_dir)
+    held = tables.read_snapshots(spark, path)
+    broken = F.when(F.xxhash64("loan_id", "mob") % 100 == 0, F.raise_error(F.lit("no such rate"))).otherwise(F.col("loan_amt") + 1)
+    try:
+        tables.write_snapshots(held.withColumn("loan_amt", broken), path, whole=True)
+    except Exception as fault:
+        if "no such rate" not in str(fault):
+            raise
+    return tables.read_snapshots(spark, path).groupBy("snapshot_date").agg(F.count("*").alias("n_rows"), F.sum("loan_amt").alias("amount"))
+
+
+REFRESH_SQL = """
+    WITH l AS (SELECT DISTINCT snapshot_date FROM loans WHERE cast(loan_id AS bigint) % 5000 = 1),
+         a AS (SELECT DISTINCT snapshot_date FROM raw_attributes WHERE cast(customer_id AS bigint) % 400 = 1 AND snapshot_date IS NOT NULL),
+         g AS (SELECT snapshot_date FROM l UNION SELECT a.snapshot_date FROM a WHERE a.snapshot_date IN (SELECT snapshot_date FROM loans))
+    SELECT 'bronze' AS layer, 'loans' AS dataset, snapshot_date FROM l UNION ALL SELECT 'silver', 'loans', snapshot_date FROM l
+    UNION ALL SELECT 'bronze', 'attributes', snapshot_date FROM a UNION ALL SELECT 'silver', 'attributes', snapshot_date FROM a
+    UNION ALL SELECT 'gold', 'feature_store', snapshot_date FROM g UNION ALL SELECT 'gold', 'label_store', snapshot_date FROM l"""
+
+
+def _changed_sources(spark, sf_dir):
+    """Some loans are a little larger, some customers have another occupation, a text no number is made of differs."""
+    found = raw_sources(spark, sf_dir)
+    loan, customer = F.col("loan_id").cast("bigint"), F.col("customer_id").cast("bigint")
+    grown = F.when(loan % 5000 == 1, (F.col("loan_amt").cast("double") + 1).cast("string")).otherwise(F.col("loan_amt"))
+    moved = F.when(customer % 400 == 1, F.lit("clerk")).otherwise(F.col("occupation"))
+    return found | {
+        "loans": found["loans"].withColumn("loan_amt", grown), "attributes": found["attributes"].withColumn("occupation", moved),
+    }
+
+
+@query(REFRESH_SQL, dates="snapshot_date")
+def incremental_refresh(spark, sf_dir):
+    """The months of each table that a second run builds anew after some rows of two sources have changed."""
+    root = scratch_path(spark, "datamart")
+    datamart.refresh(spark, raw_sources(spark, sf_dir), root)
+    _, built = datamart.refresh(spark, _changed_sources(spark, sf_dir), root)
+    return spark.createDataFrame(built, "layer string, dataset string, snapshot_date string").withColumn(
+        "snapshot_date", F.col("snapshot_date").cast("date")
+    )
+
+
+@query(BACKFILL_SQL, dates="snapshot_date", ints="n_rows")
+def refreshed_counts(spark, sf_dir):
+    """Rows per table and month after two refreshes, the second after a change: as many as a backfill writes."""
+    root, sources = scratch_path(spark, "datamart"), raw_sources(spark, sf_dir)
+    datamart.refresh(spark, _changed_sources(spark, sf_dir), root)
+    layout, _ = datamart.refresh(spark, sources, root)
+    return datamart.layer_counts(spark, layout, sources)
+
+
 FLAT_SQL = " UNION ALL ".join(
     f"SELECT '{layer}' AS layer, snapshot_date, count(*) n_rows FROM {view} "
     "WHERE snapshot_date IS NOT NULL GROUP BY ALL"
