@@ -25,7 +25,7 @@ from loanmart.llm import sieve
 from loanmart.llm.shared import partitions, utf8, written
 
 LONGEST = 3
-BLOCK_BYTES = 16 << 20  # text whose phrases are counted before they leave a task
+BLOCK_BYTES = 6 << 20  # text whose phrases are counted before they leave a task
 ROWS_PER_BUCKET = 400_000
 _BREAK = B.byte_class(b".,;:!?\n\x0b\x0c\r")
 _WORD = ~_BREAK & ~B.byte_class(b" \t")
@@ -39,10 +39,9 @@ class _Pieces:
         data, offsets = B.text_bytes(block.column("text"))
         data = B.LOWER[data]
         start, end, row = B.spans(_WORD[data], offsets)
-        breaks = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(_BREAK[data], out=breaks[1:])
-        piece = breaks[start]
+        piece = np.cumsum(_BREAK[data], dtype=np.int32)[start]
         words = B.cut_out(data, start, end).dictionary_encode()
+        del data, start, end
         languages = block.column("lang").dictionary_encode()
         self.names, self.languages = words.dictionary, languages.dictionary
         self.word = words.indices.to_numpy().astype(np.int64)
