@@ -7,8 +7,8 @@ price of the backoff weight. One traversal from left to right carries the state
 
 The model grows with the training texts and is never in one place. Texts are cut into blocks; a block names its distinct
 n-grams, by 64-bit hashes sorted and packed by slice of the hash range; each slice of the model answers the blocks with
-counts, and the block builds from these the part of the automaton that its own texts can reach. A sieve of fixed size
-keeps n-grams with a rare pair of words out of counts and questions.
+counts, and the block builds from these the part of the automaton that its own texts can reach. Sieves of fixed size
+keep rare pairs and triples out of counts and questions.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from loanmart.llm.shared import utf8, written
 
 LEAST = 5  # pairs and triples found less often in the training texts are left to the shorter history
 DISCOUNT = 0.75
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SLICE_ROWS = 2_000_000  # names of n-grams a task holds at once
 LANE = 512  # tokens of a text that are walked through together with other stretches
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word has a line end
@@ -45,11 +45,12 @@ def _gathered(batches, column: str, size: int):
     """Batches with about ``size`` bytes of text each, from smaller or larger ones; rows are whole."""
     held, total = [], 0
     for block in B.sized_blocks(batches, column, size):
-        held.append(block)
-        total += int(B.text_bytes(block.column(column))[1][-1])
-        if total >= size:
+        more = int(B.text_bytes(block.column(column))[1][-1])
+        if held and total + more > size:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held, total = [], 0
+        held.append(block)
+        total += more
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
@@ -88,7 +89,7 @@ def _blocks_of_tokens(size: int):
 class _Block:
     """The texts of one row as transitions from one token to the next, an end mark before and after each text."""
 
-    def __init__(self, batch: pa.RecordBatch, at: int, frequent: sieve.Sieve | None = None, training_only: bool = False):
+    def __init__(self, batch: pa.RecordBatch, at: int, sieves: list[sieve.Sieve] = (), training_only: bool = False):
         names = np.frombuffer(batch.column("names")[at].as_buffer(), np.uint64)
         sizes = batch.column("sizes")[at].values.to_numpy().astype(np.int64)
         words = _unzip(batch.column("tokens")[at].as_buffer(), np.int32, int(sizes.sum()))
@@ -109,30 +110,47 @@ class _Block:
         self.start = np.concatenate([[0], np.cumsum(sizes + 1)])
         self.now, self.before = token[to], token[to - 1]
         self.hash = B.mix(np.append(names, _END))
-        self.frequent = frequent
+        self.sieves = sieves
 
-    def pair_keys(self) -> np.ndarray:
-        return self._pair_keys(self.before, self.now)
+    def keys(self) -> np.ndarray:
+        """Keys of all pairs; with a sieve of pairs, those of the triples whose pairs it lets through."""
+        if not self.sieves:
+            return self._pair_keys(self.before, self.now)
+        self._pairs()
+        both, last = self._triples()
+        return self._triple_keys(last[both] * self.width + self.now[both])
 
     def _pair_keys(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         return B.mix((self.hash[first] * B._STEP + self.hash[second]) ^ _SALTS[0])
 
-    def grams(self):
-        """Distinct words, pairs and triples that may be kept: keys, keys of their histories, counts; and where they are."""
-        self.word, self.word_n = np.unique(self.now, return_counts=True)
-        pair, at, of, n = np.unique(self.before * self.width + self.now, return_index=True, return_inverse=True, return_counts=True)
+    def _triple_keys(self, triple: np.ndarray) -> np.ndarray:
+        return B.mix((self.pair_key[triple // self.width] * B._STEP + self.hash[triple % self.width]) ^ _SALTS[1])
+
+    def _pairs(self) -> None:
+        pair, of, n = np.unique(self.before * self.width + self.now, return_inverse=True, return_counts=True)
         keys = self._pair_keys(pair // self.width, pair % self.width)
-        kept = np.flatnonzero(self.frequent.passes(keys))
+        kept = np.flatnonzero(self.sieves[0].passes(keys))
         number = np.full(len(pair), -1, np.int64)
         number[kept] = np.arange(len(kept))
         # of each transition: its pair among those kept, -1 for none
-        self.pair_at, self.pair, self.pair_n, self.pair_key = number[of] if len(of) else of, pair[kept], n[kept], keys[kept]
+        self.pair_at, self.pair, self.pair_n, self.pair_key = number[of], pair[kept], n[kept], keys[kept]
+
+    def _triples(self) -> tuple[np.ndarray, np.ndarray]:
+        """Transitions that end a triple of kept pairs, and the first pair of every transition's triple."""
         last = np.full(len(self.now), -1, np.int64)
         last[1:] = self.pair_at[:-1]
         last[self.start[:-1]] = -1
-        both = np.flatnonzero((last >= 0) & (self.pair_at >= 0))
-        self.triple, self.triple_n = np.unique(last[both] * self.width + self.now[both], return_counts=True)
-        self.triple_key = B.mix((self.pair_key[self.triple // self.width] * B._STEP + self.hash[self.triple % self.width]) ^ _SALTS[1])
+        return np.flatnonzero((last >= 0) & (self.pair_at >= 0)), last
+
+    def grams(self):
+        """Distinct words, pairs and triples that may be kept: keys, keys of their histories, counts; and where they are."""
+        self.word, self.word_n = np.unique(self.now, return_counts=True)
+        self._pairs()
+        both, last = self._triples()
+        triple, n = np.unique(last[both] * self.width + self.now[both], return_counts=True)
+        keys = self._triple_keys(triple)
+        kept = self.sieves[1].passes(keys)
+        self.triple, self.triple_n, self.triple_key = triple[kept], n[kept], keys[kept]
         return (
             np.concatenate([self.hash[self.word], self.pair_key, self.triple_key]),
             np.concatenate([np.zeros(len(self.word), np.uint64), self.hash[self.pair // self.width], self.pair_key[self.triple // self.width]]),
@@ -158,25 +176,27 @@ def _rows(batches):
             yield batch, at
 
 
-def _packed_pairs(bits: int, least: int):
+def _packed(sieves: list[sieve.Sieve], bits: int, least: int):
+    """Keys of the pairs, or with a sieve of pairs of the triples, of each block's training texts."""
+
     def run(batches):
         for batch, at in _rows(batches):
-            keys, times = np.unique(_Block(batch, at, training_only=True).pair_keys(), return_counts=True)
+            keys, times = np.unique(_Block(batch, at, sieves, training_only=True).keys(), return_counts=True)
             if len(keys):
                 yield from sieve.pack(np.repeat(keys, np.minimum(times, least)), bits)
 
     return run
 
 
-def _training_grams(frequent: sieve.Sieve, slices: int):
+def _training_grams(sieves: list[sieve.Sieve], slices: int):
     """``slice, keys, parents, counts`` of a block's training texts."""
 
     def run(batches):
         for batch, at in _rows(batches):
-            keys, parents, n = _Block(batch, at, frequent, training_only=True).grams()
+            keys, parents, n = _Block(batch, at, sieves, training_only=True).grams()
             order = np.argsort(keys)
             keys, parents, n = keys[order], parents[order], n[order].astype(np.int64)
-            out = [(s, keys[a:b].tobytes(), parents[a:b].tobytes(), _zip(n[a:b])) for s, a, b in _sliced(keys, slices)]
+            out = [(s, sieve.zip_sorted(keys[a:b]), _zip(parents[a:b]), _zip(n[a:b])) for s, a, b in _sliced(keys, slices)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), *[pa.binary()] * 3])], ["slice", "keys", "parents", "counts"])
 
@@ -207,22 +227,22 @@ def _summed(least: int):
                 yield from total(now, held)
                 held = []
             now = one
-            keys = np.frombuffer(batch.column("keys")[at].as_buffer(), np.uint64)
-            held.append((keys, np.frombuffer(batch.column("parents")[at].as_buffer(), np.uint64), _unzip(batch.column("counts")[at].as_buffer(), np.int64, len(keys))))
+            keys = sieve.unzip_sorted(batch.column("keys")[at].as_buffer(), np.uint64)
+            held.append((keys, _unzip(batch.column("parents")[at].as_buffer(), np.uint64, len(keys)), _unzip(batch.column("counts")[at].as_buffer(), np.int64, len(keys))))
         if held:
             yield from total(now, held)
 
     return run
 
 
-def _questions(frequent: sieve.Sieve, slices: int):
+def _questions(sieves: list[sieve.Sieve], slices: int):
     """``slice, block, keys`` of what each block wants to know."""
 
     def run(batches):
         for batch, at in _rows(batches):
-            keys = _Block(batch, at, frequent).names()
+            keys = _Block(batch, at, sieves).names()
             block = batch.column("block")[at].as_py()
-            out = [(s, block, keys[a:b].tobytes()) for s, a, b in _sliced(keys, slices)]
+            out = [(s, block, sieve.zip_sorted(keys[a:b])) for s, a, b in _sliced(keys, slices)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), pa.int64(), pa.binary()])], ["slice", "block", "keys"])
 
     return run
@@ -253,7 +273,7 @@ def _answers(batches):
                 known, model = np.ascontiguousarray(table[0]).view(np.uint64), []
             out = []
             for q in questions.tolist():
-                keys = np.frombuffer(batch.column("keys")[q].as_buffer(), np.uint64)
+                keys = sieve.unzip_sorted(batch.column("keys")[q].as_buffer(), np.uint64)
                 found = np.zeros((3, len(keys)), np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
@@ -330,11 +350,11 @@ def _automaton(block: _Block, count, kept, total, tokens: int, distinct: int, di
     return machine, c1, state1, state2
 
 
-def _scored(frequent: sieve.Sieve, slices: int, tokens: int, distinct: int, discount: float, lane: int):
+def _scored(sieves: list[sieve.Sieve], slices: int, tokens: int, distinct: int, discount: float, lane: int):
     """Rows of texts, from a block's answers in the order of their slices and then the block itself."""
 
     def of(batch, at, blobs):
-        block = _Block(batch, at, frequent)
+        block = _Block(batch, at, sieves)
         keys = block.names()
         values = np.zeros((3, len(keys)), np.int64)
         for (_, a, b), blob in zip(_sliced(keys, slices), blobs, strict=True):
@@ -406,10 +426,13 @@ def score(
     staged = written(texts.mapInArrow(_blocks_of_tokens(block_bytes), columns))
     size = staged.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n + 1))).first()[0] or 0
     bits = sieve.counted_bits(size)
-    frequent = sieve.of_frequent(staged.mapInArrow(_packed_pairs(bits, least), "slice int, keys binary"), bits, least, size)
+    sieves = []
+    for _ in ("pairs", "triples"):
+        packed = staged.mapInArrow(_packed(list(sieves), bits, least), "slice int, keys binary")
+        sieves.append(sieve.of_frequent(packed, bits, least, size))
     slices = 1 << (max(0, -(-size // SLICE_ROWS) - 1)).bit_length()
     tasks = max(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = staged.mapInArrow(_training_grams(frequent, slices), "slice int, keys binary, parents binary, counts binary")
+    packed = staged.mapInArrow(_training_grams(sieves, slices), "slice int, keys binary, parents binary, counts binary")
     counts = written(
         packed.repartition(tasks, "slice").sortWithinPartitions("slice").mapInArrow(_summed(least), "slice int, key long, parent long, n long")
     )
@@ -420,7 +443,7 @@ def score(
         "key", "n", F.coalesce("kept", F.lit(0)).cast("long").alias("kept"), F.coalesce("total", F.lit(0)).cast("long").alias("total"),
     )
     nothing = [F.lit(None).cast("long").alias(c) for c in ("key", "n", "kept", "total")]
-    asked = staged.mapInArrow(_questions(frequent, slices), "slice int, block long, keys binary").select("slice", "block", "keys", *nothing)
+    asked = staged.mapInArrow(_questions(sieves, slices), "slice int, block long, keys binary").select("slice", "block", "keys", *nothing)
     met = model.union(asked).repartition(tasks, "slice").sortWithinPartitions("slice", F.asc_nulls_first("block"))
     answers = met.mapInArrow(_answers, "block long, slice int, answers binary")
     blank = [F.lit(None).cast(t).alias(c) for c, t in staged.dtypes if c != "block"]
@@ -428,6 +451,6 @@ def score(
         staged.select("block", F.lit(1 << 30).alias("slice"), F.lit(None).cast("binary").alias("answers"), *[c for c in staged.columns if c != "block"])
     )
     ready_ = together.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size * 6 // block_bytes)), "block")
-    scored = _scored(frequent, slices, tokens, distinct, discount, lane)
+    scored = _scored(sieves, slices, tokens, distinct, discount, lane)
     result = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return ready_.sortWithinPartitions("block", "slice").mapInArrow(scored, result)

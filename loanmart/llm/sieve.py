@@ -48,13 +48,27 @@ def of_keys(keys: DataFrame, column: str, rows: int) -> Sieve:
     return _collected(cells, bits)
 
 
+def zip_sorted(values: np.ndarray) -> bytes:
+    """Sorted unsigned numbers as the compressed bytes of their differences, those of one weight together."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(len(values), -1).T)
+    return np.int64(len(values)).tobytes() + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unzip_sorted(blob, kind) -> np.ndarray:
+    blob = memoryview(blob)
+    size, width = int(np.frombuffer(blob[:8], np.int64)[0]), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(blob[8:], decompressed_size=size * width, codec="zstd", asbytes=True), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(width, size).T).view(kind)[:, 0], dtype=kind)
+
+
 def counted_bits(rows: int) -> int:
     """Leading bits of a key that are told apart when counting ``rows`` of them."""
     return min(COUNTED_BITS, max(20, (32 * rows).bit_length()))
 
 
 def pack(keys: np.ndarray, bits: int):
-    """``slice int, keys binary`` batches of one task's keys: each slice has its keys' bits, four bytes a key.
+    """``slice int, keys binary`` batches of one task's keys: each slice has its keys' bits, zipped.
 
     Keys may repeat; their number is what is counted. Sorted, so that a slice is one stretch.
     """
@@ -64,7 +78,7 @@ def pack(keys: np.ndarray, bits: int):
     inside = (at & np.uint64((1 << low) - 1)).astype(np.uint32)
     ends = [*starts[1:], len(at)]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(slices.astype(np.int32)), pa.array([inside[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())],
+        [pa.array(slices.astype(np.int32)), pa.array([zip_sorted(inside[a:b]) for a, b in zip(starts, ends)], pa.binary())],
         ["slice", "keys"],
     )
 
@@ -94,7 +108,7 @@ def of_frequent(packed: DataFrame, bits: int, least: int, rows: int) -> Sieve:
                     if now is not None and (out := cells()) is not None:
                         yield out
                     now, counts = one, np.zeros(1 << low, np.uint8)
-                keys, times = np.unique(np.frombuffer(blob.as_buffer(), np.uint32), return_counts=True)
+                keys, times = np.unique(unzip_sorted(blob.as_buffer(), np.uint32), return_counts=True)
                 counts[keys] = np.minimum(counts[keys] + times, least)
         if now is not None and (out := cells()) is not None:
             yield out

@@ -86,7 +86,7 @@ def scores(spark, rows, **how):
     return M.score(frame, "id", "body", F.col("h"), **how).collect()
 
 
-@pytest.mark.parametrize("block, lane, slice_rows, least", [(16 << 20, 512, 2_000_000, 5), (200, 3, 100, 2), (1, 1, 7, 1), (3000, 7, 1000, 3)])
+@pytest.mark.parametrize("block, lane, slice_rows, least", [(16 << 20, 512, 2_000_000, 5), (200, 3, 100, 2), (40, 1, 300, 1), (3000, 7, 1000, 3)])
 def test_blocks_slices_and_lanes_change_nothing(spark, monkeypatch, block, lane, slice_rows, least):
     monkeypatch.setattr(M, "SLICE_ROWS", slice_rows)
     rows = random_rows(lane)
