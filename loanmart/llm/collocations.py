@@ -7,8 +7,8 @@ from the last on, the same scan gives right parts and left extensions. The two s
 goes over range partitions, so a word of any frequency is spread over many; what a partition must know
 of those before and after it is one row a partition.
 
-Rare pairs of words need not be counted by name: a sieve of all pairs found often enough comes first, and phrases of
-three words are counted only where it lets both pairs through. It never holds back a frequent pair.
+Rare phrases need not be counted by name: sieves of all words and pairs, then of all triples, found often enough come
+first, and only what they let through is counted. They never hold back a frequent phrase.
 """
 
 from __future__ import annotations
@@ -49,29 +49,49 @@ class _Pieces:
         # whether the word after this one is in the same piece
         self.pair = np.flatnonzero((row[1:] == row[:-1]) & (piece[1:] == piece[:-1]))
 
-    def pair_keys(self) -> np.ndarray:
-        """Hash of language and words of each pair."""
-        word, language = (
+        hashes = (
             np.fromiter((xxhash.xxh3_64_intdigest(s) for s in names.cast(pa.binary()).to_pylist()), np.uint64, len(names))
             for names in (self.names, self.languages)
         )
-        first, second = word[self.word[self.pair]], word[self.word[self.pair + 1]]
-        return B.mix((language[self.language[self.pair]] * B._STEP + first) * B._STEP + second)
-
-
-def _packed_pairs(bits: int, least: int):
-    """Keys of the pairs of each block, each at most ``least`` times: more would not change what is asked."""
+        of_word, of_language = hashes
+        self.in_language = (of_language * B._STEP)[self.language]
+        self.hash = of_word[self.word]
+        self.word_keys = B.mix(self.in_language + self.hash)
+        first, second = self.pair, self.pair + 1
+        self.pair_keys = B.mix((self.word_keys[first] + B._STEP) * B._STEP + self.hash[second])
+
+    def sieved(self, sieves: list[sieve.Sieve]) -> None:
+        """Keeps the words and pairs that the first sieve lets through, and triples of such pairs, with their keys."""
+        self.words = np.flatnonzero(sieves[0].passes(self.word_keys))
+        passed = sieves[0].passes(self.pair_keys)
+        self.pair, self.pair_keys = self.pair[passed], self.pair_keys[passed]
+        number = np.full(len(self.word) + 1, -1, np.int64)
+        number[self.pair] = np.arange(len(self.pair))
+        two = np.flatnonzero(number[self.pair + 1] >= 0)
+        self.triple = self.pair[two]
+        self.triple_keys = B.mix((self.pair_keys[two] + B._STEP) * B._STEP + self.hash[self.triple + 2])
+        if len(sieves) > 1:
+            self.triple = self.triple[sieves[1].passes(self.triple_keys)]
+
+
+def _packed(sieves: list[sieve.Sieve], bits: int, least: int):
+    """Keys of the words and pairs, or with a sieve of these of the triples, of each block, each at most ``least`` times:
+    more would not change what is asked."""
 
     def run(batches):
         for block in B.sized_blocks(batches, "text", BLOCK_BYTES):
-            keys, times = np.unique(_Pieces(block).pair_keys(), return_counts=True)
+            p = _Pieces(block)
+            if sieves:
+                p.sieved(sieves)
+            found = p.triple_keys if sieves else np.concatenate([p.word_keys, p.pair_keys])
+            keys, times = np.unique(found, return_counts=True)
             if len(keys):
                 yield from sieve.pack(np.repeat(keys, np.minimum(times, least)), bits)
 
     return run
 
 
-def _counted(frequent: sieve.Sieve):
+def _counted(sieves: list[sieve.Sieve]):
     """``lang, w1, w2, w3, n`` of a block's phrases; shorter ones have empty words, that of no word counts all words."""
 
     def run(batches):
@@ -80,15 +100,14 @@ def _counted(frequent: sieve.Sieve):
             if not len(p.word):
                 continue
             size = len(p.names)
-            passed = p.pair[frequent.passes(p.pair_keys())]
-            triple = passed[np.isin(passed + 1, passed, assume_unique=True)]
-            first = p.language * size + p.word
+            p.sieved(sieves)
+            passed, triple, first = p.pair, p.triple, p.language * size + p.word
             pairs, pair_at, pair_n = np.unique(first[passed] * size + p.word[passed + 1], return_index=True, return_counts=True)
             wide = np.searchsorted(pairs, first[triple] * size + p.word[triple + 1]) * size + p.word[triple + 2]
             _, triple_at, triple_n = np.unique(wide, return_index=True, return_counts=True)
-            _, word_at, word_n = np.unique(first, return_index=True, return_counts=True)
+            _, word_at, word_n = np.unique(first[p.words], return_index=True, return_counts=True)
             _, all_at, all_n = np.unique(p.language, return_index=True, return_counts=True)
-            levels = [(all_at, all_n), (word_at, word_n), (passed[pair_at], pair_n), (triple[triple_at], triple_n)]
+            levels = [(all_at, all_n), (p.words[word_at], word_n), (passed[pair_at], pair_n), (triple[triple_at], triple_n)]
             for length, (at, n) in enumerate(levels):
                 blank = pa.array([""] * len(at), pa.string())
                 words = [p.names.take(pa.array(p.word[at + i])) if i < length else blank for i in range(LONGEST)]
@@ -102,9 +121,11 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, least: int) ->
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), utf8(text_col).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = sieve.counted_bits(size // 6)
-    packed = texts.mapInArrow(_packed_pairs(bits, least), "slice int, keys binary")
-    frequent = sieve.of_frequent(packed, bits, least, size // 6)
-    counted = texts.mapInArrow(_counted(frequent), "lang string, w1 string, w2 string, w3 string, n long")
+    sieves = []
+    for _ in ("words and pairs", "triples"):
+        packed = texts.mapInArrow(_packed(list(sieves), bits, least), "slice int, keys binary")
+        sieves.append(sieve.of_frequent(packed, bits, least, size // 6))
+    counted = texts.mapInArrow(_counted(sieves), "lang string, w1 string, w2 string, w3 string, n long")
     return counted.groupBy("lang", *WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 

@@ -51,7 +51,7 @@ def of_keys(keys: DataFrame, column: str, rows: int) -> Sieve:
 def zip_sorted(values: np.ndarray) -> bytes:
     """Sorted unsigned numbers as the compressed bytes of their differences, those of one weight together."""
     steps = np.diff(values, prepend=values.dtype.type(0))
-    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(len(values), -1).T)
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(len(values), steps.dtype.itemsize).T)
     return np.int64(len(values)).tobytes() + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
