@@ -33,12 +33,17 @@ _SALTS = (np.uint64(0x3C79AC492BA7B653), np.uint64(0x1C69B3F74AC4AE35))
 
 
 def _zip(values: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(values).view(np.uint8).data, codec="zstd", asbytes=True)
+    """The compressed bytes of some numbers, those of one weight together."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
-def _unzip(blob: pa.Scalar | bytes, kind, count: int) -> np.ndarray:
-    size = count * np.dtype(kind).itemsize
-    return np.frombuffer(pa.decompress(blob, decompressed_size=size, codec="zstd", asbytes=True) if size else b"", kind)
+def _unzip(blob: pa.Buffer | bytes, kind, count: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    if not count:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(blob, decompressed_size=count * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, count).T).view(kind)[:, 0]
 
 
 def _gathered(batches, column: str, size: int):
@@ -147,9 +152,13 @@ class _Block:
         self.word, self.word_n = np.unique(self.now, return_counts=True)
         self._pairs()
         both, last = self._triples()
-        triple, n = np.unique(last[both] * self.width + self.now[both], return_counts=True)
+        triple, of, n = np.unique(last[both] * self.width + self.now[both], return_inverse=True, return_counts=True)
         keys = self._triple_keys(triple)
-        kept = self.sieves[1].passes(keys)
+        kept = np.flatnonzero(self.sieves[1].passes(keys))
+        number = np.full(len(triple), -1, np.int64)
+        number[kept] = np.arange(len(kept))
+        self.triple_at = np.full(len(self.now), -1, np.int64)
+        self.triple_at[both] = number[of]
         self.triple, self.triple_n, self.triple_key = triple[kept], n[kept], keys[kept]
         return (
             np.concatenate([self.hash[self.word], self.pair_key, self.triple_key]),
@@ -162,12 +171,20 @@ class _Block:
         return np.unique(np.append(self.grams()[0], self.hash[self.end]))
 
 
-def _sliced(keys: np.ndarray, slices: int):
-    """``(slice, from, to)`` of sorted keys."""
-    shift = np.uint64(64 - (slices - 1).bit_length()) if slices > 1 else None
-    of = (keys >> shift).astype(np.int64) if slices > 1 else np.zeros(len(keys), np.int64)
+def _slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
+    if slices == 1:
+        return np.zeros(len(keys), np.int64)
+    return (keys >> np.uint64(64 - (slices - 1).bit_length())).astype(np.int64)
+
+
+def _runs(of: np.ndarray):
+    """``(slice, from, to)`` of sorted slice numbers."""
     found, at = np.unique(of, return_index=True)
-    return zip(found.tolist(), at.tolist(), [*at[1:].tolist(), len(keys)])
+    return zip(found.tolist(), at.tolist(), [*at[1:].tolist(), len(of)])
+
+
+def _sliced(keys: np.ndarray, slices: int):
+    return _runs(_slice_of(keys, slices))
 
 
 def _rows(batches):
@@ -194,9 +211,10 @@ def _training_grams(sieves: list[sieve.Sieve], slices: int):
     def run(batches):
         for batch, at in _rows(batches):
             keys, parents, n = _Block(batch, at, sieves, training_only=True).grams()
-            order = np.argsort(keys)
+            of = _slice_of(keys, slices)
+            order = np.lexsort((keys, parents, of))  # of one history together, which zips well
             keys, parents, n = keys[order], parents[order], n[order].astype(np.int64)
-            out = [(s, sieve.zip_sorted(keys[a:b]), _zip(parents[a:b]), _zip(n[a:b])) for s, a, b in _sliced(keys, slices)]
+            out = [(s, sieve.zip_sorted(keys[a:b]), sieve.zip_sorted(parents[a:b]), _zip(n[a:b])) for s, a, b in _runs(of[order])]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), *[pa.binary()] * 3])], ["slice", "keys", "parents", "counts"])
 
@@ -228,7 +246,7 @@ def _summed(least: int):
                 held = []
             now = one
             keys = sieve.unzip_sorted(batch.column("keys")[at].as_buffer(), np.uint64)
-            held.append((keys, _unzip(batch.column("parents")[at].as_buffer(), np.uint64, len(keys)), _unzip(batch.column("counts")[at].as_buffer(), np.int64, len(keys))))
+            held.append((keys, sieve.unzip_sorted(batch.column("parents")[at].as_buffer(), np.uint64), _unzip(batch.column("counts")[at].as_buffer(), np.int64, len(keys))))
         if held:
             yield from total(now, held)
 
@@ -248,119 +266,126 @@ def _questions(sieves: list[sieve.Sieve], slices: int):
     return run
 
 
+MODEL = ("n", "kept", "total")
+
+
+def _packed_model(batches):
+    """``slice, keys, answers``: keys of a batch of the model's rows, and what is known of them."""
+    for batch in batches:
+        slices = batch.column("slice").to_numpy()
+        keys = batch.column("key").to_numpy().view(np.uint64)
+        order = np.lexsort((keys, slices))
+        values = [batch.column(c).to_numpy()[order] for c in MODEL]
+        keys = keys[order]
+        out = [(s, sieve.zip_sorted(keys[a:b]), _zip(np.concatenate([v[a:b] for v in values]))) for s, a, b in _runs(slices[order])]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), pa.binary(), pa.binary()])], ["slice", "keys", "answers"])
+
+
 def _answers(batches):
     """``block, slice, answers``: count, number and sum of kept successors of each key asked for; 0 where unknown.
 
     In each slice the rows of the model, which have no block, come first.
     """
-    now, model, table = None, [], None
+    now, model, known, table = None, [], None, None
     for batch in batches:
-        slices, blocks = batch.column("slice").to_numpy(), batch.column("block")
-        asked = np.flatnonzero(~np.asarray(blocks.is_null()))
-        edges = [0, *(np.flatnonzero(np.diff(slices)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(edges, edges[1:]):
-            if slices[a] != now:
-                now, model, table = slices[a], [], None
-            questions = asked[(asked >= a) & (asked < b)]
-            upto = int(questions[0]) if len(questions) else b
-            if upto > a:
-                model.append(np.stack([batch.column(c)[a:upto].to_numpy() for c in ("key", "n", "kept", "total")]))
-            if not len(questions):
+        out = []
+        for at in range(batch.num_rows):
+            one, block = batch.column("slice")[at].as_py(), batch.column("block")[at].as_py()
+            if one != now:
+                now, model, known = one, [], None
+            keys = sieve.unzip_sorted(batch.column("keys")[at].as_buffer(), np.uint64)
+            if block is None:
+                model.append((keys, _unzip(batch.column("answers")[at].as_buffer(), np.int64, 3 * len(keys)).reshape(3, -1)))
                 continue
-            if table is None:
-                table = np.concatenate(model, axis=1) if model else np.zeros((4, 0), np.int64)
-                table = table[:, np.argsort(table[0].view(np.uint64))]
-                known, model = np.ascontiguousarray(table[0]).view(np.uint64), []
-            out = []
-            for q in questions.tolist():
-                keys = sieve.unzip_sorted(batch.column("keys")[q].as_buffer(), np.uint64)
-                found = np.zeros((3, len(keys)), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                    hit = known[at] == keys
-                    found[:, hit] = table[1:, at[hit]]
-                out.append((blocks[q].as_py(), int(now), _zip(found.reshape(-1))))
+            if known is None:
+                known = np.concatenate([k for k, _ in model]) if model else np.zeros(0, np.uint64)
+                order, model_values = np.argsort(known), [v for _, v in model]
+                known = known[order]
+                table, model = (np.concatenate(model_values, axis=1)[:, order] if model_values else None), []
+            found = np.zeros((3, len(keys)), np.int64)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[place] == keys
+                found[:, hit] = table[:, place[hit]]
+            out.append((block, one, _zip(found.reshape(-1))))
+        if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64(), pa.int32(), pa.binary()])], ["block", "slice", "answers"])
 
 
 class Automaton:
-    """States, arcs and failure arcs over the words ``0 .. width - 1``; state 0 is the empty history.
+    """States, arcs and failure arcs over the words of a block; state 0 is the empty history.
 
-    ``codes`` are sorted ``state * width + word``. State 0 has an arc for every word, in ``plain`` and ``onward``.
+    States up to ``short`` are histories of one word, those after it of two. State 0 has an arc for every word, in ``plain``
+    and ``onward``; other arcs have a number, by which ``weights`` and ``targets`` list them.
     """
 
-    def __init__(self, width, codes, weights, targets, plain, onward, failure, price):
-        self.width, self.codes, self.weights, self.targets = width, codes, weights, targets
+    def __init__(self, short, weights, targets, plain, onward, failure, price):
+        self.short, self.weights, self.targets = short, weights, targets
         self.plain, self.onward, self.failure, self.price = plain, onward, failure, price
 
-    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log-probability of a word in each state, and the state after it."""
-        score, after, state = np.zeros(len(state)), np.zeros(len(state), np.int64), state.copy()
-        left = np.arange(len(state))
-        while len(left):
-            empty = state[left] == 0
-            done = left[empty]
-            score[done] += self.plain[word[done]]
-            after[done] = self.onward[word[done]]
-            left = left[~empty]
-            if not len(left):
-                break
-            code = state[left] * self.width + word[left]
-            at = np.searchsorted(self.codes, code, "right") - 1
-            hit = self.codes[at] == code
-            score[left[hit]] += self.weights[at[hit]]
-            after[left[hit]] = self.targets[at[hit]]
-            left = left[~hit]
-            score[left] += self.price[state[left]]
-            state[left] = self.failure[state[left]]
-        return score, after
-
-
-def _automaton(block: _Block, count, kept, total, tokens: int, distinct: int, discount: float):
-    """The part of the model a block's texts can reach; each argument a function from keys to values."""
-    every = np.arange(block.width)
-    c1, s1, t1 = (f(block.hash[every]) for f in (count, kept, total))
+    def step(self, state: np.ndarray, word: np.ndarray, arc2: np.ndarray, arc3: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probability of a word in each state, and the state after it.
+
+        ``arc2`` and ``arc3`` number the arcs of the word from histories of one and of two words, -1 for none. Where a state
+        has no arc, its failure arc is taken.
+        """
+        score, state = np.zeros(len(state)), state.copy()
+        for long, arcs in ((True, arc3), (False, arc2)):
+            here = state > self.short if long else state > 0
+            missing = here & (arcs < 0)
+            score[missing] += self.price[state[missing]]
+            state[missing] = self.failure[state[missing]]
+        # now every state has the arc: the longest history that has one
+        arc = np.where(state > self.short, arc3, np.where(state > 0, arc2, -1))
+        taken = arc >= 0
+        score += np.where(taken, self.weights[arc], self.plain[word])
+        return score, np.where(taken, self.targets[arc], self.onward[word])
+
+
+def _automaton(block: _Block, look, tokens: int, distinct: int, discount: float):
+    """The part of the model a block's texts can reach, with the arc numbers of each transition; ``look`` gives the count, the
+    number and the sum of kept successors of keys."""
+    c1, s1, t1 = look(block.hash)
     plain = (c1 + 0.5) / (tokens + 0.5 * (distinct + 1))
-    c2, s2, t2 = (f(block.pair_key) for f in (count, kept, total))
-    c3 = count(block.triple_key)
+    c2, s2, t2 = look(block.pair_key)
+    c3 = look(block.triple_key)[0]
     one, two = np.flatnonzero(s1 > 0), np.flatnonzero(s2 > 0)
     state1, state2 = np.zeros(block.width, np.int64), np.zeros(len(block.pair), np.int64)
     state1[one] = 1 + np.arange(len(one))
     state2[two] = 1 + len(one) + np.arange(len(two))
-    # a history of a text that is held out may have no count; it is no state then
     back1 = np.where(s1 > 0, 1 - (t1 - discount * s1) / np.maximum(c1, 1), 1.0)
     back2 = np.where(s2 > 0, 1 - (t2 - discount * s2) / np.maximum(c2, 1), 1.0)
     first, second = block.pair // block.width, block.pair % block.width
     p2 = np.where(c2 > 0, (c2 - discount) / np.maximum(c1[first], 1), 0) + back1[first] * plain[second]
     after2 = np.where(state2 > 0, state2, state1[second])
-    arcs2 = np.flatnonzero(c2 > 0)
-    history, last = block.triple // block.width, block.triple % block.width
+    arcs2, arcs3 = np.flatnonzero(c2 > 0), np.flatnonzero(c3 > 0)
+    history, last = block.triple[arcs3] // block.width, block.triple[arcs3] % block.width
     tail = np.searchsorted(block.pair, second[history] * block.width + last)  # the pair a triple ends with
-    arcs3 = np.flatnonzero(c3 > 0)
-    p3 = (c3 - discount)[arcs3] / c2[history[arcs3]] + back2[history[arcs3]] * p2[tail[arcs3]]
-    # the first code is none of any state, so that there is one to compare with
-    codes = np.concatenate([[-1], state1[first[arcs2]] * block.width + second[arcs2], state2[history[arcs3]] * block.width + last[arcs3]])
-    order = np.argsort(codes)
+    p3 = (c3[arcs3] - discount) / c2[history] + back2[history] * p2[tail]
+    # one number more, that of no arc
+    number2, number3 = np.full(len(block.pair) + 1, -1, np.int64), np.full(len(block.triple) + 1, -1, np.int64)
+    number2[arcs2] = np.arange(len(arcs2))
+    number3[arcs3] = len(arcs2) + np.arange(len(arcs3))
     machine = Automaton(
-        block.width, codes[order], np.log10(np.concatenate([[1.0], p2[arcs2], p3]))[order],
-        np.concatenate([[0], after2[arcs2], after2[tail[arcs3]]])[order],
+        len(one), np.log10(np.concatenate([p2[arcs2], p3, [1.0]])), np.concatenate([after2[arcs2], after2[tail], [0]]),
         np.log10(plain), state1, np.concatenate([[0], np.zeros(len(one), np.int64), state1[second[two]]]),
         np.log10(np.concatenate([[1.0], back1[one], back2[two]])),
     )
-    return machine, c1, state1, state2
+    return machine, c1, state1, state2, number2[block.pair_at], number3[block.triple_at]
 
 
 def _scored(sieves: list[sieve.Sieve], slices: int, tokens: int, distinct: int, discount: float, lane: int):
     """Rows of texts, from a block's answers in the order of their slices and then the block itself."""
 
-    def of(batch, at, blobs):
-        block = _Block(batch, at, sieves)
+    def of(batch, row, blobs):
+        block = _Block(batch, row, sieves)
         keys = block.names()
         values = np.zeros((3, len(keys)), np.int64)
         for (_, a, b), blob in zip(_sliced(keys, slices), blobs, strict=True):
             values[:, a:b] = _unzip(blob, np.int64, 3 * (b - a)).reshape(3, -1)
-        lookups = [lambda k, v=v: v[np.searchsorted(keys, k)] for v in values]
-        machine, c1, state1, state2 = _automaton(block, *lookups, tokens, distinct, discount)
+        machine, c1, state1, state2, arc2, arc3 = _automaton(
+            block, lambda k: values[:, np.searchsorted(keys, k)], tokens, distinct, discount
+        )
         texts = len(block.sizes)
         length = block.sizes + 1
         lanes = -(-length // lane)
@@ -377,7 +402,8 @@ def _scored(sieves: list[sieve.Sieve], slices: int, tokens: int, distinct: int,
         sums = np.zeros(len(text))
         for step in range(int(size[0])):
             live = int(np.searchsorted(-size, -step, "left"))
-            got, state[:live] = machine.step(state[:live], block.now[begin[:live] + step])
+            at = begin[:live] + step
+            got, state[:live] = machine.step(state[:live], block.now[at], arc2[at], arc3[at])
             sums[:live] += got
         back = np.argsort(order, kind="stable")
         score = np.bincount(text[back], sums[back], texts)
@@ -385,7 +411,7 @@ def _scored(sieves: list[sieve.Sieve], slices: int, tokens: int, distinct: int,
         base = np.bincount(owner, machine.plain[block.now], texts)
         known = np.bincount(owner, c1[block.now] > 0, texts).astype(np.int64)
         return pa.RecordBatch.from_arrays(
-            [batch.column("ids")[at].values, batch.column("held_out")[at].values, pa.array(length), pa.array(known),
+            [batch.column("ids")[row].values, batch.column("held_out")[row].values, pa.array(length), pa.array(known),
              pa.array(np.full(texts, tokens)), pa.array(base), pa.array(score)],
             ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
@@ -439,12 +465,11 @@ def score(
     tokens, distinct = counts.where("parent = 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     kept = counts.where("parent <> 0").groupBy(F.col("parent").alias("history")).agg(F.count("*").alias("kept"), F.sum("n").alias("total"))
     model = counts.join(kept, F.col("key") == F.col("history"), "left").select(
-        "slice", F.lit(None).cast("long").alias("block"), F.lit(None).cast("binary").alias("keys"),
-        "key", "n", F.coalesce("kept", F.lit(0)).cast("long").alias("kept"), F.coalesce("total", F.lit(0)).cast("long").alias("total"),
+        "slice", "key", "n", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("kept", "total")]
     )
-    nothing = [F.lit(None).cast("long").alias(c) for c in ("key", "n", "kept", "total")]
-    asked = staged.mapInArrow(_questions(sieves, slices), "slice int, block long, keys binary").select("slice", "block", "keys", *nothing)
-    met = model.union(asked).repartition(tasks, "slice").sortWithinPartitions("slice", F.asc_nulls_first("block"))
+    told = model.mapInArrow(_packed_model, "slice int, keys binary, answers binary").withColumn("block", F.lit(None).cast("long"))
+    asked = staged.mapInArrow(_questions(sieves, slices), "slice int, block long, keys binary").withColumn("answers", F.lit(None).cast("binary"))
+    met = told.unionByName(asked).repartition(tasks, "slice").sortWithinPartitions("slice", F.asc_nulls_first("block"))
     answers = met.mapInArrow(_answers, "block long, slice int, answers binary")
     blank = [F.lit(None).cast(t).alias(c) for c, t in staged.dtypes if c != "block"]
     together = answers.select("block", "slice", "answers", *blank).union(
