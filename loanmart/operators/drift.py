@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loanmart.functions.numbers import known
+from loanmart.operators import ranks
 from loanmart.operators.bins import with_equal_width_bin
 from loanmart.operators.cleaning import numeric_columns
 from loanmart.operators.ordered import (
@@ -203,6 +204,27 @@ def psi_reference_quantiles(slices: DataFrame, bins: int = BINS) -> DataFrame:
     return _psi_by_edges(slices, both, bins)
 
 
+def psi_refined(
+    sided: DataFrame, features: Sequence[str], own: bool = False, bins: int = BINS, weight: str | None = None
+) -> DataFrame:
+    """PSI by quantiles (each side's ``own``, else the reference's) that never orders the values.
+
+    The edges come from :func:`loanmart.operators.ranks.quantiles`; then one more scan counts values into bins. What is shuffled are
+    counts of ranges and bins.
+    """
+    found = ranks.quantiles(sided, features, _steps(bins), by=[SIDE], weight=weight)
+    q_ref = F.max(_on("ref", F.col("q_n")))
+    q_cur = F.max(_on("cur", F.col("q_n")))
+    edges = found.groupBy("feature").agg(q_ref.alias("q_ref"), (q_cur if own else q_ref).alias("q_cur"))
+    carried = [SIDE] if weight is None else [SIDE, weight]
+    values = [F.col(f).cast("double").alias(f) for f in features]
+    long = sided.select(*carried, *values).unpivot(carried, list(features), "feature", "value")
+    seen = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = [_on(s, _weight(weight)).alias(f"n_{s}") for s in ("ref", "cur")]
+    filled = [F.coalesce(c, F.lit(0)).cast("bigint").alias(f"n_{s}") for c, s in zip(counts, ("ref", "cur"))]
+    return _psi_by_edges(seen.select("feature", "value", *filled), edges, bins)
+
+
 def ks_statistic(slices: DataFrame) -> DataFrame:
     """Largest distance between the two empirical distribution functions per feature."""
     ranked = with_running_totals(slices, ["feature"], "value", ["n_ref", "n_cur"])

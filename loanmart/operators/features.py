@@ -8,6 +8,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loanmart.functions.numbers import ratio, right_closed_band
+from loanmart.operators import ranks
 from loanmart.operators.ordered import exact_quantiles
 
 # Bands are closed on the right.
@@ -79,6 +80,12 @@ def with_income_band(
     return df.withColumn("income_band", band.when(value.isNotNull(), high))
 
 
+def with_income_band_refined(df: DataFrame, income: str = "annual_income") -> DataFrame:
+    """Bands by the exact terciles, found by refining ranges instead of ordering the values."""
+    found = ranks.quantiles(df.select(income), [income], [1 / 3, 2 / 3]).first()
+    return with_income_band(df, income, found["q_n"] if found else (0.0, 0.0))
+
+
 def with_interactions(df: DataFrame) -> DataFrame:
     """Products of the pairs that are present, and the squared amount."""
     pairs = {

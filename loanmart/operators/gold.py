@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from loanmart.functions import delinquency
 from loanmart.functions.delinquency import is_bad
 from loanmart.operators.cleaning import at_mob
+from loanmart.sources.bucketed import join_stored
 
 BY_CUSTOMER = ["customer_id", "snapshot_date"]
 LOAN_FEATURES = ["loan_id", "customer_id", "loan_amt", "tenure", "snapshot_date"]
@@ -45,6 +46,13 @@ def feature_store(
     )
 
 
+def feature_store_of(base: DataFrame, *sides: DataFrame) -> DataFrame:
+    """Features from a stored application base and side tables, all in the same buckets of customer and month."""
+    for side in sides:
+        base = join_stored(base, side, BY_CUSTOMER, "left")
+    return base
+
+
 def distinct_loan_states(loans: DataFrame) -> DataFrame:
     return loans.select(*LOAN_STATE).dropDuplicates()
 
@@ -93,11 +101,24 @@ def attach_labels(features: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _shifted(features: DataFrame, labels: DataFrame, months: int, how: str) -> DataFrame:
-    outcome = labels.withColumnRenamed("snapshot_date", "label_date")
-    dated = features.drop("feature_date").withColumn(
-        "label_date", F.add_months("snapshot_date", months).cast("date")
-    )
-    return dated.join(outcome, ["loan_id", "customer_id", "label_date"], how)
+    return for_outcome(features, months).join(as_outcome(labels), OUTCOME_KEYS, how)
+
+
+OUTCOME_KEYS = ["loan_id", "customer_id", "label_date"]
+
+
+def for_outcome(features: DataFrame, months: int = 6) -> DataFrame:
+    """Features with the month their outcome is due, as they are stored to be joined with it."""
+    return features.drop("feature_date").withColumn("label_date", F.add_months("snapshot_date", months).cast("date"))
+
+
+def as_outcome(labels: DataFrame) -> DataFrame:
+    return labels.withColumnRenamed("snapshot_date", "label_date")
+
+
+def training_set_of(due: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The shifted training set from both sides as they were stored, joined where they lie."""
+    return join_stored(due, outcomes, OUTCOME_KEYS).withColumnRenamed("snapshot_date", "feature_date")
 
 
 def training_set_shifted(

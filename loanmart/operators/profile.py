@@ -7,9 +7,11 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from loanmart.operators import ranks
 from loanmart.operators.bins import bin_start, with_equal_width_bin
 from loanmart.operators.ordered import quantiles_of, spread, value_weights
 
+# Limits and plotted ranges of the portfolio reports, and how many values a plotted column may have.
 HIGH_VALUE = 50000
 DTI_LIMIT, DTI_RANGE = 0.43, (0, 2)
 UTILIZATION_LIMIT, UTILIZATION_RANGE = 70, (0, 100)
@@ -237,6 +239,22 @@ def most_common(df: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.desc("n"), column).limit(1)
 
 
+def _spread(df: DataFrame, column: str) -> Column:
+    """Minimum, median and maximum of a column as a struct, nulls where it has no value."""
+    found = ranks.spread_of(df.select(column), [column])
+    return found.agg(F.struct(*[F.max(c).alias(c) for c in ("min", "median", "max")]).alias("s")).scalar()
+
+
+def applicant_facts(attributes: DataFrame, financials: DataFrame, dti: str) -> dict[str, Column]:
+    """Ranges and medians of age, income and debt-to-income ratio, as columns to put beside others."""
+    age, income, debt = _spread(attributes, "age"), _spread(financials, "annual_income"), _spread(financials, dti)
+    return {
+        "min_age": age["min"], "max_age": age["max"], "median_age": age["median"],
+        "min_income": income["min"], "max_income": income["max"], "median_income": income["median"],
+        "median_dti": debt["median"],
+    }
+
+
 def application_profile(applications: DataFrame) -> DataFrame:
     """Amount and tenure of the applications in one row.
 

@@ -82,6 +82,21 @@ def income_bands(spark, sf_dir):
     return rows.select("customer_id", "annual_income", "income_band")
 
 
+@query(
+    """SELECT customer_id, annual_income,
+              CASE WHEN annual_income <= lower THEN 'low' WHEN annual_income <= upper THEN 'medium'
+                   WHEN annual_income IS NOT NULL THEN 'high' END income_band
+       FROM financials CROSS JOIN
+         (SELECT quantile_cont(annual_income, 0.3333333333333333::double) AS lower,
+                 quantile_cont(annual_income, 0.6666666666666666::double) AS upper FROM financials)""",
+    rounded="annual_income",
+)
+def income_bands_refined(spark, sf_dir):
+    """The same with terciles found by refining ranges."""
+    rows = features.with_income_band_refined(views.silver_financials(spark, sf_dir))
+    return rows.select("customer_id", "annual_income", "income_band")
+
+
 @query(
     """SELECT loan_id, loan_amt * credit_utilization_ratio loan_amt_x_utilization,
               tenure * interest_rate tenure_x_interest_rate, age * num_of_loan age_x_credit_cards,

@@ -120,6 +120,18 @@ def psi_reference_edges(spark, sf_dir):
     return drift.psi_reference_quantiles(drift.sliced_values(sided(spark, sf_dir), FEATURES))
 
 
+@query(_psi_sql("1e-6"), rounded="psi", views=OWN)
+def psi_quantile_refined(spark, sf_dir):
+    """PSI with each side cut at its own deciles, found without ordering any values."""
+    return drift.psi_refined(sided(spark, sf_dir), FEATURES, own=True)
+
+
+@query(_psi_sql("1e-6"), rounded="psi", views=REFERENCE)
+def psi_reference_refined(spark, sf_dir):
+    """PSI with both sides cut at the reference's deciles, found without ordering any values."""
+    return drift.psi_refined(sided(spark, sf_dir), FEATURES)
+
+
 @query("SELECT feature, ks_stat, n_ref, n_cur FROM ks", rounded="ks_stat", views={**SIDED, **KS})
 def ks_statistic(spark, sf_dir):
     return drift.ks_statistic(drift.sliced_values(sided(spark, sf_dir), FEATURES))

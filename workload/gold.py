@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loanmart.operators import cleaning, gold
 from loanmart.session import scratch_path
-from loanmart.sources import tables
+from loanmart.sources import bucketed
 from workload import views
 from workload.registry import query
 
@@ -72,6 +72,21 @@ def gold_features_a1(spark, sf_dir):
     return features_typed(spark, sf_dir)
 
 
+@query(
+    f"SELECT loan_id, customer_id, tenure, loan_amt, {SIDE_COLUMNS}, snapshot_date FROM features",
+    rounded=FEATURES, dates="snapshot_date",
+)
+def gold_features_stored(spark, sf_dir):
+    """The same from four tables in buckets of customer and month, none of which is shuffled by the three joins."""
+    stores = {
+        "base": gold.application_base(views.silver_loans(spark, sf_dir)),
+        "clickstream": views.silver_clickstream(spark, sf_dir),
+        "attributes": views.silver_attributes(spark, sf_dir),
+        "financials": views.silver_financials(spark, sf_dir),
+    }
+    return gold.feature_store_of(*_in_buckets(spark, stores, gold.BY_CUSTOMER))
+
+
 @query(
     f"SELECT customer_id, tenure, mob, loan_amt, {SIDE_COLUMNS}, snapshot_date FROM gold_a2",
     rounded=FEATURES, dates="snapshot_date",
@@ -131,19 +146,24 @@ def training_set_a1(spark, sf_dir):
     )
 
 
+def _in_buckets(spark, stores, keys):
+    """The stores written in as many buckets as a shuffle has partitions, and read back."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paths = {name: scratch_path(spark, f"buckets-{name}") for name in stores}
+    for name, store in stores.items():
+        bucketed.write_bucketed(store, paths[name], keys, buckets)
+    return [bucketed.read_bucketed(spark, path) for path in paths.values()]
+
+
 @query(f"SELECT * FROM ({TRAINING_SQL})", rounded=FEATURES, dates="label_date feature_date")
 def training_set_a1_stored(spark, sf_dir):
-    """The same from written feature and label stores."""
+    """The same from feature and label stores in buckets of their join keys, of which neither is shuffled."""
     loans = views.silver_loans(spark, sf_dir)
     stores = {
-        "features": features_typed(spark, sf_dir, loans),
-        "labels": gold.label_store_at_mob(loans),
+        "features": gold.for_outcome(features_typed(spark, sf_dir, loans)),
+        "labels": gold.as_outcome(gold.label_store_at_mob(loans)),
     }
-    paths = {name: scratch_path(spark, f"gold-{name}") for name in stores}
-    for name, store in stores.items():
-        tables.write_snapshots(store, paths[name])
-    features, labels = (tables.read_snapshots(spark, paths[name]) for name in stores)
-    return gold.training_set_shifted(features, labels)
+    return gold.training_set_of(*_in_buckets(spark, stores, gold.OUTCOME_KEYS))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanmart.functions.text import ssn_is_valid
-from loanmart.operators import cleaning, gold, profile, snapshots, vintage
+from loanmart.operators import cleaning, gold, profile, ranks, snapshots, vintage
 from workload import views
 from workload.gold import gold_by_state
 from workload.registry import query
@@ -279,17 +279,41 @@ def boxplot_stats(spark, sf_dir):
     return profile.boxplot_stats(views.silver_loans(spark, sf_dir), ["loan_amt", "overdue_amt"])
 
 
+@query(
+    """SELECT feature, min(value) FILTER (value >= q1 - 1.5 * (q3 - q1)) whisker_low, q1, median, q3,
+              max(value) FILTER (value <= q3 + 1.5 * (q3 - q1)) whisker_high,
+              count(*) FILTER (value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) n_outliers
+       FROM lng JOIN (SELECT feature, quantile_cont(value, 0.25) q1, quantile_cont(value, 0.5) median,
+                             quantile_cont(value, 0.75) q3 FROM lng GROUP BY 1) USING (feature)
+       GROUP BY feature, q1, median, q3""",
+    rounded="whisker_low q1 median q3 whisker_high", ints="n_outliers",
+    views={"lng": "SELECT feature, value FROM silver_loans UNPIVOT (value FOR feature IN (loan_amt, overdue_amt, due_amt, paid_amt, balance))"},
+)
+def boxplot_refined(spark, sf_dir):
+    """The same of all amounts, by refining ranges instead of ordering values."""
+    return ranks.boxplot(views.silver_loans(spark, sf_dir), ["loan_amt", "overdue_amt", "due_amt", "paid_amt", "balance"])
+
+
 @query(
     """SELECT min(loan_amt) min_amount, max(loan_amt) max_amount,
               count(*) FILTER (loan_amt >= 50000) n_high_value,
               100.0 * count(*) FILTER (loan_amt >= 50000) / count(loan_amt) high_value_pct,
               median(loan_amt) median_amount, cast(median(tenure) AS double) median_tenure,
-              (SELECT tenure FROM applications GROUP BY 1 ORDER BY count(*) DESC, tenure LIMIT 1) mode_tenure
+              (SELECT tenure FROM applications GROUP BY 1 ORDER BY count(*) DESC, tenure LIMIT 1) mode_tenure,
+              (SELECT min(age) FROM attributes) min_age, (SELECT max(age) FROM attributes) max_age,
+              (SELECT median(age) FROM attributes) median_age, (SELECT min(annual_income) FROM financials) min_income,
+              (SELECT max(annual_income) FROM financials) max_income, (SELECT median(annual_income) FROM financials) median_income,
+              (SELECT median(outstanding_debt / annual_income) FROM financials WHERE annual_income <> 0) median_dti
        FROM applications""",
-    rounded="min_amount max_amount high_value_pct median_amount median_tenure",
+    rounded="min_amount max_amount high_value_pct median_amount median_tenure min_age max_age median_age min_income max_income "
+    "median_income median_dti",
 )
 def application_profile(spark, sf_dir):
-    return profile.application_profile(views.applications(spark, sf_dir))
+    """Amounts and tenures of the applications, ages, incomes and debts of the applicants."""
+    dti = F.try_divide("outstanding_debt", "annual_income").alias("dti")
+    financials = views.silver_financials(spark, sf_dir).select("annual_income", dti)
+    facts = profile.applicant_facts(views.silver_attributes(spark, sf_dir), financials, "dti")
+    return profile.application_profile(views.applications(spark, sf_dir)).withColumns(facts)
 
 
 @query(
