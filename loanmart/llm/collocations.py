@@ -25,7 +25,7 @@ from loanmart.llm import sieve
 from loanmart.llm.shared import partitions, utf8, written
 
 LONGEST = 3
-BLOCK_BYTES = 6 << 20  # text whose phrases are counted before they leave a task
+BLOCK_BYTES = 3 << 20  # text whose phrases are counted before they leave a task
 ROWS_PER_BUCKET = 400_000
 _BREAK = B.byte_class(b".,;:!?\n\x0b\x0c\r")
 _WORD = ~_BREAK & ~B.byte_class(b" \t")
