@@ -23,9 +23,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from loanmart.llm import blocks as B
 from loanmart.llm.shared import utf8, written
+from loanmart.llm.word_store import WordStore
 
 CHUNK = 1 << 15  # characters
-KNOWN = 150_000  # words and parts of words whose segmentation is kept in a task, about 40 MB each
+BLOCK_BYTES = 4 << 20  # text whose words are looked up together
+_BASE, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
+KNOWN = 50_000  # words of giant documents whose segmentation is kept in a task
 SPACE = "▁"
 NOTHING = -(1 << 60)  # no path
 
@@ -72,13 +75,113 @@ class Pieces:
         self.code = "H" if self.width == 2 else "I"
         self.splits = all(SPACE not in p.lstrip(SPACE) for p in self.scores)
         self.newline_alone = not any("\n" in p for p in self.scores)
-        self.first, self.later = _Words(self, ""), _Words(self, SPACE)
+        self.known = _Words(self)
         self.single = {p for p in self.scores if len(p) == 1}
         # every beginning of a piece; its score and id if it is one itself
         self.beginnings = {p[:n]: None for p in self.scores for n in range(1, len(p))} | self.scores
         # neighbours that stand together in some piece; between any others is a boundary
         self.joined = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
-        self.parts: dict[str, bytes] = {}
+        self._index()
+        self.store = WordStore(self.segment_all, f"<u{self.width}")
+
+    def _index(self) -> None:
+        """Beginnings of pieces by hash: sorted, with a directory by leading bits, and what they are."""
+        hashes = []
+        for text in self.beginnings:
+            h = 0
+            for c in text:
+                h = (h * _BASE + ord(c) + 1) & _ALL
+            hashes.append(h)
+        mixed = B.mix(np.array(hashes, np.uint64))
+        order = np.argsort(mixed)
+        found = [self.beginnings[b] for b in self.beginnings]
+        self.hashes = np.append(mixed[order], np.zeros(64, np.uint64))  # probing may look beyond the last
+        self.worth = np.array([NOTHING if f is None else f[0] for f in found], np.int64)[order]
+        self.number = np.array([-1 if f is None else f[1] for f in found], np.int32)[order]
+        self.directory = np.searchsorted(mixed[order], np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).astype(np.int64)
+        self.probes = int(np.diff(np.append(self.directory, len(mixed))).max())
+        self.alphabet = np.array(sorted(map(ord, self.single)), np.uint32)
+
+    def _look(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the beginnings with these hashes, -1 for none."""
+        at = self.directory[(hashes >> np.uint64(44)).astype(np.int64)]
+        out = np.full(len(hashes), -1, np.int64)
+        for step in range(self.probes):
+            hit = self.hashes[at + step] == hashes
+            out[hit] = at[hit] + step
+        return out
+
+    def segment_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``segment`` for each of many words, spaces not yet marked: how many ids each has, and all ids in order.
+
+        Words of one length go through the same steps together.
+        """
+        words = [w.replace(" ", SPACE) for w in words]
+        lengths = np.array([len(w) for w in words])
+        done: list = [None] * len(words)
+        for length in np.unique(lengths):
+            places = np.flatnonzero(lengths == length)
+            if length > 64:
+                for i in places:
+                    done[i] = np.frombuffer(self.word(words[i]), f"<u{self.width}")
+                continue
+            for at in range(0, len(places), 1 << 14):
+                self._segment_equal(words, places[at : at + (1 << 14)], int(length), done)
+        sizes = np.array([len(d) for d in done], np.int64)
+        return sizes, np.concatenate([np.zeros(0, f"<u{self.width}"), *done])
+
+    def _segment_equal(self, words: list[str], places: np.ndarray, length: int, done: list) -> None:
+        points = np.array([words[i] for i in places], f"<U{length}").view(np.uint32).reshape(len(places), length)
+        at = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
+        plain = (self.alphabet[at] == points).all(axis=1)
+        for i in places[~plain]:  # characters of no piece
+            done[i] = np.frombuffer(self.word(words[i]), f"<u{self.width}")
+        points, places = points[plain].astype(np.uint64) + np.uint64(1), places[plain]
+        many = len(places)
+        best = np.full((length + 1, many), NOTHING, np.int64)
+        best[0] = 0
+        start, ids = np.zeros((length + 1, many), np.int64), np.full((length + 1, many), -1, np.int64)
+        for at in range(length):
+            live, h = np.arange(many), np.zeros(many, np.uint64)
+            for end in range(at + 1, length + 1):
+                h = h * np.uint64(_BASE) + points[live, end - 1]
+                found = self._look(B.mix(h))
+                hit = found >= 0
+                live, h, found = live[hit], h[hit], found[hit]
+                if not len(live):
+                    break
+                value = best[at, live] + self.worth[found]
+                # earlier starts come first, so ties keep the longer piece
+                better = (self.number[found] >= 0) & (value > best[end, live])
+                to = live[better]
+                best[end, to], start[end, to], ids[end, to] = value[better], at, self.number[found[better]]
+        # back from the end, all words together; a word that is done stays at its start
+        here, every, steps = np.full(many, length), np.arange(many), []
+        while here.any():
+            steps.append(np.where(here > 0, ids[here, every], -1))
+            here = np.where(here > 0, start[here, every], 0)
+        if many:
+            table = np.stack(steps[::-1], axis=1).astype(np.int64)
+            for i, row in zip(places, table):
+                done[i] = row[row >= 0].astype(f"<u{self.width}")
+
+    def encode_block(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of a binary array, and where each text's begin: word by word, each distinct word once.
+
+        A word is what stands between two boundaries of every segmentation: spaces and what follows them, or a line end.
+        """
+        data, offsets = B.text_bytes(column)
+        filled = np.flatnonzero(np.diff(offsets))
+        data = np.insert(data, offsets[filled], 32)  # the marker before each text
+        offsets = offsets + np.concatenate([[0], np.cumsum(np.diff(offsets) > 0)])
+        line, space = data == 10, data == 32
+        begins = line.copy()
+        begins[1:] |= line[:-1] | (space[1:] & ~space[:-1])
+        begins[offsets[filled]] = True
+        at = np.flatnonzero(begins)
+        ends = np.append(at, len(data)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data)))
+        return self.store.texts(words, np.searchsorted(at, offsets))
 
     def pack(self, ids: list[int]) -> bytes:
         packed = array(self.code, ids)
@@ -150,22 +253,13 @@ class Pieces:
         return out
 
     def word(self, text: str) -> bytes:
-        """As ``segment``, packed, part by part between boundaries; parts are kept."""
-        joined, parts, out, at = self.joined, self.parts, [], 0
+        """As ``segment``, packed, part by part between boundaries."""
+        joined, out, at = self.joined, [], 0
         for end in range(1, len(text) + 1):
-            if end < len(text) and text[end - 1 : end + 1] in joined:
-                continue
-            part = text[at:end]
-            found = parts.get(part)
-            if found is None:
-                found = self.pack(self.segment(part))
-                if len(parts) >= KNOWN:
-                    parts.clear()
-                if len(part) < 64:
-                    parts[part] = found
-            out.append(found)
-            at = end
-        return b"".join(out)
+            if end == len(text) or text[end - 1 : end + 1] not in joined:
+                out += self.segment(text[at:end])
+                at = end
+        return self.pack(out)
 
     def cuts(self, text: str) -> list[int]:
         """Places in the text that every segmentation has a boundary at."""
@@ -180,19 +274,19 @@ class Pieces:
         """Packed ids of a text that begins at a boundary and ends at one; spaces are marked already."""
         if not (self.splits and self.newline_alone):
             return self.pack(self.segment(text)) if text else b""
-        out, first, later = [], self.first, self.later
+        out, known = [], self.known
         for i, line in enumerate(text.split("\n")):
             if i:
-                out.append(first["\n"])
+                out.append(known["\n"])
             if not line:
                 continue
             words = line.split(SPACE)
             if "" in words[1:]:
-                out += [first[w] for w in _runs(line)]
+                out += [known[w] for w in _runs(line)]
                 continue
             if words[0]:
-                out.append(first[words[0]])
-            out += map(later.__getitem__, words[1:])
+                out.append(known[words[0]])
+            out += [known[SPACE + w] for w in words[1:]]
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:
@@ -204,14 +298,14 @@ class Pieces:
 
 
 class _Words(dict):
-    """Packed ids of words after a fixed prefix."""
+    """Packed ids of words in giant documents."""
 
-    def __init__(self, pieces: Pieces, prefix: str):
+    def __init__(self, pieces: Pieces):
         super().__init__()
-        self.pieces, self.prefix = pieces, prefix
+        self.pieces = pieces
 
     def __missing__(self, word: str) -> bytes:
-        found = self.pieces.word(self.prefix + word)
+        found = self.pieces.word(word)
         if len(self) >= KNOWN:
             self.clear()
         if len(word) < 64:
@@ -339,9 +433,13 @@ def _lists(packed: list[bytes], width: int) -> pa.Array:
 def _whole(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         model = pieces(path)
-        for block in B.blocks(batches, "text"):
-            packed = [model.encode(t.decode("utf-8", "replace")) for t in block.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([block.column("id"), _lists(packed, model.width)], ["id", "ids"])
+        for block in B.sized_blocks(batches, "text", BLOCK_BYTES):
+            if model.splits and model.newline_alone:
+                values, ends = model.encode_block(block.column("text"))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.astype(np.int32)))
+            else:
+                lists = _lists([model.encode(t.decode("utf-8", "replace")) for t in block.column("text").to_pylist()], model.width)
+            yield pa.RecordBatch.from_arrays([block.column("id"), lists], ["id", "ids"])
 
     return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, ids array<int>")
 
