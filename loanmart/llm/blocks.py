@@ -132,7 +132,7 @@ def cut_out(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.StringAr
     """The texts of some spans, which do not overlap and are in order."""
     edge = np.zeros(len(data) + 1, np.int8)
     edge[start] += 1
-    edge[end] -= 1
+    edge[end] -= 1  # one span may begin where another ends
     places = np.zeros(len(start) + 1, np.int32)
     np.cumsum(end - start, out=places[1:])
     taken = data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]

@@ -8,6 +8,7 @@ that is run again leaves the same file.
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
 import uuid
@@ -20,12 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loanmart.llm import elias_fano
-from loanmart.llm.blocks import blocks
+from loanmart.llm.blocks import LOWER, NOT_SPACE, byte_class, cut_out, sized_blocks, spans, text_bytes
 from loanmart.llm.shared import partitions, utf8, written
+from loanmart.llm.word_store import WordStore
 from loanmart.session import scratch_path
 
 ROWS_PER_SHARD = 8192
-KNOWN_WORDS = 600_000
+BLOCK_BYTES = 4 << 20  # text whose words are looked up together
 _FOOTER = struct.Struct("<qqqqqqqq8s")  # id width, ids, documents, null ids, least id, three lengths
 _MAGIC = b"EFTOKEN1"
 
@@ -34,60 +36,94 @@ def _footer(*numbers: int) -> bytes:
     return _FOOTER.pack(*numbers, 0, _MAGIC)
 
 
-class WordIds(dict):
-    """Ids of a word (bytes between ASCII white space) as packed numbers, found once and kept.
+class WordIds:
+    """Ids of words (bytes between ASCII white space), found once and kept in a ``WordStore``.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are those of its
-    words; and it splits a word between a letter and a full stop or comma. What has only letters of Latin-1 is not changed
-    by normalising but for its case, nor split, and goes straight to the vocabulary's merges.
+    The tokenizer drops white space and never merges across it, so a text's ids are those of its words; that is what this
+    format's ``write`` asks of a tokenizer. Where it also leaves words of Latin-1 letters as they are but for their case, and splits
+    a word before a full stop or comma, such words go straight to the vocabulary's merges; a tokenizer that does not do so for some
+    letter (tried when it is loaded) gets all words whole.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.parts: dict[str, bytes] = {}
-        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        small = (chr(c) for c in range(256) if chr(c).isalpha() and chr(c) == chr(c).lower())
-        self.spelled = {ord(c): "".join(part for part, _ in spell(c)) for c in small}
-
-    def pack(self, ids) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
-
-    def whole(self, word: str) -> bytes:
-        return self.pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
-
-    def letters(self, word: str) -> bytes:
-        return self.pack([t.id for t in self.tokenizer.model.tokenize(word.translate(self.spelled))])
-
-    def part(self, word: str, find) -> bytes:
-        found = self.parts.get(word)
-        if found is None:
-            found = self.parts[word] = find(word)
-        return found
-
-    def __missing__(self, data: bytes) -> bytes:
-        word = data.decode()
+        letters = [c for c in map(chr, range(256)) if c.isalpha()]
+        self.spelled = {}
+        if self.tokenizer.pre_tokenizer is not None:
+            spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            self.spelled = {ord(c): "".join(part for part, _ in spell(c)) for c in letters if c == c.lower()}
+        self.quick = self._is_quick(letters)
+        self.store = WordStore(self.solve, f"<u{self.width}")
+
+    def _is_quick(self, letters: list[str]) -> bool:
+        """Whether the quick way gives the library's ids for every letter, pair of letters, and letter before . and ,"""
+        tried = [*letters, *(a + b for a in letters for b in letters), *(a + end for a in letters for end in (".", ",", "...", ".,"))]
+        if not all(ord(c.lower()) in self.spelled for c in letters if len(c.lower()) == 1 and c.lower() <= "\xff"):
+            return False
+        wanted = self.tokenizer.encode_batch(tried, add_special_tokens=False)
+        return all(self._quickly(t) == w.ids for t, w in zip(tried, wanted) if self._may_be_quick(t.rstrip(".,")))
+
+    @staticmethod
+    def _may_be_quick(body: str) -> bool:
+        return body.isalpha() and max(body) <= "\xff"
+
+    def _quickly(self, word: str) -> list[int]:
         body = word.rstrip(".,")
-        if body.isalpha() and max(body) <= "\xff":
-            found = self.part(body.lower(), self.letters)
-            if len(body) < len(word):
-                found += self.part(word[len(body) :], self.whole)
-        else:
-            found = self.whole(word)
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-            self.parts.clear()
-        self[data] = found
-        return found
+        ids = [t.id for t in self.tokenizer.model.tokenize(body.lower().translate(self.spelled))]
+        return ids + self.tokenizer.encode(word[len(body) :], add_special_tokens=False).ids if len(body) < len(word) else ids
+
+    def solve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all ids."""
+        out: list = [None] * len(words)
+        slow = []
+        for i, word in enumerate(words):
+            if self.quick and self._may_be_quick(word):
+                out[i] = [t.id for t in self.tokenizer.model.tokenize(word.lower().translate(self.spelled))]
+            else:
+                slow.append(i)
+        for at in range(0, len(slow), 4096):
+            part = slow[at : at + 4096]
+            for i, coded in zip(part, self.tokenizer.encode_batch([words[i] for i in part], add_special_tokens=False)):
+                out[i] = coded.ids
+        sizes = np.fromiter(map(len, out), np.int64, len(out))
+        return sizes, np.fromiter(itertools.chain.from_iterable(out), f"<u{self.width}", int(sizes.sum()))
+
+    def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts of a binary array, and where each text's begin, one more for the end.
+
+        Words of the quick kind are looked up apart from the stops after them, and in lower case.
+        """
+        data, offsets = text_bytes(column)
+        start, end, _ = spans(NOT_SPACE[data], offsets)
+        if self.quick and len(start):
+            lead = data == 0xC3
+            letter = _LETTERS[data] | lead
+            # after the lead byte comes a letter, but for the signs of multiplication and division
+            letter[1:] = (letter[1:] & ~lead[:-1]) | lead[:-1] & (data[1:] != 0x97) & (data[1:] != 0xB7)
+            places = np.arange(len(data))
+            last = np.maximum.accumulate(np.where(_STOPS[data], -1, places))[end - 1] + 1  # end without the stops
+            other = np.zeros(len(data) + 1, np.int32)
+            np.cumsum(~letter, out=other[1:])
+            plain = (last > start) & (other[np.maximum(last, start)] == other[start])
+            small = np.zeros(len(data) + 1, np.int8)
+            small[start[plain]] += 1
+            small[last[plain]] -= 1
+            data = np.where(np.cumsum(small[:-1], dtype=np.int8) > 0, LOWER[data], data)
+            cut = last[plain & (last < end)]
+            words = np.sort(np.concatenate([start, cut]))
+            return self.store.texts(cut_out(data, words, np.sort(np.concatenate([end, cut]))), np.searchsorted(words, offsets))
+        return self.store.texts(cut_out(data, start, end), np.searchsorted(start, offsets))
 
     def text(self, data: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, data.split()))
+        return self.texts(pa.array([data], pa.binary()))[0].tobytes()
 
 
+_LETTERS = byte_class(bytes([*range(65, 91), *range(97, 123)]))
+_STOPS = byte_class(b".,")
 _LOADED: dict[str, WordIds] = {}
 
 
@@ -117,11 +153,10 @@ def write(docs: DataFrame, id_col: str, text_col: str, folder: str, tokenizer: s
         name, making = f"{base}/shard-{shard:06d}.ids", f"{base}/_{shard}-{uuid.uuid4().hex}"
         known, ids, nulls, counts = word_ids(tokenizer), [], 0, []
         with store.open_output_stream(making) as out:
-            end = known.pack([end_id])
-            for block in blocks(batches, "text"):
-                packed = [known.text(t) + end for t in block.column("text").to_pylist()]
-                out.write(b"".join(packed))
-                counts.append(np.array([len(p) // known.width for p in packed], np.int64))
+            for block in sized_blocks(batches, "text", BLOCK_BYTES):
+                values, begins = known.texts(block.column("text"))
+                out.write(np.insert(values, begins[1:], end_id).tobytes())
+                counts.append(np.diff(begins) + 1)
                 of = block.column("id")
                 nulls += of.null_count
                 ids.append(of.drop_null().to_numpy(zero_copy_only=False))
