@@ -72,26 +72,58 @@ def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
+def _texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+
+
+def _counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    long = _texts(df, columns).unpivot([], list(columns), "column", "value")
+    return long.where("value IS NOT NULL").groupBy("column", "value").agg(_n().alias("n"))
+
+
+def columns_with_few_values(df: DataFrame, columns: Sequence[str], most: int) -> tuple[list[str], list[str]]:
+    """Columns that may have at most ``most`` values, and those that certainly have more.
+
+    One pass with a sketch of fixed size a column; no value is shuffled. The sketch holds hashes as they are while they are
+    few, so it is off only where two hashes of 26 bits agree. A column is put with those that have more only if the
+    estimate is over twice ``most`` and over the error of a large sketch, so none is put there wrongly.
+    """
+    if not columns:
+        return [], []
+    sketched = _texts(df, columns).agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(c, F.lit(12))).alias(c) for c in columns])
+    found = sketched.first()
+    many = [c for c in columns if (found[c] or 0) > 2 * most + 16]
+    return [c for c in columns if c not in many], many
+
+
 def value_counts(
     df: DataFrame, columns: Sequence[str], max_categories: int | None = MAX_CATEGORIES
 ) -> DataFrame:
     """Rows per value of each column, nulls left out.
 
-    A column with more than ``max_categories`` values is left out as a whole.
+    A column with more than ``max_categories`` values is left out as a whole; its values are never shuffled.
     """
-    counts = (
-        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-        .unpivot([], list(columns), "column", "value")
-        .where("value IS NOT NULL")
-        .groupBy("column", "value")
-        .agg(_n().alias("n"))
-    )
     if max_categories is None:
-        return counts
+        return _counts(df, columns)
+    likely, _ = columns_with_few_values(df, columns, max_categories)
+    counts = _counts(df, likely) if likely else _counts(df, columns).where("false")
     few = counts.groupBy("column").agg(_n().alias("k")).where(F.col("k") <= max_categories)
     return counts.join(few.select("column"), "column", "left_semi")
 
 
+def value_counts_reported(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
+    """As ``value_counts`` with ``at_least``, null for a value; a column left out is one row without a value, with the number
+    of values it is known to have at least."""
+    counts = value_counts(df, columns, max_categories).withColumn("at_least", F.lit(None).cast("bigint"))
+    likely, many = columns_with_few_values(df, columns, max_categories)
+    shown = _counts(df, likely).groupBy("column").agg(_n().alias("k")) if likely else None
+    over = df.sparkSession.createDataFrame([(c,) for c in many], "column string")
+    if shown is not None:
+        over = over.unionByName(shown.where(F.col("k") > max_categories).select("column"))
+    nothing = over.select("column", F.lit(None).cast("string").alias("value"), F.lit(None).cast("bigint").alias("n"))
+    return counts.unionByName(nothing.withColumn("at_least", F.lit(max_categories + 1).cast("bigint")))
+
+
 def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [name for name, kind in df.dtypes if kind == "string" and name not in exclude]
 

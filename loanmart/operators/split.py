@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loanmart.functions.numbers import unit_hash
 
+# Newest months kept apart, and the shares of the random split.
 OOT_MONTHS = 3
 TRAIN_SHARE, VALIDATION_SHARE = 0.70, 0.15
 

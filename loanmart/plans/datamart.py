@@ -10,7 +10,7 @@ import json
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from loanmart.functions.dates import month_start
@@ -74,6 +74,58 @@ def bronze(raw: DataFrame, months: Iterable[str] | None = None) -> DataFrame:
     return kept.drop(SNAPSHOT).withColumnRenamed(NORMALIZED, SNAPSHOT)
 
 
+# why a raw row is in no table, in the order in which the rules are applied
+REASONS = ("unreadable date", "not the first of a month", "no key", "no amount")
+
+
+def with_reason(raw: DataFrame, dataset: str, generation: str = "typed") -> DataFrame:
+    """Raw rows with the normalised date and ``reason``: the first rule that keeps the row out of bronze or silver, else null.
+
+    The flat generation keeps every row that has a date.
+    """
+    dated = with_normalized_snapshot(lower_names(raw))
+    day = F.col(NORMALIZED)
+    found = F.when(day.isNull(), REASONS[0]).when(day != month_start(day), REASONS[1])
+    if generation == "typed":
+        keys = ("loan_id", "customer_id") if dataset == "loans" else ("customer_id",)
+        without = F.lit(False)
+        for key in keys:
+            without = without | F.col(key).isNull()
+        found = found.when(without, REASONS[2])
+        if dataset == "loans":
+            paid = F.coalesce(cleaning.cast_dirty(F.col("loan_amt"), "double") > 0, F.lit(False))
+            found = found.when(~paid, REASONS[3])
+    return dated.withColumn("reason", found)
+
+
+def write_rejects(raw: DataFrame, dataset: str, path: str, counts: Mapping[str, int]) -> None:
+    """The rows left out, by reason, as a table of its own; the source is read for it only where some were counted."""
+    if any(counts.values()):
+        left = raw.where(F.col("reason").isNotNull()).drop(NORMALIZED)
+        write_snapshots(left, path, month="reason", whole=True)
+    else:
+        write_snapshots(raw.drop(NORMALIZED).where("false"), path, month="reason", regroup=False, whole=True)
+
+
+def bronze_with_rejects(
+    spark: SparkSession, layout: Layout, name: str, source: DataFrame, generation: str = "typed"
+) -> dict[str, int]:
+    """Write the bronze table of all months of a source, and what is rejected; returns the raw rows and those of each reason.
+
+    The counts are observed while bronze is written, so no pass is made for them.
+    """
+    marked, seen = with_reason(source, name, generation), Observation()
+    counted = marked.observe(
+        seen, F.count(F.lit(1)).alias("raw"), *[F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
+    )
+    in_bronze = F.col("reason").isNull() | F.col("reason").isin(*REASONS[2:])
+    rows = counted.where(in_bronze).drop("reason", SNAPSHOT).withColumnRenamed(NORMALIZED, SNAPSHOT)
+    write_snapshots(with_lineage(rows, "bronze"), layout.table("bronze", name), whole=True)
+    counts = {k: int(v) for k, v in seen.get.items()}
+    write_rejects(marked, name, layout.table("rejects", name), {r: counts[r] for r in REASONS})
+    return counts
+
+
 def silver(
     dataset: str, table: DataFrame, generation: str = "typed", clean: str = "plain"
 ) -> DataFrame:

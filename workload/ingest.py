@@ -457,6 +457,39 @@ def refreshed_counts(spark, sf_dir):
     return datamart.layer_counts(spark, layout, sources)
 
 
+REJECTED = {
+    "marked": """
+        SELECT CASE cast(loan_id AS bigint) % 50 WHEN 10 THEN 'unreadable date' WHEN 11 THEN 'not the first of a month'
+                    WHEN 12 THEN 'no key' WHEN 13 THEN 'no amount' WHEN 14 THEN 'no amount' ELSE 'kept' END reason FROM loans""",
+}
+
+
+@query(
+    "SELECT reason, count(*) n_rows, true adds_up FROM marked GROUP BY 1",
+    ints="n_rows", views=REJECTED,
+)
+def rejected_rows(spark, sf_dir):
+    """Raw loans spoiled in five ways: rows of the silver table, and those left out by reason; together all that came in."""
+    loans = views.dirty_loans(spark, sf_dir)
+    kind = F.col("loan_id").cast("bigint") % 50
+    spoiled = loans.withColumns(
+        {
+            "snapshot_date": F.when(kind == 10, "unknown").when(kind == 11, "1997-03-15").otherwise(F.col("snapshot_date")),
+            "customer_id": F.when(kind != 12, F.col("customer_id")),
+            "loan_amt": F.when(kind == 13, "-5").when(kind == 14, "a lot").otherwise(F.col("loan_amt")),
+        }
+    )
+    layout = datamart.Layout(scratch_path(spark, "datamart"))
+    counts = datamart.bronze_with_rejects(spark, layout, "loans", spoiled)
+    silver = datamart.silver("loans", tables.read_snapshots(spark, layout.table("bronze", "loans")).drop(*datamart.LINEAGE))
+    rejects = tables.read_snapshots(spark, layout.table("rejects", "loans"), month="reason")
+    kept = silver.select(F.lit("kept").alias("reason"))
+    rows = kept.unionByName(rejects.select("reason")).groupBy("reason").agg(F.count("*").alias("n_rows"))
+    observed = {**{r: counts[r] for r in datamart.REASONS}, "kept": counts["raw"] - sum(counts[r] for r in datamart.REASONS)}
+    expected = F.create_map(*[F.lit(x) for pair in observed.items() for x in pair])
+    return rows.withColumn("adds_up", F.element_at(expected, F.col("reason")) == F.col("n_rows"))
+
+
 FLAT_SQL = " UNION ALL ".join(
     f"SELECT '{layer}' AS layer, snapshot_date, count(*) n_rows FROM {view} "
     "WHERE snapshot_date IS NOT NULL GROUP BY ALL"
@@ -464,9 +497,11 @@ FLAT_SQL = " UNION ALL ".join(
         "bronze.loans": "loans",
         "bronze.attributes": "raw_attributes",
         "bronze.financials": "raw_financials",
+        "bronze.clickstream": "clickstream",
         "silver.loans": "flat_loans",
         "silver.attributes": "raw_attributes",
         "silver.financials": "raw_financials",
+        "silver.clickstream": "clickstream",
         "gold.feature_store": "states",
         "gold.label_store": "labels_a2",
     }.items()
@@ -474,7 +509,7 @@ FLAT_SQL = " UNION ALL ".join(
 
 
 def _flat_datamart(spark, sf_dir):
-    sources = {k: v for k, v in raw_sources(spark, sf_dir).items() if k != "clickstream"}
+    sources = raw_sources(spark, sf_dir)
     return sources, datamart.run(spark, sources, scratch_path(spark, "datamart"), generation="flat")
 
 
@@ -487,7 +522,7 @@ def backfill_counts_flat(spark, sf_dir):
 
 @query(
     """SELECT unnest(['loan_amt', 'tenure', 'mob', 'monthly_inhand_salary', 'annual_income', 'interest_rate', 'num_of_loan',
-                      'outstanding_debt', 'total_emi_per_month', 'credit_utilization_ratio']) feature"""
+                      'outstanding_debt', 'total_emi_per_month', 'credit_utilization_ratio', 'fe_1', 'fe_2', 'fe_3', 'fe_4', 'fe_5']) feature"""
 )
 def gold_types_flat(spark, sf_dir):
     """What training finds numeric in the flat gold table."""
