@@ -168,7 +168,8 @@ class _Block:
 
     def names(self) -> np.ndarray:
         """Sorted distinct keys to ask the model for; that of the end mark, which is a history, always among them."""
-        return np.unique(np.append(self.grams()[0], self.hash[self.end]))
+        keys = np.sort(np.append(self.grams()[0], self.hash[self.end]))
+        return keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
 
 
 def _slice_of(keys: np.ndarray, slices: int) -> np.ndarray:
@@ -205,18 +206,39 @@ def _packed(sieves: list[sieve.Sieve], bits: int, least: int):
     return run
 
 
+def _added_up(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+    """Keys, parents and counts of several blocks together."""
+    keys, parents, n = (np.concatenate(column) for column in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], parents[order[first]], np.add.reduceat(n[order], first)
+
+
 def _training_grams(sieves: list[sieve.Sieve], slices: int):
-    """``slice, keys, parents, counts`` of a block's training texts."""
+    """``slice, keys, parents, counts`` of training texts, blocks of a task added up while they are few."""
+
+    def packed(parts):
+        keys, parents, n = _added_up(parts)
+        of = _slice_of(keys, slices)
+        order = np.lexsort((keys, parents, of))  # of one history together, which zips well
+        keys, parents, n = keys[order], parents[order], n[order]
+        out = [(s, sieve.zip_sorted(keys[a:b]), sieve.zip_sorted(parents[a:b]), _zip(n[a:b])) for s, a, b in _runs(of[order])]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), *[pa.binary()] * 3])], ["slice", "keys", "parents", "counts"])
 
     def run(batches):
+        held, rows = [], 0
         for batch, at in _rows(batches):
-            keys, parents, n = _Block(batch, at, sieves, training_only=True).grams()
-            of = _slice_of(keys, slices)
-            order = np.lexsort((keys, parents, of))  # of one history together, which zips well
-            keys, parents, n = keys[order], parents[order], n[order].astype(np.int64)
-            out = [(s, sieve.zip_sorted(keys[a:b]), sieve.zip_sorted(parents[a:b]), _zip(n[a:b])) for s, a, b in _runs(of[order])]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), *[pa.binary()] * 3])], ["slice", "keys", "parents", "counts"])
+            found = _Block(batch, at, sieves, training_only=True).grams()
+            if not len(found[0]):
+                continue
+            held.append((found[0], found[1], found[2].astype(np.int64)))
+            rows += len(found[0])
+            if rows > SLICE_ROWS:
+                yield packed(held)
+                held, rows = [], 0
+        if held:
+            yield packed(held)
 
     return run
 
@@ -226,10 +248,7 @@ def _summed(least: int):
 
     def run(batches):
         def total(now, held):
-            keys, first, at = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
-            parents = np.concatenate([h[1] for h in held])[first]
-            n = np.zeros(len(keys), np.int64)
-            np.add.at(n, at, np.concatenate([h[2] for h in held]))
+            keys, parents, n = _added_up(held)
             w = np.flatnonzero((parents == 0) | (n >= least))
             for a in range(0, len(w), 100_000):
                 p = w[a : a + 100_000]
@@ -400,8 +419,9 @@ def _scored(sieves: list[sieve.Sieve], slices: int, tokens: int, distinct: int,
         order = np.argsort(-size, kind="stable")
         begin, size, text, state = begin[order], size[order], text[order], state[order]
         sums = np.zeros(len(text))
+        left = -size
         for step in range(int(size[0])):
-            live = int(np.searchsorted(-size, -step, "left"))
+            live = int(np.searchsorted(left, -step, "left"))
             at = begin[:live] + step
             got, state[:live] = machine.step(state[:live], block.now[at], arc2[at], arc3[at])
             sums[:live] += got
