@@ -8,7 +8,7 @@ from loanmart.functions import dates, numbers, text
 from loanmart.operators import cleaning, snapshots
 from loanmart.plans import datamart
 from loanmart.session import scratch_path
-from loanmart.sources import raw, registry, tables
+from loanmart.sources import inferred, raw, registry, tables
 from workload import views
 from workload.registry import query
 
@@ -457,6 +457,32 @@ def refreshed_counts(spark, sf_dir):
     return datamart.layer_counts(spark, layout, sources)
 
 
+TURNED = ("1996-01-01", "1996-02-01", "1996-03-01")
+
+
+@query(
+    """SELECT m.snapshot_date, count(f.customer_id) n_rows, sum(cast(f.outstanding_debt AS double)) debt,
+              count(f.annual_income) n_income, 'string' income_type, 'double' debt_type, 'bigint' rate_type
+       FROM (SELECT unnest([DATE '1996-01-01', DATE '1996-02-01', DATE '1996-03-01']) snapshot_date) m
+       LEFT JOIN raw_financials f ON f.snapshot_date = m.snapshot_date GROUP BY 1""",
+    rounded="debt", digits=2, dates="snapshot_date", ints="n_rows n_income",
+)
+def widened_column(spark, sf_dir):
+    """Three months written one after the other; in the third some incomes are words. All three are read, with one type a column."""
+    path = scratch_path(spark, "inferred")
+    rows = views.as_text(views.raw_financials(spark, sf_dir)).where(F.col("snapshot_date").isin(*TURNED))
+    words = (F.col("snapshot_date") == TURNED[2]) & (F.col("customer_id").cast("bigint") % 2 == 0)
+    spoiled = rows.withColumn("annual_income", F.when(words, "not told").otherwise(F.col("annual_income")))
+    for month in TURNED:
+        one = spoiled.where(F.col("snapshot_date") == month)
+        inferred.write_inferred(one.withColumn("snapshot_date", F.col("snapshot_date").cast("date")), path, months=[month])
+    table = inferred.read_inferred(spark, path)
+    kinds = dict(table.dtypes)
+    return table.groupBy("snapshot_date").agg(
+        F.count("*").alias("n_rows"), F.sum("outstanding_debt").alias("debt"), F.count("annual_income").alias("n_income")
+    ).withColumns({f"{n}_type": F.lit(kinds[c]) for n, c in (("income", "annual_income"), ("debt", "outstanding_debt"), ("rate", "interest_rate"))})
+
+
 REJECTED = {
     "marked": """
         SELECT CASE cast(loan_id AS bigint) % 50 WHEN 10 THEN 'unreadable date' WHEN 11 THEN 'not the first of a month'

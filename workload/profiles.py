@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanmart.functions.text import ssn_is_valid
-from loanmart.operators import cleaning, profile, ranks, snapshots, vintage
+from loanmart.operators import cleaning, gram, profile, ranks, snapshots, vintage
 from loanmart.plans import datamart
 from loanmart.session import scratch_path
 from loanmart.sources import raw
 from workload import views
-from workload.gold import gold_by_state
+from workload.gold import features_typed, gold_by_state
 from workload.registry import query
 
 FINANCES = (
@@ -273,6 +273,37 @@ def histogram_age(spark, sf_dir):
     return profile.histogram(views.silver_attributes(spark, sf_dir), "age", 30)
 
 
+GRAM_COLUMNS = [
+    "loan_amt", "tenure", "fe_1", "fe_2", "fe_3", "fe_4", "fe_5", "age", "monthly_inhand_salary", "annual_income", "interest_rate",
+    "num_of_loan", "outstanding_debt", "total_emi_per_month", "credit_utilization_ratio",
+]
+# ratios and powers of them, so that there are some five hundred pairs
+GRAM_DERIVED = {
+    "emi_share": "total_emi_per_month / (abs(monthly_inhand_salary) + 1)", "debt_share": "outstanding_debt / (abs(annual_income) + 1)",
+    "amount_a_month": "loan_amt / tenure", "age_rate": "age * interest_rate", "clicks": "fe_1 + fe_2 + fe_3 + fe_4 + fe_5",
+    **{f"{c}_squared": f"{c} * {c} * 1.0" for c in ("loan_amt", "age", "interest_rate", "num_of_loan", "fe_1", "fe_2", "fe_3")},
+    **{f"{c}_root": f"sqrt(abs({c}))" for c in ("loan_amt", "age", "outstanding_debt", "annual_income", "fe_1", "fe_2")},
+}
+GRAM_ALL = [*GRAM_COLUMNS, *GRAM_DERIVED]
+GRAM_SQL = " UNION ALL ".join(
+    f"SELECT '{a}' a, '{b}' b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) n, corr({a}, {b}) corr FROM wide"
+    for i, a in enumerate(GRAM_ALL) for b in GRAM_ALL[i + 1 :]
+)
+
+
+@query(
+    f"SELECT a, b, n, CASE WHEN isnan(corr) THEN NULL ELSE corr END corr FROM ({GRAM_SQL})", rounded="corr", ints="n",
+    views={
+        "typed": "SELECT " + ", ".join(f"cast({c} AS double) {c}" for c in GRAM_COLUMNS) + " FROM features",
+        "wide": "SELECT *, " + ", ".join(f"{e} {c}" for c, e in GRAM_DERIVED.items()) + " FROM typed",
+    },
+)
+def correlation_gram(spark, sf_dir):
+    """Correlations of all pairs of the numeric gold columns and of others made from them, by one Gram matrix."""
+    typed = features_typed(spark, sf_dir).select(*[F.col(c).cast("double").alias(c) for c in GRAM_COLUMNS])
+    return gram.correlations(typed.withColumns({c: F.expr(e) for c, e in GRAM_DERIVED.items()}), GRAM_ALL)
+
+
 @query(_histogram_sql("financials", "annual_income", 40), rounded="low high")
 def histogram_income(spark, sf_dir):
     return profile.histogram(views.silver_financials(spark, sf_dir), "annual_income", 40)
