@@ -25,8 +25,8 @@ from loanmart.llm.shared import utf8, written
 
 LEAST = 5  # pairs and triples found less often in the training texts are left to the shorter history
 DISCOUNT = 0.75
-BLOCK_BYTES = 8 << 20
-SLICE_ROWS = 2_000_000  # names of n-grams a task holds at once
+BLOCK_BYTES = 12 << 20
+SLICE_ROWS = 3_000_000  # names of n-grams a task holds at once
 LANE = 512  # tokens of a text that are walked through together with other stretches
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word has a line end
 _SALTS = (np.uint64(0x3C79AC492BA7B653), np.uint64(0x1C69B3F74AC4AE35))
@@ -218,8 +218,7 @@ def _added_up(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
 def _training_grams(sieves: list[sieve.Sieve], slices: int):
     """``slice, keys, parents, counts`` of training texts, blocks of a task added up while they are few."""
 
-    def packed(parts):
-        keys, parents, n = _added_up(parts)
+    def packed(keys, parents, n):
         of = _slice_of(keys, slices)
         order = np.lexsort((keys, parents, of))  # of one history together, which zips well
         keys, parents, n = keys[order], parents[order], n[order]
@@ -227,18 +226,18 @@ def _training_grams(sieves: list[sieve.Sieve], slices: int):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32(), *[pa.binary()] * 3])], ["slice", "keys", "parents", "counts"])
 
     def run(batches):
-        held, rows = [], 0
+        held = None
         for batch, at in _rows(batches):
-            found = _Block(batch, at, sieves, training_only=True).grams()
-            if not len(found[0]):
+            keys, parents, n = _Block(batch, at, sieves, training_only=True).grams()
+            if not len(keys):
                 continue
-            held.append((found[0], found[1], found[2].astype(np.int64)))
-            rows += len(found[0])
-            if rows > SLICE_ROWS:
-                yield packed(held)
-                held, rows = [], 0
-        if held:
-            yield packed(held)
+            found = (keys, parents, n.astype(np.int64))
+            held = _added_up([found] if held is None else [held, found])
+            if len(held[0]) > SLICE_ROWS:
+                yield packed(*held)
+                held = None
+        if held is not None:
+            yield packed(*held)
 
     return run
 
