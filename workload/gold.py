@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from loanmart.operators import cleaning, gold
 from loanmart.session import scratch_path
 from loanmart.sources import bucketed

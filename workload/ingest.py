@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loanmart.functions import dates, numbers, text
+from loanmart.functions import dates, text
 from loanmart.operators import cleaning, snapshots
 from loanmart.plans import datamart
 from loanmart.session import scratch_path

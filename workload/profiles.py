@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanmart.functions.text import ssn_is_valid
-from loanmart.operators import cleaning, gram, profile, ranks, snapshots, vintage
+from loanmart.operators import cleaning, gold, gram, profile, ranks, snapshots, vintage
 from loanmart.plans import datamart
 from loanmart.session import scratch_path
-from loanmart.sources import raw
+from loanmart.sources import bitmaps, raw
 from workload import views
 from workload.gold import features_typed, gold_by_state
 from workload.registry import query
@@ -393,6 +393,45 @@ def total_customers(spark, sf_dir):
     return profile.distinct_over_tables(tables, "customer_id")
 
 
+@query(
+    """SELECT 'all months' AS over, count(DISTINCT customer_id) n_distinct FROM (
+         SELECT customer_id, snapshot_date FROM raw_attributes UNION SELECT customer_id, snapshot_date FROM raw_financials
+         UNION SELECT customer_id, snapshot_date FROM applications) WHERE snapshot_date IS NOT NULL
+       UNION ALL SELECT 'two months', count(DISTINCT customer_id) FROM (
+         SELECT customer_id, snapshot_date FROM raw_attributes UNION SELECT customer_id, snapshot_date FROM raw_financials
+         UNION SELECT customer_id, snapshot_date FROM applications) WHERE snapshot_date IN (DATE '1996-02-01', DATE '1997-03-01')""",
+    ints="n_distinct",
+)
+def total_customers_stored(spark, sf_dir):
+    """Customers in any of three tables, in all and in two months, from bitmaps that were written a table at a time."""
+    root = scratch_path(spark, "bitmaps")
+    found = {
+        "attributes": views.raw_attributes(spark, sf_dir),
+        "financials": views.raw_financials(spark, sf_dir),
+        "applications": views.applications(spark, sf_dir),
+    }
+    for name, table in found.items():
+        bitmaps.write_bitmaps(table.select("customer_id", "snapshot_date"), f"{root}/{name}", {"customer_id": f"{root}/ids"})
+    paths = [f"{root}/{name}" for name in found]
+    every = bitmaps.distinct_ids(spark, paths, "customer_id").withColumn("over", F.lit("all months"))
+    two = bitmaps.distinct_ids(spark, paths, "customer_id", ["1996-02-01", "1997-03-01"]).withColumn("over", F.lit("two months"))
+    return every.unionByName(two).select("over", "n_distinct")
+
+
+@query(
+    """SELECT count(*) n_rows, count(DISTINCT loan_id) n_loan_id, count(DISTINCT customer_id) n_customer_id,
+              min(snapshot_date) first_snapshot, max(snapshot_date) last_snapshot FROM silver_loans""",
+    dates="first_snapshot last_snapshot", ints="n_rows",
+)
+def store_profile_stored(spark, sf_dir):
+    """Rows, distinct keys and dates of the loans from their bitmaps."""
+    root = scratch_path(spark, "bitmaps")
+    ids = {c: f"{root}/{c}" for c in ("loan_id", "customer_id")}
+    loans = views.silver_loans(spark, sf_dir).select("loan_id", "customer_id", "snapshot_date")
+    bitmaps.write_bitmaps(loans, f"{root}/loans", ids)
+    return bitmaps.store_profile(spark, f"{root}/loans", *ids)
+
+
 @query(
     """SELECT loan_id, loan_amt, balance FROM applications
        WHERE loan_amt IS NOT NULL AND balance IS NOT NULL ORDER BY md5(loan_id), loan_id LIMIT 1000""",
