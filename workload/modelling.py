@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loanmart.operators import evaluate, model, score, split
 from loanmart.plans import training
-from loanmart.session import scratch_path
+from loanmart.session import cut_lineage, scratch_path
 from loanmart.sources import registry
 from workload import views
 from workload.drifting import SCORES, scores
@@ -219,9 +219,9 @@ def champion(spark, sf_dir):
     )
 
 
-def _published(spark, sf_dir):
+def _published(spark, sf_dir, rows=None):
     bank = scratch_path(spark, "model-bank")
-    best = training.train(_training_rows(spark, sf_dir), KEY, SMALL_GRID[:1])
+    best = training.train(_training_rows(spark, sf_dir) if rows is None else rows, KEY, SMALL_GRID[:1])
     training.publish(spark, best, bank, "20250101_000000")
     return best.model, bank
 
@@ -231,11 +231,12 @@ def _published(spark, sf_dir):
 )
 def model_roundtrip(spark, sf_dir):
     """A model saved, registered, found again and loaded: every row scored, by both alike."""
-    fitted, bank = _published(spark, sf_dir)
+    rows = cut_lineage(_training_rows(spark, sf_dir))  # the gold table is derived once, for training and for scoring
+    fitted, bank = _published(spark, sf_dir, rows)
     loaded = registry.load_latest_model(spark, bank, "LogisticRegression")
     keys = ["customer_id", "snapshot_date", "mob"]
     bad = vector_to_array("probability")[1]
-    first = score.score_batch(fitted, _training_rows(spark, sf_dir), columns=[*INPUTS, *keys[:2], "probability"])
+    first = score.score_batch(fitted, rows, columns=[*INPUTS, *keys[:2], "probability"])
     first = first.withColumn("p_fitted", bad).drop("probability")
     scored = score.score_batch(loaded, first, columns=[*keys, "p_fitted", "probability", "prediction"])
     return scored.select(
