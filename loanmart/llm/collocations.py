@@ -16,6 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.ipc  # noqa: F401
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -27,6 +28,8 @@ from loanmart.llm.shared import partitions, utf8, written
 LONGEST = 3
 BLOCK_BYTES = 3 << 20  # text whose phrases are counted before they leave a task
 ROWS_PER_BUCKET = 400_000
+ROWS_PER_TASK = 1_000_000  # phrases a task adds up before they leave it
+SLICE_BYTES = 16 << 20  # text whose phrases a task counts at once, from all over the corpus
 _BREAK = B.byte_class(b".,;:!?\n\x0b\x0c\r")
 _WORD = ~_BREAK & ~B.byte_class(b" \t")
 WORDS = ["w1", "w2", "w3"]
@@ -71,7 +74,8 @@ class _Pieces:
         self.triple = self.pair[two]
         self.triple_keys = B.mix((self.pair_keys[two] + B._STEP) * B._STEP + self.hash[self.triple + 2])
         if len(sieves) > 1:
-            self.triple = self.triple[sieves[1].passes(self.triple_keys)]
+            passed = sieves[1].passes(self.triple_keys)
+            self.triple, self.triple_keys = self.triple[passed], self.triple_keys[passed]
 
 
 def _packed(sieves: list[sieve.Sieve], bits: int, least: int):
@@ -91,27 +95,95 @@ def _packed(sieves: list[sieve.Sieve], bits: int, least: int):
     return run
 
 
-def _counted(sieves: list[sieve.Sieve]):
-    """``lang, w1, w2, w3, n`` of a block's phrases; shorter ones have empty words, that of no word counts all words."""
+GRAM = ["lang", *WORDS]
+
+
+def _block_counts(block: pa.RecordBatch, sieves: list[sieve.Sieve]) -> pa.Table | None:
+    """``key, lang, w1, w2, w3, n`` of a block's phrases; shorter ones have empty words, that of no word counts all words."""
+    p = _Pieces(block)
+    if not len(p.word):
+        return None
+    size = len(p.names)
+    p.sieved(sieves)
+    passed, triple, first = p.pair, p.triple, p.language * size + p.word
+    pairs, pair_at, pair_n = np.unique(first[passed] * size + p.word[passed + 1], return_index=True, return_counts=True)
+    wide = np.searchsorted(pairs, first[triple] * size + p.word[triple + 1]) * size + p.word[triple + 2]
+    _, triple_at, triple_n = np.unique(wide, return_index=True, return_counts=True)
+    _, word_at, word_n = np.unique(first[p.words], return_index=True, return_counts=True)
+    _, all_at, all_n = np.unique(p.language, return_index=True, return_counts=True)
+    levels = [
+        (all_at, all_n, B.mix(p.in_language[all_at])), (p.words[word_at], word_n, p.word_keys[p.words[word_at]]),
+        (passed[pair_at], pair_n, p.pair_keys[pair_at]), (triple[triple_at], triple_n, p.triple_keys[triple_at]),
+    ]
+    parts = []
+    for length, (at, n, keys) in enumerate(levels):
+        blank = pa.array([""] * len(at), pa.string())
+        words = [p.names.take(pa.array(p.word[at + i])) if i < length else blank for i in range(LONGEST)]
+        columns = [pa.array(keys.view(np.int64)), p.languages.take(pa.array(p.language[at])), *words, pa.array(n)]
+        parts.append(pa.RecordBatch.from_arrays(columns, ["key", *GRAM, "n"]))
+    return pa.Table.from_batches(parts)
+
+
+def _added_up(tables: list[pa.Table], more: tuple[str, ...] = ()) -> pa.Table:
+    """Counts of equal phrases together."""
+    names = [*more, *GRAM]
+    summed = pa.concat_tables(tables).group_by(names, use_threads=False).aggregate([("n", "sum")])
+    return summed.select([*names, "n_sum"]).rename_columns([*names, "n"])
+
+
+def _counted(sieves: list[sieve.Sieve], slices: int):
+    """``slice, counts``: the phrases of a task's blocks, added up while they are few, sorted, and packed by slice of their hashes."""
+
+    def packed(table: pa.Table):
+        of = table.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - 16)
+        table = table.append_column("slice", pa.array((of % np.uint64(slices)).astype(np.int32))).drop_columns(["key"])
+        table = table.sort_by([(c, "ascending") for c in ("slice", *GRAM)]).combine_chunks()
+        numbers = table.column("slice").to_numpy()
+        found, at = np.unique(numbers, return_index=True)
+        blobs = []
+        for start, end in zip(at.tolist(), [*at[1:].tolist(), len(numbers)]):
+            sink = pa.BufferOutputStream()
+            part = pa.Table.from_arrays([pa.concat_arrays(table.column(c).slice(start, end - start).chunks) for c in (*GRAM, "n")], [*GRAM, "n"])
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(part)
+            blobs.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(blobs, pa.binary())], ["slice", "counts"])
 
     def run(batches):
+        held = None
         for block in B.sized_blocks(batches, "text", BLOCK_BYTES):
-            p = _Pieces(block)
-            if not len(p.word):
+            found = _block_counts(block, sieves)
+            if found is None:
                 continue
-            size = len(p.names)
-            p.sieved(sieves)
-            passed, triple, first = p.pair, p.triple, p.language * size + p.word
-            pairs, pair_at, pair_n = np.unique(first[passed] * size + p.word[passed + 1], return_index=True, return_counts=True)
-            wide = np.searchsorted(pairs, first[triple] * size + p.word[triple + 1]) * size + p.word[triple + 2]
-            _, triple_at, triple_n = np.unique(wide, return_index=True, return_counts=True)
-            _, word_at, word_n = np.unique(first[p.words], return_index=True, return_counts=True)
-            _, all_at, all_n = np.unique(p.language, return_index=True, return_counts=True)
-            levels = [(all_at, all_n), (p.words[word_at], word_n), (passed[pair_at], pair_n), (triple[triple_at], triple_n)]
-            for length, (at, n) in enumerate(levels):
-                blank = pa.array([""] * len(at), pa.string())
-                words = [p.names.take(pa.array(p.word[at + i])) if i < length else blank for i in range(LONGEST)]
-                yield pa.RecordBatch.from_arrays([p.languages.take(pa.array(p.language[at])), *words, pa.array(n)], ["lang", *WORDS, "n"])
+            held = found if held is None else _added_up([held, found], ("key",))
+            if held.num_rows > ROWS_PER_TASK:
+                yield packed(held)
+                held = None
+        if held is not None:
+            yield packed(held)
+
+    return run
+
+
+def _summed(least: int):
+    """``lang, w1, w2, w3, n`` of phrases found often enough; a slice at a time."""
+
+    def run(batches):
+        def total(held):
+            summed = _added_up(held)
+            for batch in summed.filter(pc.greater_equal(summed.column("n"), least)).to_batches(max_chunksize=100_000):
+                yield batch
+
+        now, held = None, []
+        for batch in batches:
+            for one, blob in zip(batch.column("slice").to_pylist(), batch.column("counts")):
+                if one != now and held:
+                    yield from total(held)
+                    held = []
+                now = one
+                held.append(pa.ipc.open_stream(blob.as_buffer()).read_all())
+        if held:
+            yield from total(held)
 
     return run
 
@@ -125,8 +197,10 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, least: int) ->
     for _ in ("words and pairs", "triples"):
         packed = texts.mapInArrow(_packed(list(sieves), bits, least), "slice int, keys binary")
         sieves.append(sieve.of_frequent(packed, bits, least, size // 6))
-    counted = texts.mapInArrow(_counted(sieves), "lang string, w1 string, w2 string, w3 string, n long")
-    return counted.groupBy("lang", *WORDS).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    slices = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLICE_BYTES))
+    counted = texts.mapInArrow(_counted(sieves, slices), "slice int, counts binary")
+    ordered = counted.repartition(slices, "slice").sortWithinPartitions("slice")
+    return ordered.mapInArrow(_summed(least), "lang string, w1 string, w2 string, w3 string, n long")
 
 
 SCANNED = "lang string, a string, b string, c string, n long, depth int, n0 long, n1 long, n2 long, most long, bucket int, last boolean"
