@@ -21,11 +21,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loanmart.llm import blocks as B
 from loanmart.llm import sieve
-from loanmart.llm.shared import utf8, written
+from loanmart.llm.shared import collect_garbage, utf8, written
 
 LEAST = 5  # pairs and triples found less often in the training texts are left to the shorter history
 DISCOUNT = 0.75
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 SLICE_ROWS = 3_000_000  # names of n-grams a task holds at once
 LANE = 512  # tokens of a text that are walked through together with other stretches
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word has a line end
@@ -481,6 +481,7 @@ def score(
     counts = written(
         packed.repartition(tasks, "slice").sortWithinPartitions("slice").mapInArrow(_summed(least), "slice int, key long, parent long, n long")
     )
+    collect_garbage(spark)
     tokens, distinct = counts.where("parent = 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     kept = counts.where("parent <> 0").groupBy(F.col("parent").alias("history")).agg(F.count("*").alias("kept"), F.sum("n").alias("total"))
     model = counts.join(kept, F.col("key") == F.col("history"), "left").select(

@@ -43,17 +43,19 @@ def partitions(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
 
 
-def forget(*tables: DataFrame) -> None:
-    """Deletes tables made by ``written`` that nothing will read again.
+def collect_garbage(spark: SparkSession) -> None:
+    """Makes Spark drop the shuffle files of jobs whose tables nothing refers to any more, which otherwise stay on the
+    executors' disks until memory on the driver happens to run short."""
+    gc.collect()
+    spark._jvm.System.gc()
+
 
-    Collecting garbage on the driver makes Spark drop the shuffle files of the jobs that made them,
-    which otherwise stay on the executors' disks until memory happens to run short.
-    """
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables made by ``written`` that nothing will read again, and the shuffle files of the jobs that made them."""
     for table in tables:
         jvm = table.sparkSession.sparkContext._jvm
         for folder in {file.rpartition("/")[0] for file in table.inputFiles()[:1]}:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-    gc.collect()
     if tables:
-        jvm.System.gc()
+        collect_garbage(tables[0].sparkSession)
