@@ -26,7 +26,7 @@ from loanmart.llm.shared import utf8, written
 from loanmart.llm.word_store import WordStore
 
 CHUNK = 1 << 15  # characters
-BLOCK_BYTES = 4 << 20  # text whose words are looked up together
+BLOCK_BYTES = 2 << 20  # text whose words are looked up together
 _BASE, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
 KNOWN = 50_000  # words of giant documents whose segmentation is kept in a task
 SPACE = "▁"

@@ -27,7 +27,7 @@ from loanmart.llm.word_store import WordStore
 from loanmart.session import scratch_path
 
 ROWS_PER_SHARD = 8192
-BLOCK_BYTES = 4 << 20  # text whose words are looked up together
+BLOCK_BYTES = 2 << 20  # text whose words are looked up together
 _FOOTER = struct.Struct("<qqqqqqqq8s")  # id width, ids, documents, null ids, least id, three lengths
 _MAGIC = b"EFTOKEN1"
 

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-LIMIT = 1_500_000
+LIMIT = 700_000
 
 
 def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
