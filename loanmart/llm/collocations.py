@@ -28,7 +28,7 @@ from loanmart.llm.shared import partitions, utf8, written
 LONGEST = 3
 BLOCK_BYTES = 3 << 20  # text whose phrases are counted before they leave a task
 ROWS_PER_BUCKET = 400_000
-ROWS_PER_TASK = 1_000_000  # phrases a task adds up before they leave it
+ROWS_PER_TASK = 500_000  # phrases a task adds up before they leave it
 SLICE_BYTES = 16 << 20  # text whose phrases a task counts at once, from all over the corpus
 _BREAK = B.byte_class(b".,;:!?\n\x0b\x0c\r")
 _WORD = ~_BREAK & ~B.byte_class(b" \t")
@@ -159,8 +159,12 @@ def _counted(sieves: list[sieve.Sieve], slices: int):
             if held.num_rows > ROWS_PER_TASK:
                 yield packed(held)
                 held = None
+            del found
+            pa.default_memory_pool().release_unused()  # tables come and go; the worker should not keep their memory
         if held is not None:
             yield packed(held)
+            del held
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -180,6 +184,7 @@ def _summed(least: int):
                 if one != now and held:
                     yield from total(held)
                     held = []
+                    pa.default_memory_pool().release_unused()
                 now = one
                 held.append(pa.ipc.open_stream(blob.as_buffer()).read_all())
         if held:
