@@ -481,8 +481,9 @@ def score(
     counts = written(
         packed.repartition(tasks, "slice").sortWithinPartitions("slice").mapInArrow(_summed(least), "slice int, key long, parent long, n long")
     )
-    collect_garbage(spark)
+    del packed
     tokens, distinct = counts.where("parent = 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    collect_garbage(spark)  # after the next job, as Spark keeps hold of the last one's files
     kept = counts.where("parent <> 0").groupBy(F.col("parent").alias("history")).agg(F.count("*").alias("kept"), F.sum("n").alias("total"))
     model = counts.join(kept, F.col("key") == F.col("history"), "left").select(
         "slice", "key", "n", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("kept", "total")]
