@@ -212,13 +212,14 @@ def psi_refined(
     The edges come from :func:`loanmart.operators.ranks.quantiles`; then one more scan counts values into bins. What is shuffled are
     counts of ranges and bins.
     """
-    found = ranks.quantiles(sided, features, _steps(bins), by=[SIDE], weight=weight)
+    stored = ranks.kept_for(sided, features, [SIDE], weight)
+    found = ranks.quantiles(stored, features, _steps(bins), by=[SIDE], weight=weight, kept=True)
     q_ref = F.max(_on("ref", F.col("q_n")))
     q_cur = F.max(_on("cur", F.col("q_n")))
     edges = found.groupBy("feature").agg(q_ref.alias("q_ref"), (q_cur if own else q_ref).alias("q_cur"))
     carried = [SIDE] if weight is None else [SIDE, weight]
     values = [F.col(f).cast("double").alias(f) for f in features]
-    long = sided.select(*carried, *values).unpivot(carried, list(features), "feature", "value")
+    long = stored.select(*carried, *values).unpivot(carried, list(features), "feature", "value")
     seen = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
     counts = [_on(s, _weight(weight)).alias(f"n_{s}") for s in ("ref", "cur")]
     filled = [F.coalesce(c, F.lit(0)).cast("bigint").alias(f"n_{s}") for c, s in zip(counts, ("ref", "cur"))]

@@ -3,7 +3,8 @@
 Each round is one scan with a map-side count into at most ``BUCKETS`` ranges for every feature, group and range still open,
 so what is shuffled is bounded by ranges and tasks and never grows with the number of values. A range whose values are all
 the same is settled, so a hot value costs nothing; with distinct values a round divides the rows still looked at by
-about ``BUCKETS``. When these are few, they are written once and later rounds read them instead of the table.
+about ``BUCKETS``. The columns looked at are written once, so that no round derives its input again; when the rows still looked at
+are few, they are written as well and later rounds read only them.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from loanmart.session import cut_lineage
 
@@ -29,6 +30,13 @@ def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str], weight: str
     return long.where(F.col("value").isNotNull() & ~F.isnan("value") & (F.col("n") > 0))
 
 
+def kept_for(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """The columns that are looked at, written once: every round reads them, and ``df`` may be costly to derive."""
+    carried = dict.fromkeys([*by, *([] if weight is None else [weight])])
+    values = [F.col(c).cast("double").alias(c) for c in columns if c not in carried]
+    return cut_lineage(df.select(*carried, *values))
+
+
 def _ends(value: Column) -> list[Column]:
     """Smallest and largest value of all, of the finite ones, and those next to zero on either side."""
     finite = F.when(F.abs(value) < math.inf, value)
@@ -74,18 +82,19 @@ def _wanted_ranks(total: int, probabilities: Sequence[float]) -> list[int]:
 
 def quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = (), weight: str | None = None,
-    buckets: int = BUCKETS, few: int = FEW,
+    buckets: int = BUCKETS, few: int = FEW, kept: bool = False,
 ) -> DataFrame:
     """``by..., feature, q_n``: exact quantiles with linear interpolation, in the order of the probabilities.
 
     Null and NaN are left out, infinities are values. ``by`` names a column or more with few values, such as the side of
     a comparison. ``weight`` repeats rows; one of zero or null leaves a row out. A group without values has no row. The driver
-    receives a row for each open range: at most two a probability, feature and group.
+    receives a row for each open range: at most two a probability, feature and group. ``kept`` says that ``df`` comes from
+    :func:`kept_for`, so that a caller who reads it too does not have it written twice.
     """
     if buckets < 8:
         raise ValueError("eight ranges at least")
     spark, keys = df.sparkSession, [*by, "feature"]
-    rows = _long(df, columns, by, weight)
+    rows = _long(df if kept else kept_for(df, columns, by, weight), columns, by, weight)
     ends = rows.groupBy(*keys).agg(F.sum("n").alias("n"), *_ends(F.col("value"))).collect()
     found: dict[tuple, dict[int, float]] = {tuple(r[k] for k in keys): {} for r in ends}
     totals = {tuple(r[k] for k in keys): r["n"] for r in ends}
@@ -130,9 +139,9 @@ def _ranges(spark, opened: list[_Range], key_fields) -> DataFrame:
     """A row a key with its open ranges, which do not overlap."""
     by: dict[tuple, list] = {}
     for i, r in enumerate(opened):
-        by.setdefault(r.key, []).append((i, *r.ends, [k - r.first for k in r.ranks]))
+        by.setdefault(r.key, []).append((i, *r.ends))
     doubles = [StructField(n, DoubleType()) for n in ENDS]
-    one = StructType([StructField("i", IntegerType()), *doubles, StructField("ranks", ArrayType(LongType()))])
+    one = StructType([StructField("i", IntegerType()), *doubles])
     schema = StructType([*key_fields, StructField("ranges", ArrayType(one))])
     return spark.createDataFrame([(*key, ranges) for key, ranges in by.items()], schema)
 
@@ -142,16 +151,24 @@ def _open(rows: DataFrame, opened, keys, key_fields) -> DataFrame:
     spec = F.broadcast(_ranges(rows.sparkSession, opened, key_fields))
     same = [rows[k].eqNullSafe(spec[k]) for k in keys]
     joined = rows.join(spec, same).select(*[rows[k] for k in keys], "value", "n", "ranges")
-    inside = F.get(F.filter("ranges", lambda r: (F.col("value") >= r["lo"]) & (F.col("value") <= r["hi"])), 0)
+
+    def holds(r: Column) -> Column:
+        return (F.col("value") >= r["lo"]) & (F.col("value") <= r["hi"])
+
+    alone = F.get("ranges", F.lit(0))  # the first round has one range a key and needs no search
+    inside = F.when(holds(alone), alone) if len({r.key for r in opened}) == len(opened) else F.get(F.filter("ranges", holds), 0)
     return joined.withColumn("r", inside).where("r IS NOT NULL").drop("ranges")
 
 
 def _next_round(rows: DataFrame, opened: list[_Range], keys, key_fields, buckets: int) -> list[_Range]:
     value = F.col("value")
     placed = _open(rows, opened, keys, key_fields).withColumn("bucket", _range_of(value, F.col("r"), buckets))
-    counted = placed.groupBy("r.i", "bucket").agg(F.sum("n").alias("n"), *_ends(value), F.first("r.ranks").alias("ranks"))
+    # the wanted ranks are joined afterwards: an array among the aggregates would have all values sorted
+    counted = placed.groupBy("r.i", "bucket").agg(F.sum("n").alias("n"), *_ends(value))
+    wanted = [(i, [k - r.first for k in r.ranks]) for i, r in enumerate(opened)]
+    ranks = rows.sparkSession.createDataFrame(wanted, "i int, ranks array<bigint>")
     before = F.sum("n").over(Window.partitionBy("i").orderBy("bucket")) - F.col("n")
-    held = counted.withColumn("first", before).withColumn(
+    held = counted.withColumn("first", before).join(F.broadcast(ranks), "i").withColumn(
         "held", F.filter("ranks", lambda k: (k >= F.col("first")) & (k < F.col("first") + F.col("n")))
     )
     still = []
@@ -163,20 +180,22 @@ def _next_round(rows: DataFrame, opened: list[_Range], keys, key_fields, buckets
 
 def spread_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``feature, n, min, median, max`` of each column that has a known value."""
-    known = _long(df, columns, (), None)
+    stored = kept_for(df, columns)
+    known = _long(stored, columns, (), None)
     ends = known.groupBy("feature").agg(F.sum("n").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"))
-    return ends.join(F.broadcast(quantiles(df, columns, [0.5])), "feature").select(
+    return ends.join(F.broadcast(quantiles(stored, columns, [0.5], kept=True)), "feature").select(
         "feature", "n", "min", F.element_at("q_n", 1).alias("median"), "max"
     )
 
 
 def boxplot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers and the number of values beyond them; a second look at the data, with a row a feature broadcast."""
-    quartiles = quantiles(df, columns, [0.25, 0.5, 0.75])
+    stored = kept_for(df, columns)
+    quartiles = quantiles(stored, columns, [0.25, 0.5, 0.75], kept=True)
     q1, median, q3 = (F.element_at("q_n", i) for i in (1, 2, 3))
     reach = 1.5 * (q3 - q1)
     inside = F.col("value").between(q1 - reach, q3 + reach)
-    fenced = _long(df, columns, (), None).join(F.broadcast(quartiles), "feature").groupBy("feature", "q_n").agg(
+    fenced = _long(stored, columns, (), None).join(F.broadcast(quartiles), "feature").groupBy("feature", "q_n").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("n_outliers"),

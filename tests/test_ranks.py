@@ -3,8 +3,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from loanmart.operators import ranks
+from loanmart.operators import drift, ranks
 import workload.catalog  # noqa: F401
 from workload.registry import QUERIES
 
@@ -97,3 +98,22 @@ def test_no_value_is_shuffled(spark):
 def test_equal_to_the_ordered_form(spark, name, same):
     a, b = (sorted(map(str, QUERIES[n](spark, "/root/testdata/sf0.001").collect())) for n in (name, same))
     assert a == b
+
+
+def test_input_is_read_once_and_values_are_not_sorted(spark, tmp_path, monkeypatch):
+    """All rounds read what was written of the input, and none sorts it for its aggregate."""
+    source = str(tmp_path / "source")
+    frame(spark, CASES["even"]).withColumn("side", F.lit("ref")).write.parquet(source)
+    df, read, plans = spark.read.parquet(source), [], []
+    long = ranks._long
+    monkeypatch.setattr(ranks, "_long", lambda d, *more: read.append(d.inputFiles()) or long(d, *more))
+    ranks.quantiles(df, ["x"], [0.5], buckets=64, few=0)
+    ranks.boxplot(df, ["x"])
+    drift.psi_refined(df, ["x"])
+    assert len(read) == 4 and not any(source in f for files in read for f in files)
+
+    collect = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda d: plans.append(d) or collect(d))
+    ranks.quantiles(df, ["x"], [0.5], buckets=64, few=0)
+    texts = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    assert len(texts) > 2 and not any("SortAggregate" in t for t in texts)
