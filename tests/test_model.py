@@ -168,3 +168,14 @@ def test_profiles_of_nothing(spark):
     empty = spark.createDataFrame([], "label int, customer_id string")
     assert profile.default_rate(empty).first() == (0, 0, 0.0)
     assert profile.multi_application_share(empty).first() == (0, 0, 0.0)
+
+
+def test_newest_months_are_found_in_the_written_rows(spark, table, tmp_path, monkeypatch):
+    """One job derives the table; the cutoff is no second branch of it."""
+    source, seen, cutoff = str(tmp_path / "source"), [], training.oot_cutoff
+    table.write.parquet(source)
+    monkeypatch.setattr(training, "oot_cutoff", lambda df, *more: seen.append(df.inputFiles()) or cutoff(df, *more))
+    grid = [model.Candidate("LogisticRegression", 0.01)]
+    best = training.train(spark.read.parquet(source), ["customer_id", "snapshot_date"], grid)
+    assert best.metrics.first().oot_rows == 450
+    assert len(seen) == 1 and seen[0] and not any(source in f for f in seen[0])
