@@ -6,6 +6,11 @@ from pyspark.sql import functions as F
 
 from loanmart.operators import drift
 from loanmart.plans import monitoring
+import workload.catalog  # noqa: F401
+from workload import drifting, profiles
+from workload.registry import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def sided(spark, ref, cur, **more):
@@ -185,3 +190,21 @@ def test_several_predictions_for_a_key_are_refused(spark):
     assert drift.monitor_join(reference, single).count() == 2
     with pytest.raises(Exception, match="several predictions"):
         drift.monitor_join(reference, single.union(single)).collect()
+
+
+@pytest.mark.parametrize("name", ["psi_quantile_refined", "drift_summary", "monitor_report", "monitor_matched"])
+def test_loans_are_derived_once(spark, monkeypatch, name):
+    """Cutoff, sides, scores and matches read what was written of the loans."""
+    derived, read, cutoff = [], [], drifting.oot_cutoff
+    loans = drifting.views.silver_loans
+    monkeypatch.setattr(drifting.views, "silver_loans", lambda *a: derived.append(a) or loans(*a))
+    monkeypatch.setattr(drifting, "oot_cutoff", lambda df, *more: read.append(df.inputFiles()) or cutoff(df, *more))
+    QUERIES[name](spark, SF_DIR)
+    assert len(derived) == 1 and len(read) == 1 and not any(SF_DIR in f for f in read[0])
+
+
+def test_raw_months_are_written_by_many_tasks(spark, monkeypatch):
+    plans, write = [], profiles.raw.write_csv
+    monkeypatch.setattr(profiles.raw, "write_csv", lambda df, path: plans.append(df._jdf.queryExecution().toString()) or write(df, path))
+    QUERIES["empty_snapshot"](spark, SF_DIR)
+    assert len(plans) == 2 and not any("Coalesce" in p or "Repartition" in p for p in plans)

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from loanmart.operators import drift, model
 from loanmart.operators.split import oot_cutoff
 from loanmart.plans import monitoring, scoring, training
-from loanmart.session import scratch_path
+from loanmart.session import cut_lineage, scratch_path
 from loanmart.sources import tables
 from workload import views
-from workload.gold import FEATURES as GOLD_INPUTS, gold_by_state
+from workload.gold import FEATURES as GOLD_INPUTS, gold_by_state, kept_flat_loans
 from workload.registry import query
 
 # what is numeric in silver loans, in its columns' order
@@ -89,9 +89,14 @@ METRICS = {
 }
 
 
-def sided(spark, sf_dir):
+def kept_loans(spark, sf_dir, *columns):
+    """Silver loans with these columns, written once: the newest months and both sides are found in them."""
+    return cut_lineage(views.silver_loans(spark, sf_dir).select(*FEATURES, "snapshot_date", *columns))
+
+
+def sided(spark, sf_dir, loans=None):
     """Historical months against the newest three, over all numeric columns they share."""
-    loans = views.silver_loans(spark, sf_dir)
+    loans = kept_loans(spark, sf_dir) if loans is None else loans
     newest = F.col("snapshot_date") >= oot_cutoff(loans)
     return drift.two_sided(loans.where(~newest), loans.where(newest))
 
@@ -181,9 +186,9 @@ MVR = {
 }
 
 
-def scores(spark, sf_dir):
+def scores(spark, sf_dir, loans=None):
     """Scored loans with many ties and their outcome."""
-    loans = views.silver_loans(spark, sf_dir)
+    loans = views.silver_loans(spark, sf_dir) if loans is None else loans
     score = F.floor(F.col("loan_amt") / 10000 + F.col("mob")) / F.lit(10.0)
     label = F.when(F.col("dpd") >= 30, 1).otherwise(0)
     return loans.select(
@@ -209,9 +214,10 @@ def monotonicity_violation(spark, sf_dir):
     rounded="avg_psi avg_ks mvr", ints="num_features num_drifted_features", views={**METRICS, **MVR},
 )
 def drift_summary(spark, sf_dir):
-    metrics = drift.drift_metrics(sided(spark, sf_dir), FEATURES)
+    loans = kept_loans(spark, sf_dir, "customer_id", "loan_id")
+    metrics = drift.drift_metrics(sided(spark, sf_dir, loans), FEATURES)
     violations = drift.monotonicity_violation_rate(
-        scores(spark, sf_dir), "customer_id", "snapshot_date", "loan_id", "score"
+        scores(spark, sf_dir, loans), "customer_id", "snapshot_date", "loan_id", "score"
     )
     return drift.drift_summary(metrics, violations)
 
@@ -264,7 +270,7 @@ def monitor_matched(spark, sf_dir):
 
     The SQL forms the pairs; Spark carries their number instead.
     """
-    loans = views.silver_loans(spark, sf_dir)
+    loans = kept_loans(spark, sf_dir, "customer_id")
     reference = loans.drop("snapshot_date")
     predictions = loans.where(F.col("snapshot_date") >= oot_cutoff(loans)).select("customer_id")
     sample, names, weight = monitoring.matched_sample(reference, predictions)
@@ -282,10 +288,11 @@ def monitor_matched(spark, sf_dir):
 def monitor_report(spark, sf_dir):
     """The report job: metric, alert and summary tables appended, the metrics read back."""
     root = scratch_path(spark, "monitoring")
+    loans = kept_loans(spark, sf_dir, "customer_id", "loan_id")
     violations = drift.monotonicity_violation_rate(
-        scores(spark, sf_dir), "customer_id", "snapshot_date", "loan_id", "score"
+        scores(spark, sf_dir, loans), "customer_id", "snapshot_date", "loan_id", "score"
     )
-    monitoring.report(sided(spark, sf_dir), FEATURES, root, violations)
+    monitoring.report(sided(spark, sf_dir, loans), FEATURES, root, violations)
     return spark.read.parquet(f"{root}/metrics").drop("reported_at")
 
 
@@ -315,7 +322,7 @@ STORED = {
 def monitor_stored(spark, sf_dir):
     """From a stored gold table to alerts: train, publish, score the newest month, report; all tables read back."""
     root = scratch_path(spark, "monitoring")
-    tables.write_snapshots(gold_by_state(spark, sf_dir), f"{root}/gold")
+    tables.write_snapshots(gold_by_state(spark, sf_dir, kept_flat_loans(spark, sf_dir)), f"{root}/gold")
     rows = tables.read_snapshots(spark, f"{root}/gold")
     grid = [model.Candidate("LogisticRegression", 0.01)]
     best = training.train(rows, ["customer_id", "snapshot_date"], grid, samples=f"{root}/samples")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from loanmart.operators import cleaning, gold
-from loanmart.session import scratch_path
+from loanmart.session import cut_lineage, scratch_path
 from loanmart.sources import bucketed
 from workload import views
 from workload.registry import query
@@ -19,6 +19,11 @@ def flat_loans(spark, sf_dir):
     return cleaning.silver_loans_flat(views.loans(spark, sf_dir))
 
 
+def kept_flat_loans(spark, sf_dir):
+    """What states and labels are made of, written once as both are made of it."""
+    return cut_lineage(flat_loans(spark, sf_dir).select(*gold.LOAN_STATE, "dpd"))
+
+
 def features_typed(spark, sf_dir, loans=None):
     return gold.feature_store(
         loans or views.silver_loans(spark, sf_dir),
