@@ -571,7 +571,7 @@ def empty_snapshot(spark, sf_dir):
     held = None
     for month in EMPTY_MONTHS:
         path = f"{folder}/{month}"
-        raw.write_csv(loans.where(F.col("snapshot_date") == month).coalesce(1), path)
+        raw.write_csv(loans.where(F.col("snapshot_date") == month), path)
         part = raw.read_raw(spark, path, loans.schema)
         held = part if held is None else held.unionByName(part)
     layout = datamart.run(spark, {"loans": held}, scratch_path(spark, "datamart"), EMPTY_MONTHS)
