@@ -2,7 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from loanmart.operators import features, model, profile, score, split
 from loanmart.plans import training
@@ -179,3 +179,13 @@ def test_newest_months_are_found_in_the_written_rows(spark, table, tmp_path, mon
     best = training.train(spark.read.parquet(source), ["customer_id", "snapshot_date"], grid)
     assert best.metrics.first().oot_rows == 450
     assert len(seen) == 1 and seen[0] and not any(source in f for f in seen[0])
+
+
+def test_models_score_in_a_session_that_has_observed(spark, table):
+    seen = Observation()
+    table.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 1200
+    for candidate in (model.Candidate("LogisticRegression", 0.01), model.Candidate("RandomForest", 3)):
+        best = training.train(table, ["customer_id", "snapshot_date"], [candidate], trees=2)
+        assert score.score_batch(best.model, table).count() == 1200
+        assert score.score_batch(best.model, table).agg(F.count_if(F.col("prediction") >= 0)).first()[0] == 1200
