@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from loanmart.functions.dates import month_start
+from loanmart.functions.dates import month_start, parse_date
 from loanmart.operators import cleaning, gold
 from loanmart.operators.snapshots import (
     NORMALIZED,
@@ -27,7 +29,7 @@ from loanmart.session import apply_settings
 from loanmart.sources import manifest
 from loanmart.sources.digest import month_digests
 from loanmart.sources.raw import lower_names, read_raw_optional
-from loanmart.sources.tables import read_snapshots, stored_schema, write_snapshots
+from loanmart.sources.tables import read_snapshots, regrouped, stored_schema, write_snapshots
 
 # Raw files per dataset.
 RAW_FILES = {
@@ -67,11 +69,11 @@ def bronze(raw: DataFrame, months: Iterable[str] | None = None) -> DataFrame:
         raw = with_default_snapshot(raw, months[0]).withColumn(
             SNAPSHOT, F.col(SNAPSHOT).cast("string")
         )
-    dated = with_normalized_snapshot(raw)
-    kept = dated.where(F.col(NORMALIZED) == month_start(F.col(NORMALIZED)))
-    if months is not None:
-        kept = kept.where(F.col(NORMALIZED).isin([F.lit(m).cast("date") for m in months]))
-    return kept.drop(SNAPSHOT).withColumnRenamed(NORMALIZED, SNAPSHOT)
+    # a condition on the parsed date would parse it again for each mention; an array of it does so once a row
+    others = [c for c in raw.columns if c not in (SNAPSHOT, NORMALIZED)]
+    found = F.filter(F.array(parse_date(F.col(SNAPSHOT))), lambda day: day == month_start(day))
+    kept = raw.select(*others, F.explode(found).alias(SNAPSHOT))
+    return kept if months is None else kept.where(_in(months))
 
 
 # why a raw row is in no table, in the order in which the rules are applied
@@ -148,9 +150,12 @@ def silver(
 
 def gold_stores(
     tables: Mapping[str, DataFrame | None], generation: str = "typed", threshold: int = 30,
-    mob: int = 6,
+    mob: int = 6, keep: Callable[[DataFrame], DataFrame] = lambda labels: labels,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(features, labels)``; loans are required, the other tables optional."""
+    """``(features, labels)``; loans are required, the other tables optional.
+
+    ``keep`` may write the labels and return what is stored, so that features that have labels do not derive them again.
+    """
     loans = tables.get("loans")
     if loans is None:
         raise FileNotFoundError("the gold layer needs the silver loans table")
@@ -163,14 +168,19 @@ def gold_stores(
         features = gold.feature_store(
             loans, sides.get("clickstream"), sides.get("attributes"), sides.get("financials")
         )
-        return features, gold.label_store_at_mob(loans, threshold, mob)
+        return features, keep(gold.label_store_at_mob(loans, threshold, mob))
     states = gold.feature_store_by_state(
         loans, sides.get("financials"), sides.get("attributes"), sides.get("clickstream")
     )
-    labels = gold.label_store_by_customer(loans, threshold)
+    labels = keep(gold.label_store_by_customer(loans, threshold))
     return gold.attach_labels(states, labels), labels
 
 
+def _stamped(rows: DataFrame) -> DataFrame:
+    """Bronze rows brought together by month, then stamped, so that the stamps are not shuffled."""
+    return with_lineage(regrouped(rows, SNAPSHOT), "bronze")
+
+
 def run(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
@@ -196,20 +206,23 @@ def run(
         write_snapshots(rows, path, regroup=regroup, months=months, whole=months is None)
         return read_snapshots(spark, path, months, schema=rows.schema)
 
-    tables = {}
-    for name, source in raw.items():
-        rows = stored(with_lineage(bronze(source, months), "bronze"), "bronze", name, True)
+    def to_silver(name: str) -> DataFrame:
+        rows = stored(_stamped(bronze(raw[name], months)), "bronze", name, False)
         rows = rows.drop("bronze_ingestion_timestamp", "bronze_processing_date")
         cleaned = silver(name, rows, generation, clean)
         if months is not None:
             cleaned = as_stored(cleaned, stored_schema(spark, layout.table("silver", name)))
-        tables[name] = stored(cleaned, "silver", name, False)
-    features, labels = gold_stores(tables, generation, threshold, mob)
-    stamped = features.withColumn("gold_processing_date", F.current_timestamp())
-    scope = {"months": months, "whole": months is None}
-    write_snapshots(stamped, layout.table("gold", "feature_store"), **scope)
+        return stored(cleaned, "silver", name, False)
+
+    # sources do not depend on each other: the small ones run where the large one leaves cores idle
+    with ThreadPoolExecutor(max(1, len(raw))) as pool:
+        tables = dict(zip(raw, pool.map(inheritable_thread_target(spark)(to_silver), raw)))
     # labels at one month on book are filtered silver rows; labels by customer are aggregated
-    write_snapshots(labels, layout.table("gold", "label_store"), regroup=generation != "typed", **scope)
+    features, _ = gold_stores(
+        tables, generation, threshold, mob, keep=lambda labels: stored(labels, "gold", "label_store", generation != "typed")
+    )
+    stamped = features.withColumn("gold_processing_date", F.current_timestamp())
+    write_snapshots(stamped, layout.table("gold", "feature_store"), months=months, whole=months is None)
     return layout
 
 
@@ -251,7 +264,8 @@ def refresh(
 ) -> tuple[Layout, list[tuple[str, str, str]]]:
     """Bring all layers up to date with the sources; returns ``(layer, dataset, month)`` of every month built anew.
 
-    Each source is read once to digest its months; of every table only those months are written whose inputs, or whose rule,
+    Each source is read once to digest its months and once more for what is to be built, so one that is costly to derive
+    should be a written table; of every table only those months are written whose inputs, or whose rule,
     differ from those noted in its manifest. A month of a gold table depends on the same month of the silver
     tables, so a month that comes out of silver as it was feeds nothing. A run that fails leaves tables whose
     notes are those of what they hold, and the next one goes on from there.
@@ -268,7 +282,7 @@ def refresh(
         path = layout.table("bronze", name)
         done("bronze", name, _rebuild(
             spark, path, {m: {"source": d} for m, d in digests.items()},
-            lambda months: with_lineage(rows.where(_in(months)), "bronze"), True,
+            lambda months: _stamped(rows.where(_in(months))), False,
         ))
         silver_path, rule = layout.table("silver", name), f"{generation} {clean}"
 

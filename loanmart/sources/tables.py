@@ -20,6 +20,11 @@ from loanmart.sources.manifest import ConcurrentWrite, Manifest
 SNAPSHOT = "snapshot_date"
 
 
+def regrouped(df: DataFrame, month: str = SNAPSHOT) -> DataFrame:
+    """Rows of a month together, a large month in several tasks."""
+    return df.hint("rebalance", month)
+
+
 def write_snapshots(
     df: DataFrame,
     path: str,
@@ -47,7 +52,7 @@ def write_snapshots(
     generation = f"{(seen.version if seen else 0) + 1:06d}-{uuid.uuid4().hex[:12]}"
     place = manifest.place(path, generation)
     try:
-        rows = df.hint("rebalance", month) if regroup else df
+        rows = regrouped(df, month) if regroup else df
         rows.write.partitionBy(month).parquet(place)
         written = [n.partition("=")[2] for n in manifest.names(spark, place) if n.startswith(f"{month}=")]
         if not written:

@@ -116,3 +116,14 @@ def test_unit_hash_is_in_range_and_repeatable(spark, keys):
     first = one(spark, keys, "string", numbers.unit_hash)
     assert first == one(spark, keys, "string", numbers.unit_hash)
     assert all(0 <= u < 1 for u in first)
+
+
+def test_fast_dates_equal_the_formatter(spark):
+    texts = [
+        "2023-01-05", "1/2/2023", "01/02/2023", "001/1/2023", "2023-1-5", " 2023-01-05", "2023-01-05\n", "2023-02-30", "31/4/2023",
+        "0000-01-01", "1/1/0000", "0001-01-01", "+12023-01-01", "1/1/12023", "0/1/2023", "1/13/2023", "2023-01-05T00:00", "1/2/23", "bad", "", None,
+    ]
+    slow = one(spark, texts, "string", lambda c: F.coalesce(*[F.try_to_date(c, f) for f in dates.RAW_DATE_FORMATS]).cast("string"))
+    assert one(spark, texts, "string", lambda c: dates.parse_date(c).cast("string")) == slow
+    days = [dt.date(2023, 4, 17), None]
+    assert one(spark, days, "date", dates.parse_date) == days

@@ -1,4 +1,5 @@
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,3 +180,60 @@ def test_first_available_place(spark, loans, tmp_path):
     tables.write_snapshots(loans, path)
     assert tables.read_first_available(spark, [str(tmp_path / "first"), path]).count() == 15
     assert tables.read_first_available(spark, [str(tmp_path / "first")]) is None
+
+
+def mart_sources(spark):
+    loans = [(f"L{i}", f"C{i % 3}", "1/1/2023" if i % 2 else "2023-02-01", "12", "0", "100.0", "10.0", "10.0", "0.0", "90.0") for i in range(12)]
+    names = "loan_id customer_id snapshot_date tenure installment_num loan_amt due_amt paid_amt overdue_amt balance"
+    ages = [(f"C{i}", "40", "1/1/2023") for i in range(3)]
+    return {
+        "loans": spark.createDataFrame(loans, ", ".join(f"{n} string" for n in names.split())),
+        "attributes": spark.createDataFrame(ages, "customer_id string, age string, snapshot_date string"),
+    }
+
+
+def writes(monkeypatch):
+    """Table, rows, whether regrouped by the writer and thread of each write of the datamart."""
+    seen, real = [], datamart.write_snapshots
+
+    def noted(df, path, *args, **kwargs):
+        seen.append((path.split("/")[-1], df, kwargs.get("regroup", True), threading.get_ident()))
+        return real(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(datamart, "write_snapshots", noted)
+    return seen
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_raw_date_is_parsed_once_a_row(spark):
+    rows = datamart.bronze(mart_sources(spark)["loans"], ["2023-01-01"])
+    assert rows.count() == 6
+    assert optimized(rows).lower().count("gettimestamp(") == 2  # once a layout
+
+
+def test_stamps_are_not_shuffled(spark, tmp_path, monkeypatch):
+    for job in (datamart.run, datamart.refresh):
+        seen = writes(monkeypatch)
+        job(spark, mart_sources(spark), str(tmp_path / job.__name__))
+        name, rows, regroup, _ = seen[0]
+        above, shuffled, _ = optimized(rows).partition("RebalancePartitions")
+        assert shuffled and not regroup and "bronze_ingestion_timestamp" in above
+
+
+def test_sources_are_built_side_by_side_and_labels_derived_once(spark, tmp_path, monkeypatch):
+    seen = writes(monkeypatch)
+    layout = datamart.run(spark, mart_sources(spark), str(tmp_path / "flat"), generation="flat")
+    assert len({thread for name, _, _, thread in seen if name in ("loans", "attributes")}) == 2
+    features = next(rows for name, rows, _, _ in seen if name == "feature_store")
+    assert any("/label_store/" in f for f in features.inputFiles())
+    assert tables.read_snapshots(spark, layout.table("gold", "feature_store")).where("label IS NULL").count() == 0
+
+
+def test_a_fault_in_one_source_is_raised(spark, tmp_path):
+    broken = mart_sources(spark)
+    broken["attributes"] = broken["attributes"].withColumn("age", F.raise_error(F.lit("no age")))
+    with pytest.raises(Exception, match="no age"):
+        datamart.run(spark, broken, str(tmp_path / "broken"))
