@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loanmart.plans import datamart
 from loanmart.sources import registry, tables
+from workload import ingest, views
 
 def test_emptied_and_vanished_months_go(spark, tmp_path, rows):
     path = str(tmp_path / "t")
@@ -237,3 +238,11 @@ def test_a_fault_in_one_source_is_raised(spark, tmp_path):
     broken["attributes"] = broken["attributes"].withColumn("age", F.raise_error(F.lit("no age")))
     with pytest.raises(Exception, match="no age"):
         datamart.run(spark, broken, str(tmp_path / "broken"))
+
+
+def test_refreshed_sources_are_written_tables(spark, tmp_path):
+    for name, schema in views.SCHEMAS.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    sources = ingest._written_sources(spark, str(tmp_path))
+    for rows in [*sources.values(), *ingest._changed(sources).values()]:
+        assert "Join" not in optimized(rows) and "Aggregate" not in optimized(rows)
