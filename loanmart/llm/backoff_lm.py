@@ -27,6 +27,7 @@ LEAST = 5  # pairs and triples found less often in the training texts are left t
 DISCOUNT = 0.75
 BLOCK_BYTES = 8 << 20
 SLICE_ROWS = 3_000_000  # names of n-grams a task holds at once
+COUNTING_BITS = 25  # a task counts pairs or triples in an array of 32 MB
 LANE = 512  # tokens of a text that are walked through together with other stretches
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word has a line end
 _SALTS = (np.uint64(0x3C79AC492BA7B653), np.uint64(0x1C69B3F74AC4AE35))
@@ -126,7 +127,11 @@ class _Block:
         return self._triple_keys(last[both] * self.width + self.now[both])
 
     def _pair_keys(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        return B.mix((self.hash[first] * B._STEP + self.hash[second]) ^ _SALTS[0])
+        keys = self.hash[first]  # a copy, gone on with in place: there are as many as tokens
+        keys *= B._STEP
+        keys += self.hash[second]
+        keys ^= _SALTS[0]
+        return B.mix(keys)
 
     def _triple_keys(self, triple: np.ndarray) -> np.ndarray:
         return B.mix((self.pair_key[triple // self.width] * B._STEP + self.hash[triple % self.width]) ^ _SALTS[1])
@@ -199,9 +204,14 @@ def _packed(sieves: list[sieve.Sieve], bits: int, least: int):
 
     def run(batches):
         for batch, at in _rows(batches):
-            keys, times = np.unique(_Block(batch, at, sieves, training_only=True).keys(), return_counts=True)
+            keys = _Block(batch, at, sieves, training_only=True).keys()
+            keys.sort()
+            # of equal keys the first ``least``: those that differ from the one ``least`` places before
+            kept = np.ones(len(keys), bool)
+            np.not_equal(keys[least:], keys[:-least], out=kept[least:])
+            keys = keys[kept]
             if len(keys):
-                yield from sieve.pack(np.repeat(keys, np.minimum(times, least)), bits)
+                yield from sieve.pack(keys, bits, COUNTING_BITS)
 
     return run
 
@@ -474,7 +484,7 @@ def score(
     sieves = []
     for _ in ("pairs", "triples"):
         packed = staged.mapInArrow(_packed(list(sieves), bits, least), "slice int, keys binary")
-        sieves.append(sieve.of_frequent(packed, bits, least, size))
+        sieves.append(sieve.of_frequent(packed, bits, least, size, COUNTING_BITS))
     slices = 1 << (max(0, -(-size // SLICE_ROWS) - 1)).bit_length()
     tasks = max(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
     packed = staged.mapInArrow(_training_grams(sieves, slices), "slice int, keys binary, parents binary, counts binary")

@@ -67,12 +67,12 @@ def counted_bits(rows: int) -> int:
     return min(COUNTED_BITS, max(20, (32 * rows).bit_length()))
 
 
-def pack(keys: np.ndarray, bits: int):
+def pack(keys: np.ndarray, bits: int, slice_bits: int = SLICE_BITS):
     """``slice int, keys binary`` batches of one task's keys: each slice has its keys' bits, zipped.
 
     Keys may repeat; their number is what is counted. Sorted, so that a slice is one stretch.
     """
-    low = min(bits, SLICE_BITS)
+    low = min(bits, slice_bits)
     at = np.sort(keys >> np.uint64(64 - bits))
     slices, starts = np.unique(at >> np.uint64(low), return_index=True)
     inside = (at & np.uint64((1 << low) - 1)).astype(np.uint32)
@@ -83,13 +83,13 @@ def pack(keys: np.ndarray, bits: int):
     )
 
 
-def of_frequent(packed: DataFrame, bits: int, least: int, rows: int) -> Sieve:
+def of_frequent(packed: DataFrame, bits: int, least: int, rows: int, slice_bits: int = SLICE_BITS) -> Sieve:
     """Sieve that lets every key through that was packed at least ``least`` times.
 
     Keys are counted by their leading ``bits`` in arrays of fixed size, one slice of the key range at a time; keys that
-    share them are counted together, which can only raise a count.
+    share them are counted together, which can only raise a count. ``slice_bits`` are those the keys were packed with.
     """
-    low, kept = min(bits, SLICE_BITS), min(bits, table_bits(max(1, rows // (4 * least))))
+    low, kept = min(bits, slice_bits), min(bits, table_bits(max(1, rows // (4 * least))))
 
     def run(batches):
         def cells():

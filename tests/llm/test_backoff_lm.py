@@ -3,10 +3,11 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loanmart.llm import backoff_lm as M
+from loanmart.llm import backoff_lm as M, sieve
 from loanmart.llm.queries import QUERIES
 from loanmart.llm.shared import ready
 from tests.llm.brute import lowered, words
@@ -108,3 +109,16 @@ def test_odd_rows(spark):
     same(scores(spark, rows, lane=100), expected(rows))
     same(scores(spark, [(1, "a b", True), (2, None, True)]), expected([(1, "a b", True), (2, None, True)]))
     assert scores(spark, []) == []
+
+
+def test_counting_arrays_are_small_and_their_size_changes_nothing(spark):
+    assert 1 << M.COUNTING_BITS <= 32 << 20
+    rng = np.random.default_rng(3)
+    keys = np.repeat(rng.integers(0, 2**64, 3000, np.uint64), rng.integers(1, 9, 3000))
+    passed = []
+    for slice_bits in (26, M.COUNTING_BITS, 24):
+        batches = [b for part in np.array_split(keys, 3) for b in sieve.pack(part, 28, slice_bits)]
+        assert max(max(b.column("slice").to_pylist()) for b in batches) < 1 << (28 - slice_bits)
+        packed = spark.createDataFrame(pa.Table.from_batches(batches)).selectExpr("cast(slice AS int) slice", "keys")
+        passed.append(sieve.of_frequent(packed, 28, 5, len(keys), slice_bits).passes(keys).tolist())
+    assert passed[0] == passed[1] == passed[2] and 0 < sum(passed[0]) < len(keys)
