@@ -7,12 +7,15 @@ price of the backoff weight. One traversal from left to right carries the state
 
 The model grows with the training texts and is never in one place. Texts are cut into blocks; a block names its distinct
 n-grams, by 64-bit hashes sorted and packed by slice of the hash range; each slice of the model answers the blocks with
-counts, and the block builds from these the part of the automaton that its own texts can reach. Sieves of fixed size
-keep rare pairs and triples out of counts and questions.
+counts, and the block builds from these the part of the automaton that its own texts can reach. Blocks ask in a few
+rounds, so that what is on its way takes a part of the disk. Sieves of fixed size keep rare pairs and triples out of
+counts and questions.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -21,12 +24,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loanmart.llm import blocks as B
 from loanmart.llm import sieve
-from loanmart.llm.shared import collect_garbage, utf8, written
+from loanmart.llm.shared import collect_garbage, forget, utf8, written
 
 LEAST = 5  # pairs and triples found less often in the training texts are left to the shorter history
 DISCOUNT = 0.75
 BLOCK_BYTES = 8 << 20
 SLICE_ROWS = 3_000_000  # names of n-grams a task holds at once
+HELD_ROWS = 2_000_000  # n-grams of training texts a task adds up before it passes them on
+ROUNDS = 4  # parts of the blocks that ask one after the other
+ROUND_BLOCKS = 4  # blocks that are worth a round
 COUNTING_BITS = 25  # a task counts pairs or triples in an array of 32 MB
 LANE = 512  # tokens of a text that are walked through together with other stretches
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word has a line end
@@ -92,6 +98,30 @@ def _blocks_of_tokens(size: int):
     return run
 
 
+def _distinct(codes: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct codes from 0 to below ``top``, the place of each code among them, and how often each is found.
+
+    ``numpy.unique`` in less room: a code and its place are sorted as one number where both fit.
+    """
+    bits = max(1, len(codes) - 1).bit_length()
+    if top.bit_length() + bits > 63:
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+    else:
+        codes = codes << bits
+        codes |= np.arange(len(codes))
+        codes.sort()
+        order = codes & ((1 << bits) - 1)
+        codes >>= bits
+    new = np.ones(len(codes), bool)
+    np.not_equal(codes[1:], codes[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    codes = codes[first]
+    at = np.empty(len(order), np.int32)
+    at[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return codes, at, np.diff(first, append=len(order))
+
+
 class _Block:
     """The texts of one row as transitions from one token to the next, an end mark before and after each text."""
 
@@ -107,7 +137,7 @@ class _Block:
         np.cumsum(sizes + 2, out=first[1:])
         inside = np.ones(int(first[-1]), bool)
         inside[first[:-1]] = inside[first[1:] - 1] = False
-        token = np.full(int(first[-1]), self.end, np.int64)
+        token = np.full(int(first[-1]), self.end, np.int32)
         token[inside] = words
         # a transition for each token but the first mark; ``start`` is the first transition of each text
         moves = np.ones(len(token), bool)
@@ -124,7 +154,7 @@ class _Block:
             return self._pair_keys(self.before, self.now)
         self._pairs()
         both, last = self._triples()
-        return self._triple_keys(last[both] * self.width + self.now[both])
+        return self._triple_keys(self._codes(last[both], self.now[both]))
 
     def _pair_keys(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         keys = self.hash[first]  # a copy, gone on with in place: there are as many as tokens
@@ -136,44 +166,62 @@ class _Block:
     def _triple_keys(self, triple: np.ndarray) -> np.ndarray:
         return B.mix((self.pair_key[triple // self.width] * B._STEP + self.hash[triple % self.width]) ^ _SALTS[1])
 
+    def _codes(self, history: np.ndarray, last: np.ndarray) -> np.ndarray:
+        codes = history.astype(np.int64)
+        codes *= self.width
+        codes += last
+        return codes
+
     def _pairs(self) -> None:
-        pair, of, n = np.unique(self.before * self.width + self.now, return_inverse=True, return_counts=True)
+        pair, of, n = _distinct(self._codes(self.before, self.now), self.width**2)
         keys = self._pair_keys(pair // self.width, pair % self.width)
         kept = np.flatnonzero(self.sieves[0].passes(keys))
-        number = np.full(len(pair), -1, np.int64)
+        number = np.full(len(pair), -1, np.int32)
         number[kept] = np.arange(len(kept))
         # of each transition: its pair among those kept, -1 for none
         self.pair_at, self.pair, self.pair_n, self.pair_key = number[of], pair[kept], n[kept], keys[kept]
 
     def _triples(self) -> tuple[np.ndarray, np.ndarray]:
         """Transitions that end a triple of kept pairs, and the first pair of every transition's triple."""
-        last = np.full(len(self.now), -1, np.int64)
+        last = np.full(len(self.now), -1, np.int32)
         last[1:] = self.pair_at[:-1]
         last[self.start[:-1]] = -1
         return np.flatnonzero((last >= 0) & (self.pair_at >= 0)), last
 
-    def grams(self):
-        """Distinct words, pairs and triples that may be kept: keys, keys of their histories, counts; and where they are."""
-        self.word, self.word_n = np.unique(self.now, return_counts=True)
+    def look_up(self) -> None:
+        """The distinct words, pairs and triples that may be kept, how often each is found, and where triples are."""
+        n = np.bincount(self.now, minlength=self.width)
+        self.word = np.flatnonzero(n)
+        self.word_n = n[self.word]
         self._pairs()
         both, last = self._triples()
-        triple, of, n = np.unique(last[both] * self.width + self.now[both], return_inverse=True, return_counts=True)
+        triple, of, n = _distinct(self._codes(last[both], self.now[both]), len(self.pair) * self.width)
+        del last
         keys = self._triple_keys(triple)
         kept = np.flatnonzero(self.sieves[1].passes(keys))
-        number = np.full(len(triple), -1, np.int64)
+        number = np.full(len(triple), -1, np.int32)
         number[kept] = np.arange(len(kept))
-        self.triple_at = np.full(len(self.now), -1, np.int64)
+        self.triple_at = np.full(len(self.now), -1, np.int32)
         self.triple_at[both] = number[of]
         self.triple, self.triple_n, self.triple_key = triple[kept], n[kept], keys[kept]
+
+    def _gram_keys(self, *more: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.hash[self.word], self.pair_key, self.triple_key, *more])
+
+    def grams(self):
+        """Distinct words, pairs and triples that may be kept: keys, keys of their histories, counts."""
+        self.look_up()
         return (
-            np.concatenate([self.hash[self.word], self.pair_key, self.triple_key]),
+            self._gram_keys(),
             np.concatenate([np.zeros(len(self.word), np.uint64), self.hash[self.pair // self.width], self.pair_key[self.triple // self.width]]),
             np.concatenate([self.word_n, self.pair_n, self.triple_n]),
         )
 
     def names(self) -> np.ndarray:
         """Sorted distinct keys to ask the model for; that of the end mark, which is a history, always among them."""
-        keys = np.sort(np.append(self.grams()[0], self.hash[self.end]))
+        self.look_up()
+        keys = self._gram_keys(self.hash[self.end :])
+        keys.sort()
         return keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
 
 
@@ -217,12 +265,14 @@ def _packed(sieves: list[sieve.Sieve], bits: int, least: int):
 
 
 def _added_up(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-    """Keys, parents and counts of several blocks together."""
-    keys, parents, n = (np.concatenate(column) for column in zip(*parts))
+    """Keys, parents and counts of several blocks together; a column at a time, as there may be millions of each."""
+    keys = np.concatenate([p[0] for p in parts])
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], parents[order[first]], np.add.reduceat(n[order], first)
+    keys = keys[first]
+    parents = np.concatenate([p[1] for p in parts])[order[first]]
+    return keys, parents, np.add.reduceat(np.concatenate([p[2] for p in parts])[order], first)
 
 
 def _training_grams(sieves: list[sieve.Sieve], slices: int):
@@ -243,7 +293,7 @@ def _training_grams(sieves: list[sieve.Sieve], slices: int):
                 continue
             found = (keys, parents, n.astype(np.int64))
             held = _added_up([found] if held is None else [held, found])
-            if len(held[0]) > SLICE_ROWS:
+            if len(held[0]) > HELD_ROWS:
                 yield packed(*held)
                 held = None
         if held is not None:
@@ -391,7 +441,7 @@ def _automaton(block: _Block, look, tokens: int, distinct: int, discount: float)
     tail = np.searchsorted(block.pair, second[history] * block.width + last)  # the pair a triple ends with
     p3 = (c3[arcs3] - discount) / c2[history] + back2[history] * p2[tail]
     # one number more, that of no arc
-    number2, number3 = np.full(len(block.pair) + 1, -1, np.int64), np.full(len(block.triple) + 1, -1, np.int64)
+    number2, number3 = np.full(len(block.pair) + 1, -1, np.int32), np.full(len(block.triple) + 1, -1, np.int32)
     number2[arcs2] = np.arange(len(arcs2))
     number3[arcs3] = len(arcs2) + np.arange(len(arcs3))
     machine = Automaton(
@@ -438,7 +488,7 @@ def _scored(sieves: list[sieve.Sieve], slices: int, tokens: int, distinct: int,
         score = np.bincount(text[back], sums[back], texts)
         owner = np.repeat(np.arange(texts), length)
         base = np.bincount(owner, machine.plain[block.now], texts)
-        known = np.bincount(owner, c1[block.now] > 0, texts).astype(np.int64)
+        known = np.bincount(owner, (c1 > 0)[block.now], texts).astype(np.int64)
         return pa.RecordBatch.from_arrays(
             [batch.column("ids")[row].values, batch.column("held_out")[row].values, pa.array(length), pa.array(known),
              pa.array(np.full(texts, tokens)), pa.array(base), pa.array(score)],
@@ -485,6 +535,7 @@ def score(
     for _ in ("pairs", "triples"):
         packed = staged.mapInArrow(_packed(list(sieves), bits, least), "slice int, keys binary")
         sieves.append(sieve.of_frequent(packed, bits, least, size, COUNTING_BITS))
+        collect_garbage(spark)  # after the next job, as Spark keeps hold of the last one's files
     slices = 1 << (max(0, -(-size // SLICE_ROWS) - 1)).bit_length()
     tasks = max(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
     packed = staged.mapInArrow(_training_grams(sieves, slices), "slice int, keys binary, parents binary, counts binary")
@@ -493,20 +544,38 @@ def score(
     )
     del packed
     tokens, distinct = counts.where("parent = 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    collect_garbage(spark)  # after the next job, as Spark keeps hold of the last one's files
+    collect_garbage(spark)
     kept = counts.where("parent <> 0").groupBy(F.col("parent").alias("history")).agg(F.count("*").alias("kept"), F.sum("n").alias("total"))
     model = counts.join(kept, F.col("key") == F.col("history"), "left").select(
         "slice", "key", "n", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("kept", "total")]
     )
-    told = model.mapInArrow(_packed_model, "slice int, keys binary, answers binary").withColumn("block", F.lit(None).cast("long"))
-    asked = staged.mapInArrow(_questions(sieves, slices), "slice int, block long, keys binary").withColumn("answers", F.lit(None).cast("binary"))
-    met = told.unionByName(asked).repartition(tasks, "slice").sortWithinPartitions("slice", F.asc_nulls_first("block"))
-    answers = met.mapInArrow(_answers, "block long, slice int, answers binary")
-    blank = [F.lit(None).cast(t).alias(c) for c, t in staged.dtypes if c != "block"]
-    together = answers.select("block", "slice", "answers", *blank).union(
-        staged.select("block", F.lit(1 << 30).alias("slice"), F.lit(None).cast("binary").alias("answers"), *[c for c in staged.columns if c != "block"])
-    )
-    ready_ = together.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size * 6 // block_bytes)), "block")
-    scored = _scored(sieves, slices, tokens, distinct, discount, lane)
+    told = written(model.mapInArrow(_packed_model, "slice int, keys binary, answers binary"))
+    del kept, model
+    forget(counts)
+    told = told.withColumn("block", F.lit(None).cast("long"))
     result = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return ready_.sortWithinPartitions("block", "slice").mapInArrow(scored, result)
+
+    def answered(mine: DataFrame, wide: int) -> DataFrame:
+        asked = mine.mapInArrow(_questions(sieves, slices), "slice int, block long, keys binary").withColumn("answers", F.lit(None).cast("binary"))
+        met = told.unionByName(asked).repartition(tasks, "slice").sortWithinPartitions("slice", F.asc_nulls_first("block"))
+        answers = met.mapInArrow(_answers, "block long, slice int, answers binary")
+        blank = [F.lit(None).cast(t).alias(c) for c, t in mine.dtypes if c != "block"]
+        together = answers.select("block", "slice", "answers", *blank).union(
+            mine.select("block", F.lit(1 << 30).alias("slice"), F.lit(None).cast("binary").alias("answers"), *[c for c in mine.columns if c != "block"])
+        )
+        ready_ = together.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), wide), "block")
+        return ready_.sortWithinPartitions("block", "slice").mapInArrow(_scored(sieves, slices, tokens, distinct, discount, lane), result)
+
+    wide = -(-size * 6 // block_bytes)
+    rounds = max(1, min(ROUNDS, wide // ROUND_BLOCKS))
+    if rounds == 1:
+        return answered(staged, wide)
+    # a task's neighbouring blocks fall in different rounds, and so do the first blocks of neighbouring tasks
+    turn = (F.col("block") % (1 << 32) + F.shiftright("block", 32)) % rounds
+    done = []
+    for nth in range(rounds):
+        one = answered(staged.where(turn == nth), -(-wide // rounds))
+        done.append(one if nth == rounds - 1 else written(one))
+        del one
+        collect_garbage(spark)
+    return reduce(DataFrame.union, done)

@@ -122,3 +122,26 @@ def test_counting_arrays_are_small_and_their_size_changes_nothing(spark):
         packed = spark.createDataFrame(pa.Table.from_batches(batches)).selectExpr("cast(slice AS int) slice", "keys")
         passed.append(sieve.of_frequent(packed, 28, 5, len(keys), slice_bits).passes(keys).tolist())
     assert passed[0] == passed[1] == passed[2] and 0 < sum(passed[0]) < len(keys)
+
+
+@pytest.mark.parametrize("top", [50, 1 << 40, 1 << 62])
+def test_distinct_codes(top):
+    codes = np.random.default_rng(1).integers(0, top, 300)
+    codes = np.concatenate([codes, codes[:100], [0, top - 1]])
+    code, at, n = M._distinct(codes.copy(), top)
+    want = np.unique(codes, return_inverse=True, return_counts=True)
+    assert all(np.array_equal(g, w) for g, w in zip((code, at, n), want)) and at.dtype == np.int32
+    assert [len(x) for x in M._distinct(codes[:0], top)] == [0, 0, 0]
+
+
+def test_rounds_share_out_the_blocks_and_change_nothing(spark, monkeypatch):
+    """What is asked, answered and dealt out at once is that of a part of the blocks, and each block is in one round."""
+    monkeypatch.setattr(M, "HELD_ROWS", 60)  # so that tasks pass on their counts in several parts
+    seen, kept = [], M.written
+    monkeypatch.setattr(M, "written", lambda df: seen.append(df.columns) or kept(df))
+    rows = random_rows(8)
+    for rounds in (1, 3, 4):
+        monkeypatch.setattr(M, "ROUNDS", rounds)
+        seen.clear()
+        same(scores(spark, rows, block_bytes=150, lane=5, least=2), expected(rows, 2))
+        assert sum("base_score" in columns for columns in seen) == rounds - 1
