@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loanmart.llm import blocks as B
 from loanmart.llm import sieve
-from loanmart.llm.shared import collect_garbage, forget, utf8, written
+from loanmart.llm.shared import collect_garbage, forget, give_back, utf8, written
 
 LEAST = 5  # pairs and triples found less often in the training texts are left to the shorter history
 DISCOUNT = 0.75
@@ -71,29 +71,33 @@ def _blocks_of_tokens(size: int):
     """A row a block: ids, whether held out and number of words of its texts, hashes of its distinct words, words as places
     among these."""
 
+    def tokens(number: int, block: pa.RecordBatch) -> pa.RecordBatch:
+        data, offsets = B.text_bytes(block.column("text"))
+        data = B.LOWER[data]
+        start, end, row = B.spans(B.NOT_SPACE[data], offsets)
+        words = B.cut_out(data, start, end).dictionary_encode()
+        names = words.dictionary.cast(pa.binary()).to_pylist()
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names), np.uint64, len(names))
+        sizes = np.bincount(row, minlength=block.num_rows).astype(np.int32)
+        whole = [0, block.num_rows]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([number], pa.int64()),
+                pa.ListArray.from_arrays(pa.array(whole, pa.int32()), block.column("id")),
+                pa.ListArray.from_arrays(pa.array(whole, pa.int32()), block.column("held_out")),
+                pa.ListArray.from_arrays(pa.array(whole, pa.int32()), pa.array(sizes)),
+                pa.array([hashes.tobytes()], pa.binary()),
+                pa.array([_zip(words.indices.to_numpy().astype(np.int32))], pa.binary()),
+            ],
+            ["block", "ids", "held_out", "sizes", "names", "tokens"],
+        )
+
     def run(batches):
-        part, nth = TaskContext.get().partitionId(), 0
-        for block in _gathered(batches, "text", size):
-            data, offsets = B.text_bytes(block.column("text"))
-            data = B.LOWER[data]
-            start, end, row = B.spans(B.NOT_SPACE[data], offsets)
-            words = B.cut_out(data, start, end).dictionary_encode()
-            names = words.dictionary.cast(pa.binary()).to_pylist()
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names), np.uint64, len(names))
-            sizes = np.bincount(row, minlength=block.num_rows).astype(np.int32)
-            whole = [0, block.num_rows]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([(part << 32) + nth], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(whole, pa.int32()), block.column("id")),
-                    pa.ListArray.from_arrays(pa.array(whole, pa.int32()), block.column("held_out")),
-                    pa.ListArray.from_arrays(pa.array(whole, pa.int32()), pa.array(sizes)),
-                    pa.array([hashes.tobytes()], pa.binary()),
-                    pa.array([_zip(words.indices.to_numpy().astype(np.int32))], pa.binary()),
-                ],
-                ["block", "ids", "held_out", "sizes", "names", "tokens"],
-            )
-            nth += 1
+        part = TaskContext.get().partitionId()
+        for nth, block in enumerate(_gathered(batches, "text", size)):
+            yield tokens((part << 32) + nth, block)
+            del block
+            give_back()
 
     return run
 
@@ -247,11 +251,19 @@ def _rows(batches):
             yield batch, at
 
 
+def _block_rows(batches):
+    """Rows that are a block each; what one took is given back before the next, and after the last."""
+    for batch, at in _rows(batches):
+        give_back()
+        yield batch, at
+    give_back()
+
+
 def _packed(sieves: list[sieve.Sieve], bits: int, least: int):
     """Keys of the pairs, or with a sieve of pairs of the triples, of each block's training texts."""
 
     def run(batches):
-        for batch, at in _rows(batches):
+        for batch, at in _block_rows(batches):
             keys = _Block(batch, at, sieves, training_only=True).keys()
             keys.sort()
             # of equal keys the first ``least``: those that differ from the one ``least`` places before
@@ -287,17 +299,20 @@ def _training_grams(sieves: list[sieve.Sieve], slices: int):
 
     def run(batches):
         held = None
-        for batch, at in _rows(batches):
+        for batch, at in _block_rows(batches):
             keys, parents, n = _Block(batch, at, sieves, training_only=True).grams()
             if not len(keys):
                 continue
             found = (keys, parents, n.astype(np.int64))
             held = _added_up([found] if held is None else [held, found])
+            del keys, parents, n, found
             if len(held[0]) > HELD_ROWS:
                 yield packed(*held)
                 held = None
         if held is not None:
             yield packed(*held)
+        held = None
+        give_back()
 
     return run
 
@@ -327,6 +342,8 @@ def _summed(least: int):
             held.append((keys, sieve.unzip_sorted(batch.column("parents")[at].as_buffer(), np.uint64), _unzip(batch.column("counts")[at].as_buffer(), np.int64, len(keys))))
         if held:
             yield from total(now, held)
+        held = []
+        give_back()
 
     return run
 
@@ -335,7 +352,7 @@ def _questions(sieves: list[sieve.Sieve], slices: int):
     """``slice, block, keys`` of what each block wants to know."""
 
     def run(batches):
-        for batch, at in _rows(batches):
+        for batch, at in _block_rows(batches):
             keys = _Block(batch, at, sieves).names()
             block = batch.column("block")[at].as_py()
             out = [(s, block, sieve.zip_sorted(keys[a:b])) for s, a, b in _sliced(keys, slices)]
@@ -388,6 +405,8 @@ def _answers(batches):
             out.append((block, one, _zip(found.reshape(-1))))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int64(), pa.int32(), pa.binary()])], ["block", "slice", "answers"])
+    known = table = None
+    give_back()
 
 
 class Automaton:
@@ -504,6 +523,7 @@ def _scored(sieves: list[sieve.Sieve], slices: int, tokens: int, distinct: int,
                 if batch.column("names")[at].is_valid:
                     yield of(batch, at, blobs)
                     blobs = []
+                    give_back()
                 else:
                     blobs.append(batch.column("answers")[at].as_py())
 

@@ -1,3 +1,5 @@
+import ctypes
+import re
 import zlib
 from collections import Counter
 from math import log10
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loanmart.llm import backoff_lm as M, sieve
 from loanmart.llm.queries import QUERIES
-from loanmart.llm.shared import ready
+from loanmart.llm.shared import give_back, ready
 from tests.llm.brute import lowered, words
 
 COLUMNS = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -145,3 +147,23 @@ def test_rounds_share_out_the_blocks_and_change_nothing(spark, monkeypatch):
         seen.clear()
         same(scores(spark, rows, block_bytes=150, lane=5, least=2), expected(rows, 2))
         assert sum("base_score" in columns for columns in seen) == rounds - 1
+
+
+def held_mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="not glibc")
+def test_workers_give_back_what_blocks_took(monkeypatch):
+    held = [bytearray(b"x" * 50_000) for _ in range(4000)]
+    del held[:-1]  # the last one keeps the rest from going back by itself
+    before = held_mb()
+    give_back()
+    assert held_mb() < before - 100
+    times = []
+    monkeypatch.setattr(M, "give_back", lambda: times.append(1))
+    batch = pa.RecordBatch.from_pydict({"x": [1, 2, 3]})
+    for n, _ in enumerate(M._block_rows([batch, batch])):
+        assert len(times) == n + 1
+    assert len(times) == 7
