@@ -58,6 +58,23 @@ def test_rules_that_reject_more_for_less_go_first(spark, monkeypatch):
     assert [r.name for r in Q.order(docs, rules, rows=2000)][0] == "cheap_most"
 
 
+def test_only_sampled_rows_are_measured_to_order_rules(spark, monkeypatch):
+    ready(spark)
+    plans, written = [], Q.written
+
+    def spy(frame):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString().splitlines())
+        return written(frame)
+
+    monkeypatch.setattr(Q, "written", spy)
+    docs = spark.range(3000).withColumn("text", F.concat_ws(" ", F.lit("abc def ghi jkl mno pqr stu vwx yza bcd efg"), "id"))
+    assert Q.judge(docs, "text").where("kept AND n_words = 12").count() == 3000
+    (plan,) = plans
+    (sampled,) = [i for i, line in enumerate(plan) if "Sample " in line]
+    measured = [i for i, line in enumerate(plan) if "regexp_extract_all" in line]
+    assert measured and max(measured) < sampled  # a plan lists what runs first last
+
+
 @pytest.mark.parametrize("rows", [[], [(1, "a", 5, "q"), (1, "a", 5, "q")]])
 def test_empty_table_repeated_rows_and_clashing_columns(spark, rows):
     ready(spark)
