@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Observation, functions as F
 
-from loanmart.operators import features, model, profile, score, split
+from loanmart.operators import evaluate, features, model, profile, score, split
 from loanmart.plans import training
 from loanmart.sources import registry
 
@@ -83,6 +83,52 @@ def test_stored_samples(spark, table, champion, tmp_path):
     assert again.areas == [(champion.candidate, record.val_auc)]
 
 
+def test_rows_are_dealt_equally(spark, monkeypatch):
+    """A scan of 12,000 well packed rows is a partition or a few; fits get whole rounds of equal ones."""
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 1000, raising=False)
+    seen, fit = {}, model.train_and_evaluate
+
+    def watched(candidate, scaled, train, validation, **kw):
+        for name, frame in (("train", train), ("val", validation)):
+            seen[name] = [r["count"] for r in frame.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        return fit(candidate, scaled, train, validation, **kw)
+
+    monkeypatch.setattr(model, "train_and_evaluate", watched)
+    table = spark.range(12_000, numPartitions=1).select(
+        F.concat(F.lit("C"), "id").alias("customer_id"),
+        F.add_months(F.lit("2023-01-01").cast("date"), F.col("id").cast("int") % 8).alias("snapshot_date"),
+        (F.col("id") % 2).cast("double").alias("x"),  # nearly all rows are equal
+        (F.col("id") % 3 == 0).cast("int").alias("label"),
+    )
+    best = training.train(table, ["customer_id", "snapshot_date"], [model.Candidate("LogisticRegression", 0.01)])
+    sizes = best.metrics.first()
+    for name, rows, tasks in (("train", sizes.train_rows, 8), ("val", sizes.val_rows, 2)):  # tests have 4 cores
+        assert sum(seen[name]) == rows and len(seen[name]) == tasks
+        assert max(seen[name]) < 1.4 * rows / tasks
+
+
+def test_number_of_tasks():
+    wanted = {(0, 8): 1, (9_000, 8): 1, (30_000, 8): 3, (300_000, 8): 8, (2_100_000, 8): 16, (7_630_547, 8): 32}
+    assert {k: training.tasks_for(*k) for k in wanted} == wanted
+
+
+def test_rows_are_scored_once(spark, table):
+    """A filter on the score, pushed below the model, would have it score each row twice."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def scored(x):
+        calls.add(1)
+        return x
+
+    rows = table.select(scored("x").alias("score"), "label")
+    areas = evaluate.evaluate_scores(rows).first()
+    assert calls.value == 1200
+    plain = table.select(F.col("x").alias("score"), "label")
+    gaps = plain.union(plain.select(F.lit(None).cast("double"), F.lit(1)))
+    assert evaluate.evaluate_scores(plain).first() == areas == evaluate.evaluate_scores(gaps).first()
+
+
 def test_scoring_fills_what_the_model_lacks(table, champion):
     scored = score.score_batch(champion.model, table.drop("y").withColumnRenamed("mob", "m"), {"mob": "m"})
     assert scored.count() == table.count()
